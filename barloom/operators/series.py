@@ -26,14 +26,16 @@ HELPERS = (RN, CHUNK, CORE, BLOCK)
 
 CHUNK_ROWS = 16_384
 BLOCK_ROWS = 1_024
-SLICE_HOURS_INTRADAY = 24 * 30
-SLICE_HOURS_DAILY = 24 * 3_650
+DAY_SECONDS = 86_400
+SLICE_INTRADAY = 7 * DAY_SECONDS
+SLICE_DAILY = 3_650 * DAY_SECONDS
 
 
-def time_slice(ts: Column, hours: int) -> Column:
-    """Index of the calendar span of ``hours`` hours that holds ``ts``."""
-    hour_index = F.unix_date(F.to_date(ts)).cast("long") * 24 + F.hour(ts)
-    return F.floor(hour_index / F.lit(hours)).cast("long")
+def time_slice(ts: Column, seconds: int) -> Column:
+    """Index of the span of ``seconds`` seconds that holds the date or timestamp ``ts``."""
+    of_day = F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
+    index = F.unix_date(F.to_date(ts)).cast("long") * DAY_SECONDS + of_day
+    return F.floor(index / F.lit(seconds)).cast("long")
 
 
 def slice_offsets(counts: DataFrame, symbol: str, n: str = "_n") -> DataFrame:
@@ -42,9 +44,9 @@ def slice_offsets(counts: DataFrame, symbol: str, n: str = "_n") -> DataFrame:
     return counts.select(symbol, SLICE, F.coalesce(F.sum(n).over(before), F.lit(0)).alias("_before"))
 
 
-def index_series(df: DataFrame, symbol: str, ts: str, slice_hours: int) -> DataFrame:
+def index_series(df: DataFrame, symbol: str, ts: str, slice_seconds: int) -> DataFrame:
     """Add ``_rn``, the 1-based position of each row in its symbol's series."""
-    keyed = df.withColumn(SLICE, time_slice(F.col(ts), slice_hours))
+    keyed = df.withColumn(SLICE, time_slice(F.col(ts), slice_seconds))
     counts = keyed.groupBy(symbol, SLICE).agg(F.count(F.lit(1)).alias("_n"))
     in_slice = Window.partitionBy(symbol, SLICE).orderBy(ts)
     ranked = keyed.withColumn("_r", F.row_number().over(in_slice))
@@ -61,7 +63,7 @@ def open_chunks(
     ts: str,
     lookback: int,
     lookahead: int = 0,
-    slice_hours: int = SLICE_HOURS_INTRADAY,
+    slice_seconds: int = SLICE_INTRADAY,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Number the series and spread it over (symbol, chunk) groups with halos.
@@ -70,7 +72,7 @@ def open_chunks(
     """
     if max(lookback, lookahead) > chunk_rows or chunk_rows % BLOCK_ROWS:
         raise ValueError("halo must fit in a chunk and chunks must be whole blocks")
-    indexed = index_series(df, symbol, ts, slice_hours)
+    indexed = index_series(df, symbol, ts, slice_seconds)
     position = F.col(RN) - 1
     own = F.floor(position / F.lit(chunk_rows)).cast("long")
     within = position % F.lit(chunk_rows)

@@ -21,7 +21,7 @@ SPANS = {"ema_20": 20, "ema_50": 50}
 
 def open_daily(bars: DataFrame, lookback: int = 50) -> DataFrame:
     typed = bars.withColumns({p: F.col(p).cast("double") for p in schemas.PRICES})
-    return S.open_chunks(typed, "symbol", "event_date", lookback, slice_hours=S.SLICE_HOURS_DAILY)
+    return S.open_chunks(typed, "symbol", "event_date", lookback, slice_seconds=S.SLICE_DAILY)
 
 
 def with_previous_day(df: DataFrame, w: WindowSpec) -> DataFrame:

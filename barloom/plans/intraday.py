@@ -20,11 +20,13 @@ BREAKOUT_THRESHOLD = 0.10
 RSI_ROWS = 14
 
 
-def open_intraday(bars: DataFrame, lookback: int = 50, lookahead: int = 0) -> DataFrame:
+def open_intraday(
+    bars: DataFrame, lookback: int = 50, lookahead: int = 0, slice_seconds: int = S.SLICE_INTRADAY
+) -> DataFrame:
     typed = bars.withColumns(
         {**{p: F.col(p).cast("double") for p in schemas.PRICES}, "volume": F.col("volume").cast("long")}
     )
-    return S.open_chunks(typed, "symbol", "event_time", lookback, lookahead)
+    return S.open_chunks(typed, "symbol", "event_time", lookback, lookahead, slice_seconds)
 
 
 def with_previous_candle(df: DataFrame, w: WindowSpec) -> DataFrame:
@@ -149,6 +151,7 @@ def feature_stages(opened: DataFrame) -> DataFrame:
     return round_features(with_sma_distance(with_trend(df)))
 
 
-def intraday_features(bars: DataFrame) -> DataFrame:
-    df = feature_stages(open_intraday(bars, LOOKBACK))
+def intraday_features(bars: DataFrame, slice_seconds: int = S.SLICE_INTRADAY) -> DataFrame:
+    """All intraday features, one row per bar; use shorter slices for denser bars."""
+    df = feature_stages(open_intraday(bars, LOOKBACK, slice_seconds=slice_seconds))
     return schemas.conform(S.close_chunks(df), schemas.INTRADAY_FEATURES)

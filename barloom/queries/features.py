@@ -295,8 +295,8 @@ def intraday_features_full(spark, sf_dir):
 
 @query("intraday_features_wide", f"WITH RECURSIVE {FEATURES_CTE} SELECT * FROM features".replace(Q.BARS_5M, Q.BARS_WIDE))
 def intraday_features_wide(spark, sf_dir):
-    """Breadth instead of depth: one series per user."""
-    return intraday.intraday_features(X.bars_wide(spark, sf_dir))
+    """Breadth instead of depth: one series per user, a bar per event, hence short slices."""
+    return intraday.intraday_features(X.bars_wide(spark, sf_dir), slice_seconds=60)
 
 
 # --- labels and dataset -----------------------------------------------------
