@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.scan import ordered_prefix
@@ -106,8 +106,8 @@ def choose_threshold(
 def class_weights(df: DataFrame, label: str = "target_direction") -> DataFrame:
     """Weight per class so that both classes weigh the same in total."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    classes = df.agg(F.count_distinct(label)).scalar()
+    every_class = Window.partitionBy()  # one row per class
+    total, classes = F.sum("n").over(every_class), F.count(F.lit(1)).over(every_class)
     return counts.withColumn("weight", _share(total, F.col("n") * classes))
 
 

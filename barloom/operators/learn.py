@@ -9,15 +9,17 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.evaluate import class_weights
 from barloom.operators.monitor import latest_per_symbol
 from barloom.operators.splits import expanding_folds
+from barloom.sources.tables import scratch_dir
 
 LABEL, WEIGHT = "target_direction", "class_weight"
 SEED = 7
+DONOR_BUCKET_ROWS = 10_000
 
 
 def encode_symbol(df: DataFrame, symbol: str = "symbol") -> DataFrame:
@@ -49,11 +51,22 @@ def _typed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def train_baseline(
-    train: DataFrame, columns: Sequence[str], kind: str = "logistic", params: Mapping[str, object] | None = None
+    train: DataFrame,
+    columns: Sequence[str],
+    kind: str = "logistic",
+    params: Mapping[str, object] | None = None,
+    save_to: str | None = None,
 ) -> PipelineModel:
-    """Scaled logistic regression or boosted trees, classes weighted to equal totals."""
+    """Scaled logistic regression or boosted trees, classes weighted to equal totals.
+
+    The fitted model is saved and the saved one returned: what is scored later is what
+    was stored, and it carries no training summary tied to this session.
+    """
     ready = with_class_weight(_typed(train, columns))
-    return Pipeline(stages=_stages(columns, kind, params or {})).fit(ready)
+    model = Pipeline(stages=_stages(columns, kind, params or {})).fit(ready)
+    path = save_to or scratch_dir(train.sparkSession, f"model-{kind}")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -70,22 +83,22 @@ def roc_auc(model: PipelineModel, df: DataFrame, columns: Sequence[str]) -> floa
 
 
 def feature_importance(
-    model: PipelineModel, df: DataFrame, columns: Sequence[str], threshold: float = 0.5
+    model: PipelineModel, df: DataFrame, columns: Sequence[str], threshold: float = 0.5,
+    key: Sequence[str] = ("symbol", "event_time"),
 ) -> DataFrame:
     """Split-gain importance of the trees beside permutation importance, ranked by the latter.
 
     Permutation importance is the accuracy lost when one column is replaced by that of
-    another row.  Rows are paired through a shuffled copy on a common hash order, all
-    columns at once: each row is scored once as is and once per column.
+    another row: the neighbour in the order of a hash of the unique ``key``, inside hash
+    buckets of bounded size.  Each row is scored once as is and once per column.
     """
     spark = df.sparkSession
-    ready = _typed(df, columns).select(LABEL, *columns)
-    # A donor value per row: the neighbour in the order of a hash of the row, inside hash buckets.
-    from pyspark.sql import Window
-
-    mix = F.xxhash64(*[F.col(c) for c in columns], F.lit(SEED))
+    ready = _typed(df, columns).select(
+        LABEL, *columns, F.xxhash64(*[F.col(k) for k in key], F.lit(SEED)).alias("_mix")
+    )
+    buckets = max(1, ready.count() // DONOR_BUCKET_ROWS)
     w = Window.partitionBy("_bucket").orderBy("_mix")
-    donors = ready.withColumn("_mix", mix).withColumn("_bucket", F.pmod("_mix", F.lit(1_024))).withColumns(
+    donors = ready.withColumn("_bucket", F.pmod("_mix", F.lit(buckets))).withColumns(
         {f"_d_{c}": F.coalesce(F.lag(c, 1).over(w), F.col(c)) for c in columns}
     )
     variants = donors.withColumn("_which", F.explode(F.array(F.lit(""), *[F.lit(c) for c in columns])))

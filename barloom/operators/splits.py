@@ -3,9 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.operators import series as S
 from barloom.operators.scan import ordered_prefix
+from barloom.sources.tables import scratch_dir
 
 SPLIT, FOLD = "split", "fold"
 
@@ -60,7 +62,13 @@ def time_buckets(df: DataFrame, n: int, ts: str = "event_time") -> DataFrame:
 
 
 def expanding_folds(df: DataFrame, n: int, ts: str = "event_time"):
-    """Yield (fold, train, test): train on all earlier groups, test on group ``fold``."""
-    bucketed = time_buckets(df, n, ts)
+    """Yield (fold, train, test): train on all earlier groups, test on group ``fold``.
+
+    The grouped rows are written once, partitioned by fold, so each fold reads only
+    its own partitions.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "folds")
+    time_buckets(df, n, ts).write.partitionBy(FOLD).parquet(path)
+    stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField(FOLD, T.IntegerType())])).parquet(path)
     for k in range(1, n):
-        yield k, bucketed.where(F.col(FOLD) < k).drop(FOLD), bucketed.where(F.col(FOLD) == k).drop(FOLD)
+        yield k, stored.where(F.col(FOLD) < k).drop(FOLD), stored.where(F.col(FOLD) == k).drop(FOLD)

@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,12 +88,10 @@ def _laid_out(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def refresh_table(df: DataFrame, root: str, name: str, schema: T.StructType) -> int:
-    """Replace the table by ``df``; returns the row count, taken during the write."""
+    """Replace the table by ``df``; returns the row count, read from the file footers."""
     spark, path = df.sparkSession, f"{root}/{name}"
     staged, retired = f"{path}__new", f"{path}__old"
-    seen = Observation()
-    out = _laid_out(df, schema).observe(seen, F.count(F.lit(1)).alias("n"))
-    out.write.mode("overwrite").partitionBy(PART).parquet(staged)
+    _laid_out(df, schema).write.mode("overwrite").partitionBy(PART).parquet(staged)
     if exists(spark, path):
         if exists(spark, retired):
             _drop(spark, retired)
@@ -101,7 +99,7 @@ def refresh_table(df: DataFrame, root: str, name: str, schema: T.StructType) ->
     _move(spark, staged, path)
     if exists(spark, retired):
         _drop(spark, retired)
-    return seen.get["n"]
+    return spark.read.schema(schema).parquet(path).count()
 
 
 def _recover(spark: SparkSession, path: str) -> None:
@@ -153,12 +151,6 @@ def upsert_table(
     _apply_merge(spark, path)
 
 
-def with_audit(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they flow to whatever action runs next, instead of a second run."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)
 

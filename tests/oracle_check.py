@@ -86,7 +86,7 @@ def main() -> int:
                 n = len(df.collect())
                 problems = [] if n else ["no rows"]
         except Exception as e:  # report and go on with the next query
-            problems = [f"{type(e).__name__}: {str(e)[:1500]}"]
+            problems = [f"{type(e).__name__}: {str(e)[:6000]}"]
         bad += bool(problems)
         kind = "oracle" if name in oracles else "rows  "
         print(f"{'FAIL' if problems else 'ok  '} {kind} {name} {time.time() - t0:.1f}s", *problems, flush=True)
