@@ -15,8 +15,12 @@ EMPTY_SHARE = 1e-4
 
 
 def latest_per_symbol(df: DataFrame, wanted: DataFrame | None = None, ts: str = "event_time") -> DataFrame:
-    """Newest row per symbol; with ``wanted`` (symbol) one row per wanted symbol and ``found``."""
-    newest = df.groupBy("symbol").agg(F.max_by(F.struct(*df.columns), ts).alias("r")).select("r.*")
+    """Newest row per symbol; with ``wanted`` (symbol) one row per wanted symbol and ``found``.
+
+    The newest times are a small table; joining it back avoids sorting whole rows.
+    """
+    times = df.groupBy("symbol").agg(F.max(ts).alias(ts))
+    newest = df.join(times, ["symbol", ts], "left_semi")
     if wanted is None:
         return newest
     return wanted.join(newest.withColumn("_hit", F.lit(True)), "symbol", "left").withColumn(

@@ -26,12 +26,15 @@ def feature_contract(df: DataFrame, label: str = "target_direction") -> DataFram
 def quality_report(
     df: DataFrame, by: str = "symbol", ts: str = "event_time", label: str | None = "target_direction"
 ) -> DataFrame:
-    """Per symbol: rows, time range, duplicate keys, NULLs per column, class balance."""
+    """Per symbol: rows, time range, duplicate keys, NULLs per column, class balance.
+
+    Counts merge before the shuffle; only the duplicate check moves a row per key, and
+    it moves the key alone.
+    """
     aggs = [
         F.count(F.lit(1)).alias("row_count"),
         F.min(ts).alias("first_time"),
         F.max(ts).alias("last_time"),
-        (F.count(F.lit(1)) - F.count_distinct(ts)).alias("duplicate_keys"),
         *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns if c not in (by, ts)],
     ]
     if label is not None:
@@ -39,7 +42,9 @@ def quality_report(
             F.count_if(F.col(label) == 1).alias("n_up"),
             F.round(F.avg(F.col(label).cast("double")), 4).alias("up_share"),
         ]
-    return df.groupBy(by).agg(*aggs)
+    per_key = df.groupBy(by, ts).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = per_key.groupBy(by).agg(F.sum(F.col("_n") - 1).alias("duplicate_keys"))
+    return df.groupBy(by).agg(*aggs).join(repeated, by)
 
 
 def leakage_audit(

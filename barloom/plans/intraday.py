@@ -4,7 +4,9 @@ Frames count rows, not minutes, and run across session breaks.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, WindowSpec
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions import (
@@ -29,63 +31,67 @@ def open_intraday(
     return S.open_chunks(typed, "symbol", "event_time", lookback, lookahead, slice_seconds)
 
 
-def with_previous_candle(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return df.withColumns(
-        {f"previous_candle_{p}": S.previous(f"{p}_price", 1, w) for p in ("close", "high", "low")}
-    )
+# Columns come in two levels of frames: those over stored columns, then those over
+# columns derived from the first level.  One Window operator serves each level.
 
 
-def with_momentum(df: DataFrame, w: WindowSpec) -> DataFrame:
-    close = F.col("close_price")
-    return df.withColumns(
-        {
-            "candle_return_pct": pct_change(close, F.col("previous_candle_close"), 2),
-            **{
-                f"return_{n}_candle_pct": pct_change(close, S.previous("close_price", n, w), 2)
-                for n in (3, 12)
-            },
-            "range_pct": pct_of(F.col("high_price") - F.col("low_price"), close, 2),
-        }
-    )
+def first_frames(w: WindowSpec) -> dict[str, Column]:
+    """Lags, averages and the prior 20-row range (current row excluded)."""
+    return {
+        **{f"previous_candle_{p}": S.previous(f"{p}_price", 1, w) for p in ("close", "high", "low")},
+        "_close_3": S.previous("close_price", 3, w),
+        "_close_12": S.previous("close_price", 12, w),
+        "sma_9": S.rolling_mean(F.col("close_price"), 9, w),
+        "sma_20": S.rolling_mean(F.col("close_price"), 20, w),
+        "avg_volume_20": S.rolling_mean(F.col("volume"), 20, w),
+        "rolling_high_20": S.prior_high("high_price", 20, w),
+        "rolling_low_20": S.prior_low("low_price", 20, w),
+    }
 
 
-def with_volatility(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Sample deviation of the already rounded percent return."""
-    deviation = S.rolling_stddev(F.col("candle_return_pct"), 20, w)
-    return df.withColumn("rolling_volatility_20", round_half_up(deviation, 2))
+def first_columns() -> dict[str, Column]:
+    """Returns, range, volume ratio, breakout strengths (4 digits), price changes by sign."""
+    close, high, low = F.col("close_price"), F.col("rolling_high_20"), F.col("rolling_low_20")
+    delta = close - F.col("previous_candle_close")
+    return {
+        "candle_return_pct": pct_change(close, F.col("previous_candle_close"), 2),
+        "return_3_candle_pct": pct_change(close, F.col("_close_3"), 2),
+        "return_12_candle_pct": pct_change(close, F.col("_close_12"), 2),
+        "range_pct": pct_of(F.col("high_price") - F.col("low_price"), close, 2),
+        "volume_ratio": guarded_ratio(F.col("volume").cast("double"), F.col("avg_volume_20"), 4),
+        "breakout_strength_pct": pct_change(close, high, 4),
+        "breakdown_strength_pct": pct_of(low - close, low, 4),
+        "_gain": gain(delta),
+        "_loss": loss(delta),
+    }
 
 
-def with_averages(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return df.withColumns(
-        {
-            "sma_9": S.rolling_mean(F.col("close_price"), 9, w),
-            "sma_20": S.rolling_mean(F.col("close_price"), 20, w),
-            "avg_volume_20": S.rolling_mean(F.col("volume"), 20, w),
-        }
-    ).withColumn("volume_ratio", guarded_ratio(F.col("volume").cast("double"), F.col("avg_volume_20"), 4))
+def second_frames(w: WindowSpec) -> dict[str, Column]:
+    """Deviation of the already rounded percent return; means of gains and losses."""
+    return {
+        "_deviation": S.rolling_stddev(F.col("candle_return_pct"), 20, w),
+        "_mean_gain": S.rolling_mean(F.col("_gain"), RSI_ROWS, w),
+        "_mean_loss": S.rolling_mean(F.col("_loss"), RSI_ROWS, w),
+    }
 
 
-def with_breakout(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Prior 20-row range (current row excluded), strengths at 4 digits, flags on the strengths."""
-    close, high, low = F.col("close_price"), F.col("rolling_high_20"), F.col("rolling_low_20")
-    df = df.withColumns(
-        {
-            "rolling_high_20": S.prior_high("high_price", 20, w),
-            "rolling_low_20": S.prior_low("low_price", 20, w),
-        }
-    )
-    df = df.withColumns(
-        {
-            "breakout_strength_pct": pct_change(close, high, 4),
-            "breakdown_strength_pct": pct_of(low - close, low, 4),
-        }
-    )
-    return df.withColumns(
-        {
-            "breakout_above_high": above(F.col("breakout_strength_pct"), BREAKOUT_THRESHOLD),
-            "breakdown_below_low": above(F.col("breakdown_strength_pct"), BREAKOUT_THRESHOLD),
-        }
-    )
+def second_columns() -> dict[str, Column]:
+    """Volatility, flags on the rounded strengths, and RSI once 14 rows are there."""
+    return {
+        "rolling_volatility_20": round_half_up(F.col("_deviation"), 2),
+        "breakout_above_high": above(F.col("breakout_strength_pct"), BREAKOUT_THRESHOLD),
+        "breakdown_below_low": above(F.col("breakdown_strength_pct"), BREAKOUT_THRESHOLD),
+        "rsi_14": F.when(
+            F.col(S.RN) >= RSI_ROWS, rsi_from_means(F.col("_mean_gain"), F.col("_mean_loss"))
+        ),
+    }
+
+
+def with_frames(df: DataFrame, w: WindowSpec, more_frames: Mapping[str, Column] | None = None) -> DataFrame:
+    """Everything but EMAs and final rounding; ``more_frames`` over stored columns join the first level."""
+    df = df.withColumns({**first_frames(w), **(more_frames or {})}).withColumns(first_columns())
+    df = df.withColumns(second_frames(w)).withColumns(second_columns())
+    return df.drop("_close_3", "_close_12", "_gain", "_loss", "_deviation", "_mean_gain", "_mean_loss")
 
 
 def with_trend(df: DataFrame) -> DataFrame:
@@ -115,22 +121,6 @@ def with_sma_distance(df: DataFrame) -> DataFrame:
     )
 
 
-def with_rsi(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """RSI from simple 14-row means; the first row counts as no change."""
-    delta = F.col("close_price") - F.col("previous_candle_close")
-    return (
-        df.withColumns({"_gain": gain(delta), "_loss": loss(delta)})
-        .withColumns(
-            {
-                "_mean_gain": S.rolling_mean(F.col("_gain"), RSI_ROWS, w, "strict"),
-                "_mean_loss": S.rolling_mean(F.col("_loss"), RSI_ROWS, w, "strict"),
-            }
-        )
-        .withColumn("rsi_14", rsi_from_means(F.col("_mean_gain"), F.col("_mean_loss")))
-        .drop("_gain", "_loss", "_mean_gain", "_mean_loss")
-    )
-
-
 def round_features(df: DataFrame) -> DataFrame:
     digits = {
         "sma_9": 2, "sma_20": 2, "avg_volume_20": 2, "rolling_high_20": 2, "rolling_low_20": 2,
@@ -142,12 +132,9 @@ def round_features(df: DataFrame) -> DataFrame:
 LOOKBACK = ema_lookback(*SPANS.values())
 
 
-def feature_stages(opened: DataFrame) -> DataFrame:
+def feature_stages(opened: DataFrame, more_frames: Mapping[str, Column] | None = None) -> DataFrame:
     """All feature columns on an opened-chunks frame."""
-    w = S.chunk_window("symbol")
-    df = with_momentum(with_previous_candle(opened, w), w)
-    df = with_averages(with_volatility(df, w), w)
-    df = with_rsi(with_breakout(df, w), w)
+    df = with_frames(opened, S.chunk_window("symbol"), more_frames)
     return round_features(with_sma_distance(with_trend(df)))
 
 

@@ -18,7 +18,7 @@ from barloom.operators.features_v2 import NAMES as V2_NAMES
 from barloom.operators.features_v2 import with_features_v2
 from barloom.plans import intraday
 from barloom.plans.jobs import run_jobs
-from barloom.plans.labels import label_stages, labels, model_dataset
+from barloom.plans.labels import feature_and_label_stages, future_frames, labels, model_dataset, with_label_columns
 from barloom.queries import sql as Q
 from barloom.queries.features import DATASET_CTE, FEATURES_CTE
 from barloom.queries.ingest import candles
@@ -38,6 +38,17 @@ def scored(spark, sf_dir):
     return dataset(spark, sf_dir).withColumn("score", F.col("rsi_14") / 100.0)
 
 
+def stored(rows):
+    """Rows written once to the shared scratch folder, for work that reads them several times."""
+    spark, path = rows.sparkSession, tables.scratch_dir(rows.sparkSession, "stored")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stored_scored(spark, sf_dir):
+    return stored(scored(spark, sf_dir).select("symbol", "event_time", "score", "target_direction"))
+
+
 def _rounded(df, digits, *names):
     return df.withColumns({c: F.round(F.col(c), digits) for c in names})
 
@@ -87,7 +98,7 @@ def snapshot_facts(spark, sf_dir):
 def export_snapshot(spark, sf_dir):
     """Frozen copy of the bars with labels, reloaded and counted."""
     opened = S.open_chunks(X.bars_5m(spark, sf_dir), "symbol", "event_time", 0, 12)
-    rows = S.close_chunks(label_stages(opened, S.chunk_window("symbol")))
+    rows = S.close_chunks(with_label_columns(opened.withColumns(future_frames(S.chunk_window("symbol")))))
     path = tables.export_snapshot(rows, tables.scratch_dir(spark, "snapshot"), "20240131")
     return spark.read.schema("rows long").json(f"{path}.json")
 
@@ -101,8 +112,7 @@ def feature_contract(spark, sf_dir):
 def _all_columns(bars):
     """Features and labels of every bar, also those whose horizon is not complete."""
     opened = intraday.open_intraday(bars, intraday.LOOKBACK, 12)
-    df = S.close_chunks(label_stages(intraday.feature_stages(opened), S.chunk_window("symbol")))
-    return df.select(*_DATA_COLS)
+    return S.close_chunks(feature_and_label_stages(opened), list(_DATA_COLS))
 
 
 @query("leakage_audit")
@@ -242,7 +252,7 @@ _RANKED = f"""{_SCORED}, usable AS (SELECT score, target_direction AS y FROM sco
     (SELECT {_r('sum(p * (tp_::DOUBLE / (tp_ + fp_))) / max(n_pos)', 6)} FROM curve) AS pr_auc,
     {_r('sp::DOUBLE / nullif(sn, 0)', 6)} AS confident_precision FROM counts""")
 def classification_metrics(spark, sf_dir):
-    m = E.classification_metrics(scored(spark, sf_dir), "score")
+    m = E.classification_metrics(stored_scored(spark, sf_dir), "score")
     return _rounded(m, 6, "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "confident_precision")
 
 
@@ -263,7 +273,7 @@ def document_label_metrics(spark, sf_dir):
 @query("precision_recall_curve", f"""{_RANKED} SELECT score AS threshold,
   {_r('tp_::DOUBLE / (tp_ + fp_)', 6)} AS precision, {_r('tp_::DOUBLE / n_pos', 6)} AS recall FROM curve""")
 def precision_recall_curve(spark, sf_dir):
-    return _rounded(E.precision_recall_curve(scored(spark, sf_dir), "score"), 6, "precision", "recall")
+    return _rounded(E.precision_recall_curve(stored_scored(spark, sf_dir), "score"), 6, "precision", "recall")
 
 
 @query("choose_threshold", f"""{_RANKED}, pr AS (
@@ -271,7 +281,7 @@ def precision_recall_curve(spark, sf_dir):
   SELECT threshold, {_r('precision', 6)} AS precision, {_r('recall', 6)} AS recall FROM pr WHERE recall >= 0.3
   ORDER BY pr.precision DESC, pr.recall DESC, threshold DESC LIMIT 1""")
 def choose_threshold(spark, sf_dir):
-    return _rounded(E.choose_threshold(scored(spark, sf_dir), "score"), 6, "precision", "recall")
+    return _rounded(E.choose_threshold(stored_scored(spark, sf_dir), "score"), 6, "precision", "recall")
 
 
 @query("class_weights", f"""{_R} SELECT target_direction, count(*) AS n,
@@ -295,7 +305,7 @@ _FOLDS = f"""{_SCORED}, usable AS (SELECT * FROM scored WHERE score IS NOT NULL)
 
 
 def _folds(spark, sf_dir):
-    return E.walk_forward(scored(spark, sf_dir), "score", _THRESHOLDS)
+    return E.walk_forward(stored_scored(spark, sf_dir), "score", _THRESHOLDS)
 
 
 def _runs(spark, sf_dir):

@@ -257,27 +257,27 @@ def _intraday_query(name, stages, *names):
     return run
 
 
-_prev = lambda df: intraday.with_previous_candle(df, W())
+def _frames(df):
+    return intraday.with_frames(df, W())
 
-_intraday_query("intraday_momentum", lambda df: intraday.with_momentum(_prev(df), W()),
+
+def _averages(df):
+    df = intraday.with_sma_distance(_frames(df))
+    return df.withColumns({c: round_half_up(F.col(c), 2) for c in ("sma_9", "sma_20", "avg_volume_20")})
+
+
+_intraday_query("intraday_momentum", _frames,
                 "previous_candle_close", "previous_candle_high", "previous_candle_low",
                 "candle_return_pct", "return_3_candle_pct", "return_12_candle_pct", "range_pct")
-_intraday_query("intraday_volatility",
-                lambda df: intraday.with_volatility(intraday.with_momentum(_prev(df), W()), W()),
-                "candle_return_pct", "rolling_volatility_20")
-_intraday_query("intraday_breakout", lambda df: intraday.with_breakout(df, W()),
+_intraday_query("intraday_volatility", _frames, "candle_return_pct", "rolling_volatility_20")
+_intraday_query("intraday_breakout", _frames,
                 "rolling_high_20", "rolling_low_20", "breakout_strength_pct", "breakdown_strength_pct",
                 "breakout_above_high", "breakdown_below_low")
-_intraday_query("intraday_rsi", lambda df: intraday.with_rsi(_prev(df), W()), "rsi_14")
-_intraday_query("intraday_averages",
-                lambda df: _round_some(intraday.with_sma_distance(intraday.with_averages(df, W()))),
+_intraday_query("intraday_rsi", _frames, "rsi_14")
+_intraday_query("intraday_averages", _averages,
                 "sma_9", "sma_20", "close_vs_sma9_pct", "close_vs_sma20_pct", "avg_volume_20", "volume_ratio")
 
 
-def _round_some(df):
-    return df.withColumns({c: round_half_up(F.col(c), 2) for c in ("sma_9", "sma_20", "avg_volume_20")})
-
-
 _trend = ("ema_9", "ema_20", "ema_50", "ema_spread", "close_vs_ema9_pct", "close_vs_ema20_pct", "close_vs_ema50_pct")
 
 

@@ -313,7 +313,7 @@ def table_refresh(spark, sf_dir):
 
 @query("table_upsert", _upsert_sql("CASE WHEN n.symbol IS NOT NULL THEN n.exchange ELSE o.exchange END"))
 def table_upsert(spark, sf_dir):
-    """A stored table into which the corrected half is merged, month by month."""
+    """A stored table into which the corrected half is merged, rewriting only its days."""
     root = f"{tables.scratch_dir(spark, 'upsert')}/tables"
     for half in (stored_half, corrected_half):
         tables.upsert_table(

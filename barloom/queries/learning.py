@@ -13,10 +13,9 @@ from barloom.operators import learn as L
 from barloom.operators.news import join_sentiment_asof
 from barloom.operators.splits import SPLIT, expanding_folds, time_split
 from barloom.queries import sql as Q
-from barloom.queries.analysis import dataset, scored_news
+from barloom.queries.analysis import dataset, scored_news, stored
 from barloom.queries.registry import query
 from barloom.sources import fixtures as X
-from barloom.sources import tables
 
 COLUMNS = (
     "candle_return_pct", "return_3_candle_pct", "return_12_candle_pct", "range_pct", "rolling_volatility_20",
@@ -24,19 +23,12 @@ COLUMNS = (
 )
 
 
-def _stored(rows):
-    """Rows written once to the shared scratch folder; training reads them many times."""
-    spark, path = rows.sparkSession, tables.scratch_dir(rows.sparkSession, "training")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def stored_dataset(spark, sf_dir):
-    return _stored(dataset(spark, sf_dir))
+    return stored(dataset(spark, sf_dir))
 
 
 def _halves(rows):
-    split = _stored(time_split(rows))
+    split = stored(time_split(rows))
     return split.where(F.col(SPLIT) == "train").drop(SPLIT), split.where(F.col(SPLIT) == "test").drop(SPLIT)
 
 

@@ -54,13 +54,13 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 def partition_of(schema: T.StructType) -> Column:
-    """Write partition of a row: the month of its key time."""
-    key = next(f.name for f in schema.fields if f.name in ("event_time", "event_date", "published_at"))
-    return F.date_format(F.col(key), "yyyy-MM")
+    """Write partition of a row: the day of its time, or the month of its date."""
+    key = next(f for f in schema.fields if f.name in ("event_time", "event_date", "published_at"))
+    return F.date_format(F.col(key.name), "yyyy-MM" if isinstance(key.dataType, T.DateType) else "yyyy-MM-dd")
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType, since: str | None = None) -> DataFrame:
-    """A stored table, columns per contract; ``since`` (yyyy-MM) prunes partitions."""
+    """A stored table, columns per contract; ``since`` (yyyy-MM[-dd]) prunes partitions."""
     path = f"{root}/{name}"
     _recover(spark, path)
     if not exists(spark, path):
@@ -83,7 +83,7 @@ def read_jdbc(
 
 
 def _laid_out(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Contract columns plus the partition column; rebalanced so hot months split into several files."""
+    """Contract columns plus the partition column; rebalanced so hot days split into several files."""
     return conform(df, schema).withColumn(PART, partition_of(schema)).hint("rebalance", PART)
 
 
@@ -132,9 +132,9 @@ def upsert_table(
     touch: str | None = None,
     now: Column | None = None,
 ) -> None:
-    """Upsert into a stored table, reading and rewriting only the months the batch touches.
+    """Upsert into a stored table, reading and rewriting only the partitions the batch touches.
 
-    The merged months are staged first and then overwrite their partitions; applying
+    The merged partitions are staged first and then put in place; applying
     the stage twice gives the same table, so an interrupted run is finished later.
     """
     spark, path = updates.sparkSession, f"{root}/{name}"
@@ -142,8 +142,8 @@ def upsert_table(
     batch = updates.withColumn(PART, partition_of(schema))
     if exists(spark, path):
         stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
-        months = batch.select(PART).distinct()
-        target = conform(stored.join(months, PART, "left_semi"), schema)
+        touched = batch.select(PART).distinct()
+        target = conform(stored.join(touched, PART, "left_semi"), schema)
     else:
         target = spark.createDataFrame([], schema)
     merged = merge_upsert(target, batch.drop(PART), keys, update_cols, sequence, touch, now)

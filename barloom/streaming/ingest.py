@@ -28,12 +28,16 @@ def ingest_bars(
     """Start the stream; with a Kafka source pass ``("timestamp", "partition", "offset")`` as sequence."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(
-            decode_bars(batch), root, name, CANDLES_INTRADAY, INTRADAY_KEY,
-            LIVE_UPDATES, sequence, touch="ingestion_time",
-        )
-        if rejects_path:
-            rejected(batch).write.mode("overwrite").text(f"{rejects_path}/batch={batch_id}")
+        batch = batch.persist()  # read for the touched days, for the merge and for the rejects
+        try:
+            upsert_table(
+                decode_bars(batch), root, name, CANDLES_INTRADAY, INTRADAY_KEY,
+                LIVE_UPDATES, sequence, touch="ingestion_time",
+            )
+            if rejects_path:
+                rejected(batch).write.mode("overwrite").text(f"{rejects_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = messages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if available_now:

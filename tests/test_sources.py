@@ -80,19 +80,19 @@ def test_null_overwrites_and_absent_columns_stay(spark):
     assert rows(out.select("symbol", "x", "kept")) == [("A", None, 9.0), ("B", 2.0, None)]
 
 
-def test_stored_upsert_is_idempotent_and_leaves_other_months(spark, tmp_path):
+def test_stored_upsert_is_idempotent_and_leaves_other_days(spark, tmp_path):
     root = str(tmp_path)
     january = [candle("A", i, float(i)) for i in range(3)]
     march = [(*candle("A", 0, 1.0)[:7], datetime(2024, 3, 1), datetime(2024, 3, 1))]
     tables.refresh_table(spark.createDataFrame(january + march, CANDLE), root, "t", schemas.CANDLES_INTRADAY)
-    march_files = sorted(p.name for p in (tmp_path / "t" / "event_part=2024-03").glob("*.parquet"))
+    march_files = sorted(p.name for p in (tmp_path / "t" / "event_part=2024-03-01").glob("*.parquet"))
     batch = spark.createDataFrame([candle("A", 1, 50.0, ingested=9), candle("A", 7, 8.0)], CANDLE)
     args = (root, "t", schemas.CANDLES_INTRADAY, schemas.INTRADAY_KEY, LIVE_UPDATES, "ingestion_time")
     for _ in range(2):
         tables.upsert_table(batch, *args)
         got = {(r.event_time, r.close_price) for r in tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY).collect()}
         assert {c for t, c in got if t.month == 1} == {0.0, 50.0, 2.0, 8.0} and len(got) == 5
-    assert sorted(p.name for p in (tmp_path / "t" / "event_part=2024-03").glob("*.parquet")) == march_files
+    assert sorted(p.name for p in (tmp_path / "t" / "event_part=2024-03-01").glob("*.parquet")) == march_files
     pruned = tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY, since="2024-02")
     assert pruned.count() == 1
 
@@ -100,7 +100,7 @@ def test_stored_upsert_is_idempotent_and_leaves_other_months(spark, tmp_path):
 def test_interrupted_merge_is_finished_by_the_next_reader(spark, tmp_path):
     root = str(tmp_path)
     tables.refresh_table(spark.createDataFrame([candle("A", 0, 1.0)], CANDLE), root, "t", schemas.CANDLES_INTRADAY)
-    staged = spark.createDataFrame([candle("A", 0, 9.0)], CANDLE).withColumn("event_part", F.lit("2024-01"))
+    staged = spark.createDataFrame([candle("A", 0, 9.0)], CANDLE).withColumn("event_part", F.lit("2024-01-01"))
     staged.write.partitionBy("event_part").parquet(f"{root}/t__merge")
     assert [r.close_price for r in tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY).collect()] == [9.0]
     assert not (tmp_path / "t__merge").exists()
