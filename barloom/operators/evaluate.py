@@ -132,11 +132,10 @@ def walk_forward(
 
 
 def summarize_folds(folds: DataFrame, run: str = "threshold", metric: str = "accuracy") -> DataFrame:
-    """Mean and spread of a metric over the folds of each run, best first in ``place``."""
-    means = folds.groupBy(run).agg(
+    """Mean and spread of a metric over the folds of each run."""
+    return folds.groupBy(run).agg(
         F.count(F.lit(1)).alias("folds"), F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std")
     )
-    return means
 
 
 def experiment_rows(summary: DataFrame, run: str, run_prefix: str, metric: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.scan import ordered_prefix
 from barloom.sources import schemas
 
 NOT_INPUTS = ("symbol", "event_time", *schemas.FORWARD_LOOKING)
@@ -171,15 +172,32 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def exact_median(df: DataFrame, column: str) -> Column:
+    """Median as a scalar: the values at the middle ranks, found without collecting the column."""
+    present = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    n = present.agg(F.count(F.lit(1))).scalar()
+    ranked = ordered_prefix(present, "v", {"n": F.lit(1)})
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(F.col("n_below") <= rank, F.col("v")))
+
+    middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / F.lit(2.0)
+    return ranked.agg(middle).scalar()
+
+
 def handle_missing(df: DataFrame, columns: Sequence[str], how: str = "drop") -> DataFrame:
-    """Drop rows with a NULL among ``columns``, or fill with the column ``mean`` or ``median``."""
+    """Drop rows with a NULL among ``columns``, or fill with the column ``mean`` or ``median``.
+
+    Only double columns are filled; flags and integers are left alone.
+    """
     if how == "drop":
         return df.na.drop(subset=list(columns))
     if how not in ("mean", "median"):
         raise ValueError(f"how must be 'drop', 'mean' or 'median', not {how!r}")
-    # Mean and median are one row of aggregates; flags and integers are left alone.
     numeric = [c for c in columns if dict(df.dtypes)[c] == "double"]
-    stat = F.avg if how == "mean" else F.median
-    fill = df.agg(F.struct(*[stat(c).alias(c) for c in numeric]).alias("f")).scalar()
-    filled = df.withColumn("_fill", fill)
-    return filled.withColumns({c: F.coalesce(c, F.col("_fill")[c]) for c in numeric}).drop("_fill")
+    if how == "mean":
+        means = df.agg(F.struct(*[F.avg(c).alias(c) for c in numeric])).scalar()
+        fills = {f"_fill_{c}": means[c] for c in numeric}
+    else:
+        fills = {f"_fill_{c}": exact_median(df, c) for c in numeric}
+    return df.withColumns(fills).withColumns({c: F.coalesce(c, f"_fill_{c}") for c in numeric}).drop(*fills)

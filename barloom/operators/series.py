@@ -78,16 +78,10 @@ def open_chunks(
     within = position % F.lit(chunk_rows)
     first = F.when((within < lookahead) & (own > 0), own - 1).otherwise(own)
     last = F.when(within >= chunk_rows - lookback, own + 1).otherwise(own)
-    return (
-        indexed.withColumn("_own", own)
-        .withColumn(CHUNK, F.explode(F.sequence(first, last)))
-        .withColumns(
-            {
-                CORE: F.col(CHUNK) == F.col("_own"),
-                BLOCK: F.floor(position / F.lit(BLOCK_ROWS)).cast("long"),
-            }
-        )
-        .drop("_own")
+    spread = indexed.withColumn(CHUNK, F.explode(F.sequence(first, last))).repartition(symbol, CHUNK)
+    # What follows from the row number is computed after the exchange, not sent through it.
+    return spread.withColumns(
+        {CORE: F.col(CHUNK) == own, BLOCK: F.floor(position / F.lit(BLOCK_ROWS)).cast("long")}
     )
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Query vectors sent to every task at once; larger sets go in several passes.
 QUERIES_PER_PASS = 16_384
@@ -29,24 +30,19 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-def _pass(store: DataFrame, ids: list, matrix: np.ndarray, groups: list | None, k: int, names: tuple) -> DataFrame:
-    vec_id, vector, query_id, group = names
+def _pass(store: DataFrame, ids: list, matrix: np.ndarray, k: int, vec_id: str, vector: str, query_id: str) -> DataFrame:
     unit = _unit(matrix)
 
     def candidates(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         stored = _unit(np.stack(pdf[vector].to_numpy()).astype(float))
         keys = pdf[vec_id].to_numpy()
-        own = pdf[group].to_numpy(dtype=object) if groups is not None else None
         for start in range(0, len(ids), QUERY_BLOCK):
             sims = unit[start:start + QUERY_BLOCK] @ stored.T
-            if groups is not None:
-                asked = np.array(groups[start:start + QUERY_BLOCK], dtype=object)
-                sims = np.where(asked[:, None] == own[None, :], sims, -np.inf)
             if sims.shape[1] > k:
                 edge = np.partition(sims, -k, axis=1)[:, -k][:, None]
             else:
                 edge = np.full((len(sims), 1), -np.inf)
-            q, col = np.nonzero((sims >= edge) & np.isfinite(sims))
+            q, col = np.nonzero(sims >= edge)
             yield pd.DataFrame({"q": q + start, vec_id: keys[col], "similarity": sims[q, col]})
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,10 +57,9 @@ def _pass(store: DataFrame, ids: list, matrix: np.ndarray, groups: list | None,
             named = held.assign(**{query_id: [ids[i] for i in held["q"]]})
             yield named[[query_id, vec_id, "similarity"]]
 
-    needed = [vec_id, vector] + ([group] if groups is not None else [])
     id_type = dict(store.dtypes)[vec_id]
     kind = "string" if isinstance(ids[0], str) else "long"
-    return store.select(*needed).mapInPandas(best, f"{query_id} {kind}, {vec_id} {id_type}, similarity double")
+    return store.select(vec_id, vector).mapInPandas(best, f"{query_id} {kind}, {vec_id} {id_type}, similarity double")
 
 
 def vector_topk(
@@ -74,20 +69,18 @@ def vector_topk(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     query_id: str = "query_id",
-    group: str | None = None,
     per_pass: int = QUERIES_PER_PASS,
 ) -> DataFrame:
     """The ``k`` stored vectors most similar to each query, ranked; ties go to the smaller id.
 
     Each task scores its rows with matrix products and passes on at most ``k`` rows per
-    query.  With ``group`` a query sees only stored rows of its own group.
+    query.
     """
-    cols = [query_id, vector] + ([group] if group else [])
     total = queries.count()
     passes = max(1, -(-total // per_pass))
     found = None
     for i in range(passes):
-        part = queries.select(*cols)
+        part = queries.select(query_id, vector)
         if passes > 1:
             part = part.where(F.pmod(F.xxhash64(query_id), F.lit(passes)) == i)
         rows = part.collect()
@@ -95,8 +88,7 @@ def vector_topk(
             continue
         ids = [r[query_id] for r in rows]
         matrix = np.array([r[vector] for r in rows], dtype=float)
-        groups = [r[group] for r in rows] if group else None
-        hit = _pass(store, ids, matrix, groups, k, (vec_id, vector, query_id, group))
+        hit = _pass(store, ids, matrix, k, vec_id, vector, query_id)
         found = hit if found is None else found.unionByName(hit)
     if found is None:
         raise ValueError("no query vectors")
@@ -104,6 +96,15 @@ def vector_topk(
     return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
+@F.pandas_udf(T.DoubleType())
+def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Row-wise cosine similarity of two vector columns."""
+    if a.empty:
+        return pd.Series([], dtype=float)
+    x, y = (_unit(np.stack(v.to_numpy()).astype(float)) for v in (a, b))
+    return pd.Series(np.einsum("ij,ij->i", x, y))
+
+
 def retrieve_context(
     articles: DataFrame,
     embeddings: DataFrame,
@@ -114,19 +115,19 @@ def retrieve_context(
 ) -> DataFrame:
     """Top-k recent articles per question (symbol, as_of, embedding); weak retrieval is flagged.
 
-    Recent means published before ``as_of`` and within the lookback.  One question per symbol.
+    Recent means published before ``as_of`` and within the lookback.  Questions meet
+    only the articles of their own symbol, and each task keeps k rows per question
+    before the shuffle.
     """
-    recent = (
-        articles.join(questions.select("symbol", "as_of"), "symbol")
-        .where((F.col("published_at") < F.col("as_of")) & (F.col("published_at") >= F.col("as_of") - F.expr(lookback)))
-        .select("symbol", F.col("doc_id").alias("vec_id"), "url", "published_at")
-    )
-    store = embeddings.select("vec_id", "embedding").join(recent, "vec_id")
-    top = vector_topk(
-        store, questions.select(F.col("symbol").alias("query_id"), "embedding", "symbol"), k, group="symbol"
+    asked = questions.select("symbol", "as_of", F.col("embedding").alias("_asked"))
+    recent = articles.join(asked, "symbol").where(
+        (F.col("published_at") < F.col("as_of")) & (F.col("published_at") >= F.col("as_of") - F.expr(lookback))
+    ).select("symbol", "as_of", "_asked", F.col("doc_id").alias("vec_id"), "url", "published_at")
+    scored = recent.join(embeddings.select("vec_id", "embedding"), "vec_id").withColumn(
+        "similarity", cosine("embedding", "_asked")
     )
-    cited = top.join(recent.select("vec_id", "url", "published_at"), "vec_id")
-    return cited.select(
-        F.col("query_id").alias("symbol"), "place", "vec_id", "url", "published_at", "similarity",
-        (F.col("similarity") < floor).alias("weak"),
+    w = Window.partitionBy("symbol", "as_of").orderBy(F.col("similarity").desc(), "vec_id")
+    top = scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return top.select(
+        "symbol", "place", "vec_id", "url", "published_at", "similarity", (F.col("similarity") < floor).alias("weak")
     )

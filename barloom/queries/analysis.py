@@ -178,6 +178,13 @@ def missing_mean(spark, sf_dir):
     return _rounded(filled, 4, *_WARM)
 
 
+@query("missing_median", f"""{_R} SELECT symbol, event_time, {", ".join(
+    _r(f"coalesce({c}, (SELECT median({c}) FROM dataset))", 4) + f" AS {c}" for c in _WARM)} FROM dataset""")
+def missing_median(spark, sf_dir):
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", *_WARM))
+    return _rounded(Qu.handle_missing(rows, _WARM, "median"), 4, *_WARM)
+
+
 @query("features_v2", f"""WITH RECURSIVE {FEATURES_CTE}, gaps AS (
     SELECT *, ema_9 - ema_20 AS gap, lag(ema_9 - ema_20) OVER (PARTITION BY symbol ORDER BY event_time) AS gap_before,
            hour(event_time) * 60 + minute(event_time) AS m FROM features)

@@ -16,6 +16,8 @@ from barloom.sources.schemas import conform
 from barloom.sources.upsert import merge_upsert
 
 PART = "event_part"
+# A batch touching more partitions than this is matched by a join instead of a listed filter.
+MAX_LISTED_PARTS = 4_096
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
@@ -62,10 +64,10 @@ def partition_of(schema: T.StructType) -> Column:
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType, since: str | None = None) -> DataFrame:
     """A stored table, columns per contract; ``since`` (yyyy-MM[-dd]) prunes partitions."""
     path = f"{root}/{name}"
-    _recover(spark, path)
+    _recover(spark, path, schema)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
+    df = spark.read.schema(_stored_schema(schema)).parquet(path)
     if since is not None:
         df = df.where(F.col(PART) >= since)
     return conform(df, schema)
@@ -102,18 +104,22 @@ def refresh_table(df: DataFrame, root: str, name: str, schema: T.StructType) ->
     return spark.read.schema(schema).parquet(path).count()
 
 
-def _recover(spark: SparkSession, path: str) -> None:
+def _stored_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
+
+
+def _recover(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Finish what an interrupted writer had already staged completely."""
     if not exists(spark, path) and exists(spark, f"{path}__old"):
         complete = exists(spark, f"{path}__new/_SUCCESS")
         _move(spark, f"{path}__new" if complete else f"{path}__old", path)
     pending = f"{path}__merge"
     if exists(spark, f"{pending}/_SUCCESS"):
-        _apply_merge(spark, path)
+        _apply_merge(spark, path, schema)
 
 
-def _apply_merge(spark: SparkSession, path: str) -> None:
-    merged = spark.read.parquet(f"{path}__merge")
+def _apply_merge(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    merged = spark.read.schema(_stored_schema(schema)).parquet(f"{path}__merge")
     (
         merged.hint("rebalance", PART).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
@@ -121,6 +127,14 @@ def _apply_merge(spark: SparkSession, path: str) -> None:
     _drop(spark, f"{path}__merge")
 
 
+def _touched(stored: DataFrame, parts: DataFrame) -> DataFrame:
+    """Stored rows of the given partitions, pruned at planning while the list is short."""
+    listed = [r[0] for r in parts.limit(MAX_LISTED_PARTS + 1).collect()]
+    if len(listed) > MAX_LISTED_PARTS:
+        return stored.join(parts, PART, "left_semi")
+    return stored.where(F.col(PART).isin(listed))
+
+
 def upsert_table(
     updates: DataFrame,
     root: str,
@@ -138,17 +152,16 @@ def upsert_table(
     the stage twice gives the same table, so an interrupted run is finished later.
     """
     spark, path = updates.sparkSession, f"{root}/{name}"
-    _recover(spark, path)
+    _recover(spark, path, schema)
     batch = updates.withColumn(PART, partition_of(schema))
     if exists(spark, path):
-        stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
-        touched = batch.select(PART).distinct()
-        target = conform(stored.join(touched, PART, "left_semi"), schema)
+        stored = spark.read.schema(_stored_schema(schema)).parquet(path)
+        target = conform(_touched(stored, batch.select(PART).distinct()), schema)
     else:
         target = spark.createDataFrame([], schema)
     merged = merge_upsert(target, batch.drop(PART), keys, update_cols, sequence, touch, now)
     _laid_out(merged, schema).write.mode("overwrite").partitionBy(PART).parquet(f"{path}__merge")
-    _apply_merge(spark, path)
+    _apply_merge(spark, path, schema)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.sources.bars import round_prices
+from barloom.sources.messages import TOPIC, encode_bars, write_files, write_topic
 
 
 def drop_forming_bar(bars: DataFrame) -> DataFrame:
@@ -25,3 +26,12 @@ def newer_than_stored(bars: DataFrame, stored: DataFrame) -> DataFrame:
 
 def incremental_bars(bars: DataFrame, stored: DataFrame) -> DataFrame:
     return round_prices(newer_than_stored(drop_forming_bar(bars), stored))
+
+
+def publish_increment(bars: DataFrame, stored: DataFrame, path: str) -> None:
+    """Append the missing finished bars to the message folder."""
+    write_files(encode_bars(incremental_bars(bars, stored)), path)
+
+
+def publish_increment_to_topic(bars: DataFrame, stored: DataFrame, servers: str, topic: str = TOPIC) -> None:
+    write_topic(encode_bars(incremental_bars(bars, stored)), servers, topic)

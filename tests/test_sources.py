@@ -190,3 +190,78 @@ def test_job_chain_writes_every_table(spark, sf_dir, tmp_path):
     assert (tmp_path / "snapshots" / "intraday_20240131.parquet").exists()
     facts = spark.read.json(f"{root}/snapshots/intraday_20240131.json").first()
     assert facts["rows"] == audit["intraday_training_dataset"]
+
+
+def test_publishing_again_adds_nothing(spark, bars, tmp_path):
+    from barloom.streaming.publish import publish_increment
+
+    fetched = bars(minute_rows("A", [1.0, 2.0, 3.0]), minute_rows("B", [4.0, 5.0]))
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "db")
+    counts = []
+    for _ in range(2):
+        held = tables.read_table(spark, root, "market_candles_1m", schemas.CANDLES_INTRADAY)
+        publish_increment(fetched, held, inbox)
+        ingest_bars(M.stream_files(spark, inbox), root, str(tmp_path / "ckpt")).awaitTermination()
+        counts.append((spark.read.text(inbox).count(), tables.read_table(spark, root, "market_candles_1m", schemas.CANDLES_INTRADAY).count()))
+    assert counts == [(3, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_landed_files(spark, tmp_path, fmt):
+    df = spark.createDataFrame(
+        [("TCS.NS", "2024-01-01T03:45:00+00:00", 1.5, 2.0, 1.0, 1.75, 10), ("X", "2024-01-01T03:50:00+00:00", 1.0, 1.0, 1.0, 1.0, 1)],
+        "symbol string, Datetime string, Open double, High double, Low double, Close double, Volume long",
+    )
+    writer = df.write.option("header", True) if fmt == "csv" else df.write
+    writer.format(fmt).save(str(tmp_path / "in"))
+    out = B.in_universe(B.normalize_bars(B.read_landed(spark, str(tmp_path / "in"), fmt, df.schema), "1m"))
+    r = out.collect()
+    assert [(x.symbol, x.event_time, x.exchange, x.close_price) for x in r] == [("TCS.NS", datetime(2024, 1, 1, 9, 15), "NSE", 1.75)]
+    assert r[0].ingestion_time is not None
+
+
+def test_news_stream_drops_repeated_urls(spark, tmp_path):
+    from barloom.operators.news import dedupe_news_stream
+
+    schema = "url string, published_at timestamp_ntz"
+    for i, u in enumerate(["u1", "u2", "u1"]):
+        spark.createDataFrame([(u, datetime(2024, 1, 1, i))], schema).write.mode("append").json(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema.replace("timestamp_ntz", "timestamp")).json(str(tmp_path / "in"))
+    q = (
+        dedupe_news_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2"]
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, sf_dir):
+    from oracle_check import compare, connect
+
+    from barloom.queries import ORACLES, QUERIES
+
+    con = connect(sf_dir)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("intraday_features_full", "json_roundtrip", "normalize_bars_5m", "symbol_sentiment", "table_upsert"):
+            assert compare(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_predictions_meet_outcomes_in_streams(spark, tmp_path):
+    from barloom.streaming.live import match_outcomes_stream
+
+    times = [datetime(2024, 1, 1, 9, m) for m in (0, 5, 10)]
+    preds = spark.createDataFrame([("A", t, 0.9) for t in times], "symbol string, event_time timestamp, probability double")
+    known = spark.createDataFrame([("A", t, i % 2) for i, t in enumerate(times[:2])], "symbol string, event_time timestamp, target_direction int")
+    preds.write.parquet(str(tmp_path / "p"))
+    known.write.parquet(str(tmp_path / "o"))
+    read = lambda d, df: spark.readStream.schema(df.schema).parquet(str(tmp_path / d))
+    q = (
+        match_outcomes_stream(read("p", preds), read("o", known)).writeStream.format("parquet")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r.event_time, r.is_right) for r in out.collect()) == [(times[0], False), (times[1], True)]
