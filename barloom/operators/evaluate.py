@@ -28,7 +28,7 @@ def naive_baselines(df: DataFrame, label: str = "target_direction", last_return:
 
 
 def score_table(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Per distinct score: positives and negatives at it and above it."""
+    """Per distinct score: positives and negatives at it, above it and in total."""
     y = F.col(label) == 1
     usable = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     return ordered_prefix(
@@ -36,7 +36,7 @@ def score_table(df: DataFrame, score: str, label: str) -> DataFrame:
         {"pos": F.when(y, 1).otherwise(0), "neg": F.when(y, 0).otherwise(1)},
     ).select(
         (-F.col("_down")).alias("score"), "pos", "neg",
-        F.col("pos_below").alias("pos_above"), F.col("neg_below").alias("neg_above"),
+        F.col("pos_below").alias("pos_above"), F.col("neg_below").alias("neg_above"), "pos_total", "neg_total",
     )
 
 
@@ -82,12 +82,11 @@ def classification_metrics(
 def precision_recall_curve(df: DataFrame, score: str, label: str = "target_direction") -> DataFrame:
     """Precision and recall of predicting up at or above each distinct score."""
     t = score_table(df, score, label)
-    n_pos = df.where(F.col(score).isNotNull()).agg(F.count_if(F.col(label) == 1)).scalar()
     caught = F.col("pos_above") + F.col("pos")
     flagged = caught + F.col("neg_above") + F.col("neg")
     return t.select(
         F.col("score").alias("threshold"), _share(caught, flagged).alias("precision"),
-        _share(caught, n_pos).alias("recall"),
+        _share(caught, F.col("pos_total")).alias("recall"),
     )
 
 

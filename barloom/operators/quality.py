@@ -175,8 +175,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_median(df: DataFrame, column: str) -> Column:
     """Median as a scalar: the values at the middle ranks, found without collecting the column."""
     present = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    n = present.agg(F.count(F.lit(1))).scalar()
-    ranked = ordered_prefix(present, "v", {"n": F.lit(1)})
+    ranked, n = ordered_prefix(present, "v", {"n": F.lit(1)}), F.col("n_total")
 
     def at(rank: Column) -> Column:
         return F.max(F.when(F.col("n_below") <= rank, F.col("v")))

@@ -77,27 +77,46 @@ def asof_join(
     )
 
 
+def _count_below(bounds: Column, value: Column, n_bounds: int) -> Column:
+    """How many of the ascending ``bounds`` are below ``value``, by binary search in the row."""
+    steps = [1 << k for k in reversed(range(n_bounds.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda found, step: F.when(F.get(bounds, found + step - 1) < value, found + step).otherwise(found),
+    )
+
+
 def ordered_prefix(df: DataFrame, order: str, sums: Mapping[str, Column], cuts: int = 256) -> DataFrame:
     """Totals per distinct ``order`` value with the totals of all smaller values.
 
-    For each ``name -> column``: ``name`` is its sum at that value and ``name_below``
-    the sum over smaller values.  Ordering is global, so instead of one sorted task
-    the distinct values are spread over ranges between approximate quantiles; only
-    the range totals (at most ``cuts + 1`` rows) are summed in one place.
+    For each ``name -> column``: ``name`` is its sum at that value, ``name_below`` the sum
+    over smaller values and ``name_total`` the sum over all.  Ordering is global, so
+    instead of one sorted task the distinct values are spread over ranges between
+    approximate quantiles; only the range totals (at most ``cuts`` rows) are summed in
+    one place.
     """
     at_value = df.groupBy(order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     quantiles = [i / cuts for i in range(1, cuts)]
     bounds = at_value.select(F.percentile_approx(order, quantiles).alias("b")).scalar()
     placed = at_value.withColumn("_bounds", bounds).withColumn(
-        "_range", F.size(F.filter("_bounds", lambda b: b < F.col(order)))
+        "_range", _count_below(F.col("_bounds"), F.col(order), len(quantiles))
     ).drop("_bounds")
+    ranges = placed.groupBy("_range").agg(*[F.sum(n).alias(n) for n in sums])
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    range_base = placed.groupBy("_range").agg(*[F.sum(n).alias(n) for n in sums]).select(
-        "_range", *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"_base_{n}") for n in sums]
+    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    range_base = ranges.select(
+        "_range",
+        *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"_base_{n}") for n in sums],
+        *[F.sum(n).over(everything).alias(f"{n}_total") for n in sums],
     )
     inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         placed.withColumns({f"_in_{n}": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in sums})
         .join(F.broadcast(range_base), "_range")
-        .select(order, *sums, *[(F.col(f"_base_{n}") + F.col(f"_in_{n}")).alias(f"{n}_below") for n in sums])
+        .select(
+            order, *sums,
+            *[(F.col(f"_base_{n}") + F.col(f"_in_{n}")).alias(f"{n}_below") for n in sums],
+            *[f"{n}_total" for n in sums],
+        )
     )

@@ -13,7 +13,7 @@ SPLIT, FOLD = "split", "fold"
 
 
 def _ranked_times(df: DataFrame, ts: str) -> DataFrame:
-    """Distinct times with ``n_below``, the number of earlier distinct times."""
+    """Distinct times with ``n_below``, the number of earlier ones, and ``n_total`` of all."""
     return ordered_prefix(df.select(ts).distinct(), ts, {"n": F.lit(1)})
 
 
@@ -23,11 +23,8 @@ def _labelled(is_train: Column) -> Column:
 
 def time_split(df: DataFrame, ts: str = "event_time", train_share: float = 0.8) -> DataFrame:
     """The earliest share of distinct times is train, the rest test, for all symbols alike."""
-    total = df.agg(F.count_distinct(ts)).scalar()
-    cut = (
-        _ranked_times(df, ts).where(F.col("n_below") < F.floor(total * F.lit(train_share)))
-        .agg(F.max(ts)).scalar()
-    )
+    in_train = F.col("n_below") < F.floor(F.col("n_total") * F.lit(train_share))
+    cut = _ranked_times(df, ts).where(in_train).agg(F.max(ts)).scalar()
     return df.withColumn(SPLIT, _labelled(F.col(ts) <= cut))
 
 
@@ -44,9 +41,8 @@ def time_split_per_symbol(
 
 def time_buckets(df: DataFrame, n: int, ts: str = "event_time") -> DataFrame:
     """Add ``fold`` 0..n-1: equal groups of consecutive distinct times, larger groups first."""
-    total = df.agg(F.count_distinct(ts)).scalar()
-    ranked = _ranked_times(df, ts).withColumn("_total", total)
-    size, big = F.floor(F.col("_total") / n), F.col("_total") % n
+    ranked = _ranked_times(df, ts)
+    size, big = F.floor(F.col("n_total") / n), F.col("n_total") % n
     edge = big * (size + 1)
     r = F.col("n_below")
     bucket = F.when(r < edge, F.floor(r / (size + 1))).otherwise(big + F.floor(F.try_divide(r - edge, size)))
