@@ -63,7 +63,8 @@ def symbol_sentiment(scored: DataFrame, bucket: str = "1 hour", trailing_seconds
     """
     per_bucket = (
         scored.groupBy("symbol", F.window("published_at", bucket).alias("w"))
-        .agg(F.sum("sentiment_score").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+        # scores have 4 digits; decimal sums do not depend on the order of the rows
+        .agg(F.sum(F.col("sentiment_score").cast("decimal(10,4)")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
         .select("symbol", F.col("w.end").alias("bucket_end"), "_sum", "_n")
         .withColumn(
             "_sec",
@@ -74,7 +75,7 @@ def symbol_sentiment(scored: DataFrame, bucket: str = "1 hour", trailing_seconds
     day = Window.partitionBy("symbol").orderBy("_sec").rangeBetween(-(trailing_seconds - 1), 0)
     return per_bucket.select(
         "symbol", "bucket_end", F.sum("_n").over(day).alias("articles"),
-        F.try_divide(F.sum("_sum").over(day), F.sum("_n").over(day).cast("double")).alias("mean_sentiment"),
+        F.try_divide(F.sum("_sum").over(day).cast("double"), F.sum("_n").over(day).cast("double")).alias("mean_sentiment"),
     )
 
 

@@ -77,6 +77,20 @@ def asof_join(
     )
 
 
+def _fixed_bounds(df: DataFrame, order: str, quantiles: Sequence[float]) -> Column:
+    """Approximate quantiles as a literal array.
+
+    They are taken once: a second evaluation may differ on large data, and the ranges of
+    two plan branches must agree.  At most ``len(quantiles)`` values pass the driver, as
+    text, which keeps doubles and times exact.
+    """
+    kind = df.schema[order].dataType.simpleString()
+    found = df.select(F.percentile_approx(order, list(quantiles)).cast("array<string>")).first()[0]
+    if found is None:
+        return F.array().cast(f"array<{kind}>")
+    return F.split(F.lit("|".join(found)), "[|]").cast(f"array<{kind}>")
+
+
 def _count_below(bounds: Column, value: Column, n_bounds: int) -> Column:
     """How many of the ascending ``bounds`` are below ``value``, by binary search in the row."""
     steps = [1 << k for k in reversed(range(n_bounds.bit_length()))]
@@ -98,10 +112,9 @@ def ordered_prefix(df: DataFrame, order: str, sums: Mapping[str, Column], cuts:
     """
     at_value = df.groupBy(order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     quantiles = [i / cuts for i in range(1, cuts)]
-    bounds = at_value.select(F.percentile_approx(order, quantiles).alias("b")).scalar()
-    placed = at_value.withColumn("_bounds", bounds).withColumn(
-        "_range", _count_below(F.col("_bounds"), F.col(order), len(quantiles))
-    ).drop("_bounds")
+    placed = at_value.withColumn(
+        "_range", _count_below(_fixed_bounds(at_value, order, quantiles), F.col(order), len(quantiles))
+    )
     ranges = placed.groupBy("_range").agg(*[F.sum(n).alias(n) for n in sums])
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

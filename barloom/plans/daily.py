@@ -16,6 +16,7 @@ from barloom.operators import series as S
 from barloom.operators.ema import ema_lookback, with_ema
 from barloom.sources import schemas
 
+# EMA spans.
 SPANS = {"ema_20": 20, "ema_50": 50}
 
 

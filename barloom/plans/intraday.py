@@ -17,6 +17,7 @@ from barloom.operators import series as S
 from barloom.operators.ema import ema_lookback, with_ema
 from barloom.sources import schemas
 
+# EMA spans, breakout threshold in percent, RSI rows.
 SPANS = {"ema_9": 9, "ema_20": 20, "ema_50": 50}
 BREAKOUT_THRESHOLD = 0.10
 RSI_ROWS = 14

@@ -9,6 +9,7 @@ from barloom.operators import series as S
 from barloom.plans import intraday
 from barloom.sources import schemas
 
+# Fixed value: rows ahead.
 HORIZON = 12
 
 

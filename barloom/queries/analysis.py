@@ -366,23 +366,24 @@ _EQUITY = f"""{_SCORED}, traded AS (
 @query("equity_curve", f"""{_EQUITY} SELECT symbol, event_time, traded, {_r('net', 4)} AS net_return_pct,
   {_r('eq', 4)} AS equity, {_r('pk', 4)} AS peak, {_r('pk - eq', 4)} AS drawdown_pct FROM peaks""")
 def equity_curve_query(spark, sf_dir):
-    curve = equity_curve(scored(spark, sf_dir), "score", 0.6)
+    curve = equity_curve(stored(scored(spark, sf_dir)), "score", 0.6)
     cols = ("net_return_pct", "equity", "peak", "drawdown_pct")
     return _rounded(curve.select("symbol", "event_time", "traded", *cols), 4, *cols)
 
 
 @query("backtest_signals", f"""{_EQUITY} SELECT symbol, count(*) FILTER (traded) AS trades,
   {_r('count(*) FILTER (traded AND net > 0)::DOUBLE / nullif(count(*) FILTER (traded), 0)', 6)} AS win_rate,
-  {_r('avg(net) FILTER (traded AND net > 0)', 4)} AS avg_win_pct,
-  {_r('avg(net) FILTER (traded AND net <= 0)', 4)} AS avg_loss_pct,
-  {_r('avg(reward_risk_ratio) FILTER (traded)', 4)} AS avg_reward_risk,
+  {_r('avg(net) FILTER (traded AND net > 0)', 6)} AS avg_win_pct,
+  {_r('avg(net) FILTER (traded AND net <= 0)', 6)} AS avg_loss_pct,
+  {_r('avg(reward_risk_ratio) FILTER (traded)', 6)} AS avg_reward_risk,
   {_r('sum(net)', 4)} AS total_return_pct, {_r('max(pk - eq)', 4)} AS max_drawdown_pct,
   {_r('(arg_max(close_price, event_time) - arg_min(close_price, event_time)) / arg_min(close_price, event_time) * 100.0', 4)}
     AS buy_and_hold_pct FROM peaks GROUP BY symbol""")
 def backtest(spark, sf_dir):
-    report = _rounded(backtest_signals(scored(spark, sf_dir), "score", 0.6), 6, "win_rate")
-    return _rounded(report, 4, "avg_win_pct", "avg_loss_pct", "avg_reward_risk", "total_return_pct",
-                    "max_drawdown_pct", "buy_and_hold_pct")
+    # Means of 4-digit returns can lie halfway between 4-digit values; 6 digits do not split such ties.
+    report = backtest_signals(stored(scored(spark, sf_dir)), "score", 0.6)
+    report = _rounded(report, 6, "win_rate", "avg_win_pct", "avg_loss_pct", "avg_reward_risk")
+    return _rounded(report, 4, "total_return_pct", "max_drawdown_pct", "buy_and_hold_pct")
 
 
 # --- monitoring -------------------------------------------------------------
@@ -518,9 +519,9 @@ def score_sentiment(spark, sf_dir):
 
 @query("symbol_sentiment", f"""WITH {_ARTICLES}, buckets AS (
     SELECT symbol, time_bucket(INTERVAL 1 HOUR, published_at) + INTERVAL 1 HOUR AS bucket_end,
-           sum(sentiment_score) AS s, count(*) AS n FROM scored_news GROUP BY 1, 2)
+           sum(CAST(sentiment_score AS DECIMAL(10,4))) AS s, count(*) AS n FROM scored_news GROUP BY 1, 2)
   SELECT symbol, bucket_end, CAST(sum(n) OVER day_ AS BIGINT) AS articles,
-         {_r('sum(s) OVER day_ / sum(n) OVER day_', 6)} AS mean_sentiment FROM buckets
+         {_r('CAST(sum(s) OVER day_ AS DOUBLE) / CAST(sum(n) OVER day_ AS DOUBLE)', 6)} AS mean_sentiment FROM buckets
   WINDOW day_ AS (PARTITION BY symbol ORDER BY bucket_end
                   RANGE BETWEEN INTERVAL 86399 SECONDS PRECEDING AND CURRENT ROW)""")
 def symbol_sentiment(spark, sf_dir):

@@ -1,4 +1,8 @@
-"""Table contracts: one StructType per table, in write order."""
+"""Table contracts: one StructType per table, in write order.
+
+Fixed values: table names, column names and their order are what readers of the
+tables rely on.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame

@@ -29,6 +29,14 @@ def test_ordered_prefix_over_many_ranges(spark):
     assert out["n_below"].tolist() == want and out["n"].sum() == 3_000
 
 
+def test_ordered_prefix_over_times_and_nothing(spark):
+    times = [datetime(2024, 1, 1, 0, 0, 0, 7 * i + 1) for i in range(500)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    out = ordered_prefix(df, "t", {"n": F.lit(1)}, cuts=8).orderBy("t").collect()
+    assert [r.n_below for r in out] == list(range(500)) and {r.n_total for r in out} == {500}
+    assert ordered_prefix(df.limit(0), "t", {"n": F.lit(1)}).count() == 0
+
+
 def test_metrics_by_brute_force(spark):
     rng = np.random.default_rng(5)
     score, y = np.round(rng.random(400), 1), rng.integers(0, 2, 400)
