@@ -5,6 +5,8 @@ then takes its place, so a lost executor or driver never leaves half a table.
 """
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -23,13 +25,13 @@ MAX_LISTED_PARTS = 4_096
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only a session that names no such folder (a local test) falls back to a
-    temporary one.
+    A session in one process (``local[n]``, as in tests) that names no such folder gets a
+    temporary one; on a cluster that is an error, as executors would write to their own disks.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="barloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
