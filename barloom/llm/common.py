@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.sources.tables import scratch_dir
@@ -34,15 +34,8 @@ def first_n_rank(df: DataFrame, order: Sequence[Column], rank: str, purpose: str
 
     The sort is a range shuffle; only one count per partition meets in one task.
     """
-    packed = df.select(F.struct("*").alias("row")).select("row", *[o.alias(f"o{i}") for i, o in enumerate(order)])
-    ordered = packed.orderBy(*[F.col(f"o{i}").asc_nulls_last() for i in range(len(order))])
-    placed = stage(ordered.select("row", F.monotonically_increasing_id().alias("at")), purpose)
-    return _dense(placed, rank)
-
-
-def _dense(placed: DataFrame, rank: str) -> DataFrame:
-    from pyspark.sql import Window
-
+    ordered = df.orderBy(*order).select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at"))
+    placed = stage(ordered, purpose)
     part, at = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select(
