@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_dedup, mixing
-from barloom.llm.common import table
+from barloom.llm import exact_dedup, language_id, mixing, packing, token_files
+from barloom.llm.common import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,23 @@ c AS (
 SELECT doc_id, size, source_size, target,
        size * (whole + (2 * start + size < 2 * (target - whole * source_size))::INT) AS taken
 FROM c"""
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held_out = id_crc() % 5 == 0
+    model = language_id.training_text(docs, ~held_out)
+    return language_id.predict(docs.withColumn("held_out", held_out), model, ["doc_id", "held_out"]).select(
+        "_row.*", "lang_pred", "score"
+    )
+
+
+@query
+def op5_token_files(spark, sf_dir):
+    return token_files.token_files(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
