@@ -1,6 +1,6 @@
 """Exact de-duplication by distributed MSD radix partitioning.
 
-Documents are split by successive bytes of their text. A round takes the next bytes of every
+Documents are split by their length and then by successive bytes of their text. A round takes the next bytes of every
 open document (64 first, then 16 times as many each round), counts the documents of each
 (group, bytes) pair and ends
 
@@ -10,7 +10,7 @@ open document (64 first, then 16 times as many each round), counts the documents
 All others form the groups of the next round. Bytes are compared themselves, so no digest decides
 equality. The counts are combined before they are shuffled, and documents meet their group's row in a
 plain join that adaptive execution can split: a group of copies may hold a third of all
-rows. Groups get a new number in a written table, and each round is staged, so lost executors
+rows. Texts are moved once to meet the first groups, and after that only the texts of groups that are still open. Groups get a new number in a written table, and each round is staged, so lost executors
 cost a reread. The number of rounds is logarithmic in the longest text.
 
 Defined cases: a null text counts as empty and equals other empty texts. Of a group the row with
@@ -38,7 +38,7 @@ def exact_groups(docs: DataFrame, first_bytes: int = FIRST_BYTES, growth: int =
     if carry:
         columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], F.col("text")).alias("doc"))
     kept_columns = ["doc_id", "text_sha256"] + (["doc"] if carry else [])
-    opened = docs.select(*columns, F.lit(0).cast("long").alias("gid"))
+    opened = docs.select(*columns, F.octet_length(text).cast("long").alias("gid"))  # the first split is by length
     finished, depth, width, level = [], 0, first_bytes, 0
     while True:
         step, finished_here = _round(opened, kept_columns, depth, width, level, carry)
@@ -63,7 +63,7 @@ def _round(opened, kept_columns, depth, width, level, carry):
     )
     ended = F.col("n").isNull() | (F.octet_length("chunk") < width)
     met = stage(
-        keyed.join(groups, ["gid", "chunk"], "left").select(
+        keyed.join(groups.hint("merge"), ["gid", "chunk"], "left").select(
             *kept_columns, "n", "top", F.col("next_gid").alias("gid"), F.lit(level).alias("level"),
             F.when(~ended, F.col("text")).alias("text"), (~ended).cast("int").alias("is_open"),
         ),
