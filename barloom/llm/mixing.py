@@ -9,7 +9,7 @@ again, so a source misses its target by half a document at most.
 
 Running sums within a source are cut into ranges of the hash: totals per (source, range) are
 combined before the shuffle, and only their running sum goes by source. A source that holds a
-third of all rows is spread over as many ranges as it has thousands of rows. The number of
+third of all rows is spread over ranges of a few thousand rows each. The number of
 ranges changes no result. Sources are numbered through a global sort; water-filling
 reads one row per source and brings two sums to the driver per pass.
 
@@ -30,7 +30,7 @@ from barloom.llm.common import first_n_rank, stage
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 7
-RANGE_ROWS = 16_384
+RANGE_ROWS = 2_048
 WORD = r"[^\x20\x09-\x0D]+"
 
 

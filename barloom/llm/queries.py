@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_dedup, language_id, mixing, packing, token_files
+from barloom.llm import exact_dedup, language_id, mixing, packing, syncmers, token_files
 from barloom.llm.common import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op5_token_files(spark, sf_dir):
 @query
 def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_syncmers(spark, sf_dir):
+    return syncmers.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
