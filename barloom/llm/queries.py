@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_dedup, language_id, mixing, packing, syncmers, token_files
+from barloom.llm import exact_dedup, language_id, mixing, packing, syncmers, token_files, warc
 from barloom.llm.common import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,18 @@ def op6_packing(spark, sf_dir):
 @query
 def op8_syncmers(spark, sf_dir):
     return syncmers.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+
+
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d),
+r AS (SELECT *, CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to FROM f)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM r"""
