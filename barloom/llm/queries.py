@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_dedup, language_id, mixing, packing, syncmers, token_files, warc
+from barloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, syncmers, token_files, warc
 from barloom.llm.common import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ r AS (SELECT *, CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
 FROM r"""
+
+
+@query
+def op10_near_dedup(spark, sf_dir):
+    return near_dedup.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
