@@ -2,20 +2,24 @@
 
 The model is a trie of byte contexts learned from the whole training part of the corpus. The contexts of a byte are the
 token so far (up to ``MAX_CONTEXT`` bytes), then its last two bytes, its last byte, none, and at last all bytes
-alike. A context that has seen n bytes, k of them different, predicts a byte seen c times with c / (n + k) and
-escapes with k / (n + k) (method C); bytes that a longer context has ruled out are excluded from the shorter ones. Tokens end
-with a blank, which no token holds; a document ends with an empty token. So the probabilities of all documents add
-up to 1, and a document's score is the sum of its tokens' log10 probabilities.
+alike; bytes that a longer context has ruled out are excluded from the shorter ones. A context that has seen n bytes, k of them
+different, escapes with an estimated probability: for the trie, contexts of like depth, n and k are pooled and
+the share of bytes that would be new if one occurrence were left out is counted; for the short contexts it is k / (n + k). Tokens
+end with a blank, which no token holds; a document ends with an empty token.
 
-A token's probability depends on the token alone, so each distinct token is scored once:
+A document's own tokens are its first context and adapt the model to it: after t tokens, one seen c times so far
+has (c + ADAPT * p) / (t + ADAPT), p being its probability in the trie; ADAPT / (t + ADAPT) is the escape. All
+probabilities of documents add up to 1, and a score is the log10 probability of a whole document.
+
+A token's p depends on the token alone, so each distinct token is looked up once:
 
 1. Documents are cut into blocks where they lie; a block holds its distinct tokens with their training counts and its
    documents as numbers of those tokens. Blocks are staged.
 2. Counts of equal tokens are added up (combined by block already), which gives c, N and V for the base score.
-3. Tokens are cut into ranges of the sorted order, so that subtrees of the trie stay together. Trie nodes that span ranges
-   are prefixes of the cut points; their counts and those of the short contexts (256**3 at most) are summed up and sent to all tasks.
-   Each range is then walked as a trie and gives the score of its tokens.
-4. Scores return to the blocks through a join on the token (a token comes once per block, hot tokens are split by
+3. Tokens are cut into ranges of the sorted order, so that subtrees of the trie stay together, one row per range. Trie nodes
+   that span ranges are prefixes of the cut points; their counts, the short contexts (256**3 at most) and the escape
+   classes are summed up and sent to all tasks. Then each range is walked as a trie and gives p of its tokens.
+4. Results return to the blocks through a join on the token (a token comes once per block, hot tokens are split by
    adaptive execution), and each block adds up its documents.
 
 Nothing but those bounded counts goes through the driver; a block and a range are bounded by their parameters.
@@ -44,6 +48,7 @@ MAX_CONTEXT = 32
 RANGE_WORDS = 50_000
 MOST_RANGES = 16_384
 END = 0x20  # the byte that ends a token
+ADAPT = 1_000  # tokens of a document that weigh as much as the trie
 ALPHABET = 251  # bytes that can occur: all but five kinds of white space
 
 
@@ -84,11 +89,64 @@ class ShortContexts:
         return sum(self.step(token, j) for j in range(i, len(token) + 1))
 
 
+def escape_class(depth: int, n: int, k: int) -> tuple[int, int, int]:
+    """Contexts that share an escape estimate: depth up to 8, n and k exact when small, else by powers of two."""
+    return min(depth, 8), n if n < 4 else 2 + n.bit_length(), k if k < 4 else 2 + k.bit_length()
+
+
+def add_escapes(depth: int, counts: list[int], events: dict[tuple[int, int, int], list[int]]) -> None:
+    """What leaving out each occurrence of a context's bytes in turn tells: [new bytes, all bytes] by class."""
+    n, k, once = sum(counts), len(counts), counts.count(1)
+    if n > 1 and once:
+        event = events.setdefault(escape_class(depth, n - 1, k - 1), [0, 0])
+        event[0] += once
+        event[1] += once
+    if n > once and n > 1:
+        events.setdefault(escape_class(depth, n - 1, k), [0, 0])[1] += n - once
+
+
+def _runs(tokens: list[bytes], lo: int, hi: int, depth: int) -> list[tuple[int, int, int]]:
+    """Stretches of sorted tokens with the same byte at ``depth``."""
+    runs, start, symbol = [], lo, None
+    for i in range(lo, hi):
+        token = tokens[i]
+        s = token[depth] if len(token) > depth else END
+        if s != symbol:
+            if symbol is not None:
+                runs.append((symbol, start, i))
+            start, symbol = i, s
+    runs.append((symbol, start, hi))
+    return runs
+
+
+def range_escapes(tokens: list[bytes], counts: list[int], spanning, events, max_context: int = MAX_CONTEXT) -> None:
+    """Escape events of the trie nodes that lie within a range; all counts are positive."""
+    stack = [(0, len(tokens), 0)] if tokens else []
+    while stack:
+        lo, hi, depth = stack.pop()
+        if depth == max_context:
+            continue
+        spans = tokens[lo][:depth] in spanning
+        if hi - lo == 1 and not spans:
+            if counts[lo] > 1:
+                for d in range(depth, min(len(tokens[lo]) + 1, max_context)):
+                    add_escapes(d, [counts[lo]], events)
+            continue
+        runs = _runs(tokens, lo, hi, depth)
+        if not spans:
+            add_escapes(depth, [sum(counts[a:b]) for _, a, b in runs], events)
+        stack.extend((a, b, depth + 1) for s, a, b in runs if s != END)
+
+
 class TokenScorer:
     """log10 probabilities of the sorted distinct tokens of one range."""
 
-    def __init__(self, spanning: dict[bytes, dict[int, int]], short: ShortContexts, max_context: int = MAX_CONTEXT):
-        self.spanning, self.short, self.max_context = spanning, short, max_context
+    def __init__(self, spanning: dict[bytes, dict[int, int]], short: ShortContexts, events, max_context: int = MAX_CONTEXT):
+        self.spanning, self.short, self.max_context, self.events = spanning, short, max_context, events
+
+    def escape(self, depth: int, n: int, k: int) -> float:
+        event = self.events.get(escape_class(depth, n, k))
+        return (event[0] + 0.5) / (event[1] + 1) if event else k / (n + k)
 
     def score(self, tokens: list[bytes], counts: list[int]) -> list[float]:
         self.tokens, self.counts, self.out = tokens, counts, [0.0] * len(tokens)
@@ -105,32 +163,24 @@ class TokenScorer:
                 out[i] = so_far + self.short.rest(tokens[i], depth)
             return
         if hi - lo == 1 and spanning is None and counts[lo]:
-            token, c = tokens[lo], counts[lo]  # all that is left is this token: each step is its count against one escape
-            steps = min(len(token) + 1, self.max_context) - depth
-            out[lo] = so_far + steps * log10(c / (c + 1))
+            token, c = tokens[lo], counts[lo]  # all that is left is this token: each step only does not escape
+            out[lo] = so_far + sum(log10(1 - self.escape(d, c, 1)) for d in range(depth, min(len(token) + 1, self.max_context)))
             if len(token) >= self.max_context:
                 out[lo] += self.short.rest(token, self.max_context)
             return
-        runs, start, symbol = [], lo, None
-        for i in range(lo, hi):
-            token = tokens[i]
-            s = token[depth] if len(token) > depth else END
-            if s != symbol:
-                if symbol is not None:
-                    runs.append((symbol, start, i))
-                start, symbol = i, s
-        runs.append((symbol, start, hi))
+        runs = _runs(tokens, lo, hi, depth)
         seen = spanning if spanning is not None else {s: c for s, a, b in runs if (c := sum(counts[a:b]))}
         n, k = sum(seen.values()), len(seen)
+        escape = self.escape(depth, n, k) if n else 1.0
         for s, a, b in runs:
             if c := seen.get(s):
-                reached = so_far + log10(c / (n + k))
+                reached = so_far + log10((1 - escape) * c / n)
                 if s == END:
                     out[a] = reached
                 else:
                     self._walk(a, b, depth + 1, reached)
             else:
-                escaped = so_far + (log10(k / (n + k)) if n else 0.0)
+                escaped = so_far + log10(escape)
                 ruled = set(seen)
                 for i in range(a, b):
                     token = tokens[i]
@@ -217,52 +267,83 @@ def _token_scores(words: DataFrame, distinct: int, range_words: int) -> DataFram
         cuts = sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if drawn else []
     spanning = {c[:d] for c in cuts for d in range(len(c) + 1)}
 
+    def placed(batches):
+        for batch in batches:
+            place = pa.array([bisect_right(cuts, t) for t in batch.column("token").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([place, batch.column("token"), batch.column("c")], ["place", "token", "c"])
+
+    in_ranges = words.mapInArrow(placed, "place int, token binary, c long").repartition(max(1, len(cuts) + 1), "place")
+    schema = "place int, tokens array<binary>, counts array<long>"
+    sorted_ranges = stage(in_ranges.sortWithinPartitions("place", "token").mapInArrow(_gathered, schema), "ppm-ranges")
+
     def counted(batches):
         found: dict[tuple[int, bytes, int], int] = {}
+        events: dict[tuple[int, int, int], list[int]] = {}
         for batch in batches:
-            tokens, counts = batch.column("token").to_pylist(), batch.column("c").to_numpy()
-            if tokens:
-                context_counts(tokens, counts, spanning, found)
+            for tokens, counts in zip(batch.column("tokens").to_pylist(), batch.column("counts").to_pylist()):
+                tokens, counts = [t for t, c in zip(tokens, counts) if c], [c for c in counts if c]
+                if tokens:
+                    context_counts(tokens, np.array(counts, np.int64), spanning, found)
+                    range_escapes(tokens, counts, spanning, events)
+        for key, event in events.items():
+            found.update({(-2, bytes(key), i): x for i, x in enumerate(event)})
         rows = list(zip(*[(o, p, s, n) for (o, p, s), n in found.items()])) or [()] * 4
         types = [pa.int32(), pa.binary(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], ["kind", "context", "symbol", "n"])
 
     short: dict[bytes, dict[int, int]] = {}
     nodes: dict[bytes, dict[int, int]] = {p: {} for p in spanning}
-    partial = words.where("c > 0").select("token", "c").mapInArrow(counted, "kind int, context binary, symbol int, n long")
-    for r in partial.groupBy("kind", "context", "symbol").agg(F.sum("n").alias("n")).toLocalIterator():
-        (nodes if r["kind"] < 0 else short).setdefault(bytes(r["context"]), {})[r["symbol"]] = r["n"]
-    shared = words.sparkSession.sparkContext.broadcast((cuts, nodes, short))
-
-    def placed(batches):
-        cuts = shared.value[0]
-        for batch in batches:
-            place = pa.array([bisect_right(cuts, t) for t in batch.column("token").to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([place, batch.column("token"), batch.column("c")], ["place", "token", "c"])
+    events: dict[tuple[int, int, int], list[int]] = {}
+    partial = sorted_ranges.select("tokens", "counts").mapInArrow(counted, "kind int, context binary, symbol int, n long")
+    for r in partial.groupBy("kind", "context", "symbol").agg(F.sum("n").alias("n")).collect():
+        context = bytes(r["context"])
+        if r["kind"] == -2:
+            events.setdefault(tuple(context), [0, 0])[r["symbol"]] += r["n"]
+        else:
+            (nodes if r["kind"] < 0 else short).setdefault(context, {})[r["symbol"]] = r["n"]
+    for prefix, seen in nodes.items():
+        add_escapes(len(prefix), list(seen.values()), events)
+    shared = words.sparkSession.sparkContext.broadcast((nodes, short, events))
 
     def scored(batches):
-        _, nodes, short = shared.value
-        scorer, place, tokens, counts = TokenScorer(nodes, ShortContexts(short)), None, [], []
+        nodes, short, events = shared.value
+        scorer = TokenScorer(nodes, ShortContexts(short), events)
+        for batch in batches:
+            for tokens, counts in zip(batch.column("tokens").to_pylist(), batch.column("counts").to_pylist()):
+                logp = scorer.score(tokens, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens, pa.binary()), pa.array(counts, pa.int64()), pa.array(logp, pa.float64())], ["token", "c", "logp"]
+                )
 
-        def out():
-            logp = scorer.score(tokens, counts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(tokens, pa.binary()), pa.array(counts, pa.int64()), pa.array(logp, pa.float64())], ["token", "c", "logp"]
-            )
+    return sorted_ranges.select("tokens", "counts").mapInArrow(scored, "token binary, c long, logp double")
 
-        for batch in batches:
-            for p, t, c in zip(*(batch.column(n).to_pylist() for n in ("place", "token", "c"))):
-                if p != place:
-                    if tokens:
-                        yield out()
-                    place, tokens, counts = p, [], []
-                tokens.append(t)
-                counts.append(c)
-        if tokens:
-            yield out()
 
-    in_ranges = words.mapInArrow(placed, "place int, token binary, c long").repartition(max(1, len(cuts) + 1), "place")
-    return in_ranges.sortWithinPartitions("place", "token").mapInArrow(scored, "token binary, c long, logp double")
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per range; its tokens arrive in order."""
+    schema = pa.schema([("place", pa.int32()), ("tokens", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
+    place, tokens, counts = None, [], []
+    for batch in batches:
+        for p, t, c in zip(*(batch.column(n).to_pylist() for n in ("place", "token", "c"))):
+            if p != place:
+                if tokens:
+                    yield pa.RecordBatch.from_pylist([{"place": place, "tokens": tokens, "counts": counts}], schema=schema)
+                place, tokens, counts = p, [], []
+            tokens.append(t)
+            counts.append(c)
+    if tokens:
+        yield pa.RecordBatch.from_pylist([{"place": place, "tokens": tokens, "counts": counts}], schema=schema)
+
+
+def adapted(ids: np.ndarray, logp: np.ndarray, adapt: float = ADAPT) -> float:
+    """log10 probability of a document whose tokens (by number) have the given probabilities in the trie."""
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+    seen = np.empty(len(ids))  # earlier occurrences of each token in the document
+    seen[order] = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+    before = np.arange(len(ids))
+    # a token seen never before may have a probability too small for a double; its logarithm is added instead
+    again = np.log10(np.maximum(seen + adapt * 10.0 ** logp, 1e-300))
+    return float(np.where(seen > 0, again, logp + np.log10(adapt)).sum() - np.log10(before + adapt).sum())
 
 
 def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +398,7 @@ def ppm_scores(docs: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
                 base, out = np.log10((c + 0.1) / divisor), []
                 for d in documents:
                     ids = np.frombuffer(unpacker.decompress(d["ids"]), np.uint32)
-                    out.append((d["doc_id"], d["held_out"], d["n"], int((c[ids] > 0).sum()), n, float(base[ids].sum()), float(logp[ids].sum())))
+                    out.append((d["doc_id"], d["held_out"], d["n"], int((c[ids] > 0).sum()), n, float(base[ids].sum()), adapted(ids.astype(np.int64), logp[ids])))
                 types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
                 names = [x.split()[0] for x in RESULT.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names)
