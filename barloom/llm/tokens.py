@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 KEPT_PIECES = 300_000  # entries after which a worker's table of known pieces makes room
+KEPT_WORDS = 200_000  # the same for its table of lower-case words
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-/:-@\[-`{-~]*)")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -35,6 +36,8 @@ class Encoder:
         self.tails: dict[str, bytes] = {"": b""}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.known_words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         packed = array(self.code, ids)
@@ -54,23 +57,35 @@ class Encoder:
 
     def _learn(self, pieces: set[str]) -> None:
         """Put pieces into the table; what an emptied table held counts as known once more when met again."""
-        known, older, plain = self.known, self.older, []
-        for p in pieces:
-            if p in older:
-                known[p] = older[p]
+        known, older, simple, plain = self.known, self.older, [], []
+        met = pieces.intersection(older)
+        known.update(zip(met, map(older.__getitem__, met)))
+        for p in pieces.difference(met):
+            if p.isascii() and p.isalpha():
+                simple.append(p)
             elif m := _PLAIN.fullmatch(p):
                 plain.append((p, m[1].lower(), m[2]))
             else:
                 known[p] = self.whole(p)
-        words = list({w for _, w, _ in plain})
+        simple_words = [p.lower() for p in simple]
+        ids, older_words = self.known_words, self.older_words
+        new = {w for _, w, _ in plain}.union(simple_words).difference(ids)
+        if older_words:
+            met = new.intersection(older_words)
+            ids.update(zip(met, map(older_words.__getitem__, met)))
+            new -= met
+        words = list(new)
         encoded = self.words.encode_batch_fast([[w] for w in words], is_pretokenized=True, add_special_tokens=False)
-        ids = {w: self._bytes(e.ids) for w, e in zip(words, encoded)}
+        ids.update(zip(words, [self._bytes(e.ids) for e in encoded]))
+        known.update(zip(simple, map(ids.__getitem__, simple_words)))
         for p, w, tail in plain:
-            known[p] = ids[w] + self._tail(tail) if tail else ids[w]
+            known[p] = ids[w] + self._tail(tail)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
+        if len(self.known_words) > KEPT_WORDS:
+            self.known_words, self.older_words = {}, self.known_words
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
         pieces = set().union(*(s for s in split if s))
         self._learn(pieces.difference(self.known))
