@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_dedup, language_id, mixing, near_dedup, packing, ppm, syncmers, token_files, warc
+from barloom.llm import exact_dedup, html_text, language_id, mixing, near_dedup, packing, ppm, syncmers, token_files, warc
 from barloom.llm.common import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def op10_near_dedup(spark, sf_dir):
 @query
 def op7_ppm(spark, sf_dir):
     return ppm.ppm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
