@@ -88,6 +88,6 @@ def _with_kept(rows, kept_columns):
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns; a null text comes back as empty."""
+    """The rows of ``docs`` that stay, all their columns as they were."""
     kept = exact_groups(docs, carry=True).where("kept").select("doc.*")
     return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -158,7 +158,7 @@ def features(e: Element) -> list[str]:
 class Model:
     """Log odds of features and joint potentials of parent and child, learned from labelled pages."""
 
-    def __init__(self, pages: list[str], passes: int = 6, rate: float = 0.1, weight: float = 0.6, smoothing: float = 0.5):
+    def __init__(self, pages: list[str], passes: int = 8, rate: float = 0.1, weight: float = 0.6, smoothing: float = 0.5):
         seen = defaultdict(lambda: [0, 0])
         pairs = {kind: [[1.0, 1.0], [1.0, 1.0]] for kind in ("block", "inline")}
         totals = [0, 0]
@@ -259,7 +259,7 @@ COMMENTS = (
 )
 
 
-def labelled_pages(n: int = 300, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
     """Pages of many layouts; ``data-label`` tells content (1) from the rest (0) and holds for what is inside."""
     draw = random.Random(seed)
     letters = "etaoinshrdlu"
@@ -334,7 +334,8 @@ def labelled_pages(n: int = 300, seed: int = 11) -> list[str]:
         body = "".join(parts)
         if draw.random() < 0.4:
             body = f'<div class="{draw.choice(["wrapper", "container", "page", "layout", "row"])}" data-label="0">{body}</div>'
-        pages.append(f'<html data-label="0"><head><title>{words(2, 9)}</title></head><body>{body}</body></html>')
+        whole = draw.random() < 0.7  # others are fragments
+        pages.append(f'<html data-label="0"><head><title>{words(2, 9)}</title></head><body>{body}</body></html>' if whole else body)
     return pages
 
 

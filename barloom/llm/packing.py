@@ -121,12 +121,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) ->
 
         def out(rows):
             columns = list(zip(*rows)) or [()] * 7
-            arrays = [pa.array(columns[0], id_type), *[pa.array(c, pa.int64()) for c in columns[1:]]]
+            arrays = [pa.array(c, pa.int64()) for c in columns]
             return pa.RecordBatch.from_arrays([*arrays, pa.array([part] * len(rows), pa.int64())], ["doc_id", *names, "part"])
 
-        id_type = pa.int64()
         for batch in batches:
-            id_type = batch.column("doc_id").type
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()
             for a, b in pieces_of(texts):
                 rows = []
@@ -135,7 +133,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) ->
                 yield out(rows)
         yield out(list(packer.finish()))
 
-    rows = docs.select("doc_id", text_or_empty().alias("_text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_text"))
     schema = rows.select("doc_id").schema
     for n in [*names, "part"]:
         schema = schema.add(n, "long")
