@@ -17,10 +17,10 @@ EMPTY_SHARE = 1e-4
 def latest_per_symbol(df: DataFrame, wanted: DataFrame | None = None, ts: str = "event_time") -> DataFrame:
     """Newest row per symbol; with ``wanted`` (symbol) one row per wanted symbol and ``found``.
 
-    The newest times are a small table; joining it back avoids sorting whole rows.
+    Rows merge before the shuffle; of several at the newest time the one of largest hash stays.
     """
-    times = df.groupBy("symbol").agg(F.max(ts).alias(ts))
-    newest = df.join(times, ["symbol", ts], "left_semi")
+    row = F.struct(*[F.col(c) for c in df.columns])
+    newest = df.groupBy("symbol").agg(F.max_by(row, F.struct(ts, F.xxhash64(*df.columns))).alias("_row")).select("_row.*")
     if wanted is None:
         return newest
     return wanted.join(newest.withColumn("_hit", F.lit(True)), "symbol", "left").withColumn(
@@ -36,46 +36,37 @@ def drift_report(
     Bins are equal-width over the training range; live values beyond it fall in the end bins.
     """
     doubles = df.select(is_train.alias("_train"), *[F.col(c).cast("double").alias(c) for c in columns])
-    ranges = unpivot(
-        doubles.where("_train").agg(
-            *[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]
-        ), columns, "r",
-    )
+    # Ranges and moments of all features in one row; the built-in deviation merges without cancellation.
+    facts = []
+    for c in columns:
+        t_x, l_x = F.when(F.col("_train"), F.col(c)), F.when(~F.col("_train"), F.col(c))
+        facts.append(F.struct(
+            F.min(t_x).alias("lo"), F.max(t_x).alias("hi"), F.count(t_x).alias("t_n"), F.count(l_x).alias("l_n"),
+            F.avg(t_x).alias("t_mean"), F.avg(l_x).alias("l_mean"),
+            F.stddev_samp(t_x).alias("t_std"), F.stddev_samp(l_x).alias("l_std"),
+        ).alias(c))
+    ranges = unpivot(doubles.agg(*facts), columns, "r")
     values = unpivot(doubles, columns, "value", ["_train"]).where(F.col("value").isNotNull())
-    x = F.col("value")
-    t_x, l_x = F.when(F.col("_train"), x), F.when(~F.col("_train"), x)
-    # Counts and moments per bin first: a fixed number of rows enters the second step.
     per_bin = (
-        values.join(F.broadcast(ranges), "feature")
-        .groupBy("feature", bin_of(x, F.col("r"), bins).alias("bin"))
-        .agg(
-            F.count(t_x).alias("t_n"), F.count(l_x).alias("l_n"),
-            F.sum(t_x).alias("t_s"), F.sum(l_x).alias("l_s"),
-            F.sum(t_x * t_x).alias("t_q"), F.sum(l_x * l_x).alias("l_q"),
-        )
-    )
-    totals = per_bin.groupBy("feature").agg(
-        *[F.sum(c).alias(c.upper()) for c in ("t_n", "l_n", "t_s", "l_s", "t_q", "l_q")],
-        F.collect_list(F.struct("t_n", "l_n")).alias("bins"),
+        values.join(F.broadcast(ranges.select("feature", "r.lo", "r.hi")), "feature")  # one row per feature
+        .groupBy("feature", bin_of(F.col("value"), F.struct("lo", "hi"), bins).alias("bin"))
+        .agg(F.count_if("_train").alias("t_n"), F.count_if(~F.col("_train")).alias("l_n"))
     )
+    totals = per_bin.groupBy("feature").agg(F.collect_list(F.struct("t_n", "l_n")).alias("bins"))
+    totals = ranges.join(F.broadcast(totals), "feature", "left")
 
     def share(n, total):
         return F.greatest(F.coalesce(F.try_divide(n.cast("double"), total.cast("double")), F.lit(0.0)), F.lit(EMPTY_SHARE))
 
     def term(b):
-        p, q = share(b["t_n"], F.col("T_N")), share(b["l_n"], F.col("L_N"))
+        p, q = share(b["t_n"], F.col("r.t_n")), share(b["l_n"], F.col("r.l_n"))
         return (q - p) * F.log(q / p)
 
-    def deviation(n, s, q):
-        return F.sqrt(F.greatest(F.try_divide(q - F.try_divide(s * s, n), n - 1), F.lit(0.0)))
-
     psi = F.aggregate("bins", F.lit(0.0), lambda acc, b: acc + term(b))
     return totals.select(
-        "feature", F.col("T_N").alias("train_n"), F.col("L_N").alias("live_n"),
-        F.try_divide(F.col("T_S"), F.col("T_N")).alias("train_mean"),
-        F.try_divide(F.col("L_S"), F.col("L_N")).alias("live_mean"),
-        deviation(F.col("T_N"), F.col("T_S"), F.col("T_Q")).alias("train_std"),
-        deviation(F.col("L_N"), F.col("L_S"), F.col("L_Q")).alias("live_std"),
+        "feature", F.col("r.t_n").alias("train_n"), F.col("r.l_n").alias("live_n"),
+        F.col("r.t_mean").alias("train_mean"), F.col("r.l_mean").alias("live_mean"),
+        F.col("r.t_std").alias("train_std"), F.col("r.l_std").alias("live_std"),
         psi.alias("psi"), (psi > psi_limit).alias("drifted"),
     )
 

@@ -130,24 +130,30 @@ def unpivot(df: DataFrame, columns: Sequence[str], value: str, keep: Sequence[st
     return df.unpivot(list(keep), list(columns), "feature", value)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each feature pair over rows where both are present.
+def correlation_matrix(df: DataFrame, columns: Sequence[str], redundant_from: float = 0.95) -> DataFrame:
+    """Pearson correlation of each feature pair over rows where both are present, and whether one is redundant.
 
     Tasks reduce their rows to one set of pair sums, so the shuffle carries a fixed
-    number of rows per task whatever the table size.
+    number of rows per task whatever the table size. Values are taken relative to the mean and
+    deviation of their column, found first, so that large values do not cancel.
     """
     cols = list(columns)
     p = len(cols)
     left, right = (a.ravel() for a in np.meshgrid(np.arange(p), np.arange(p), indexing="ij"))
     upper = left < right
 
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    moments = doubles.agg(*[x for c in cols for x in (F.avg(c), F.stddev_samp(c))]).first()  # two numbers per column
+    mean = np.array([m or 0.0 for m in moments[0::2]])
+    unit = np.array([s if s else 1.0 for s in moments[1::2]])
+
     def pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((6, p, p))
         for pdf in batches:
             x = pdf.to_numpy(dtype=float)
             present = ~np.isnan(x)
             m = present.astype(float)
-            x = np.where(present, x, 0.0)
+            x = np.where(present, (x - mean) / unit, 0.0)
             sq = x * x
             total += np.stack([m.T @ m, x.T @ m, m.T @ x, sq.T @ m, m.T @ sq, x.T @ x])
         flat = total.reshape(6, -1)[:, upper]
@@ -156,8 +162,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
 
     sums = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        .mapInPandas(pair_sums, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
+        doubles.mapInPandas(pair_sums, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
         .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
@@ -169,7 +174,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return sums.select(
         names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"),
         n.cast("long").alias("n"), F.try_divide(cov, spread).alias("corr"),
-    )
+    ).withColumn("redundant", F.coalesce(F.abs("corr") >= redundant_from, F.lit(False)))
 
 
 def exact_median(df: DataFrame, column: str) -> Column:

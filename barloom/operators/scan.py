@@ -101,15 +101,16 @@ def _count_below(bounds: Column, value: Column, n_bounds: int) -> Column:
     )
 
 
-def ordered_prefix(df: DataFrame, order: str, sums: Mapping[str, Column], cuts: int = 256) -> DataFrame:
+def ordered_prefix(df: DataFrame, order: str, sums: Mapping[str, Column], cuts: int | None = None) -> DataFrame:
     """Totals per distinct ``order`` value with the totals of all smaller values.
 
     For each ``name -> column``: ``name`` is its sum at that value, ``name_below`` the sum
     over smaller values and ``name_total`` the sum over all.  Ordering is global, so
     instead of one sorted task the distinct values are spread over ranges between
-    approximate quantiles; only the range totals (at most ``cuts`` rows) are summed in
-    one place.
+    approximate quantiles; only the range totals (at most ``cuts`` rows, by default twice the shuffle
+    partitions) are summed in one place.
     """
+    cuts = cuts or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at_value = df.groupBy(order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     quantiles = [i / cuts for i in range(1, cuts)]
     placed = at_value.withColumn(

@@ -57,6 +57,17 @@ def index_series(df: DataFrame, symbol: str, ts: str, slice_seconds: int) -> Dat
     )
 
 
+def attach(df: DataFrame, small: DataFrame, by: str, spread: str, how: str = "inner", salts: int = 64) -> DataFrame:
+    """Join a table with one row per ``by`` without gathering the rows of a key in one task.
+
+    Rows are spread over ``salts`` parts of their key by a hash of ``spread``; the small side is repeated
+    for each part.  Spark still broadcasts it when it finds it small.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [by, "_salt"], how).drop("_salt")
+
+
 def open_chunks(
     df: DataFrame,
     symbol: str,

@@ -34,7 +34,7 @@ def time_split_per_symbol(
 ) -> DataFrame:
     """The earliest share of each symbol's rows is train."""
     totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("_total"))
-    indexed = S.index_series(df, by, ts, slice_seconds).join(totals, by)
+    indexed = S.attach(S.index_series(df, by, ts, slice_seconds), totals, by, ts)
     is_train = F.col(S.RN) <= F.floor(F.col("_total") * F.lit(train_share))
     return indexed.withColumn(SPLIT, _labelled(is_train)).drop(S.RN, "_total")
 

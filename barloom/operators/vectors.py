@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.operators.series import attach
+
 # Query vectors sent to every task at once; larger sets go in several passes.
 QUERIES_PER_PASS = 16_384
 # Query vectors multiplied with a batch at once inside a task.
@@ -115,17 +117,18 @@ def retrieve_context(
 ) -> DataFrame:
     """Top-k recent articles per question (symbol, as_of, embedding); weak retrieval is flagged.
 
-    Recent means published before ``as_of`` and within the lookback.  Questions meet
-    only the articles of their own symbol, and each task keeps k rows per question
-    before the shuffle.
+    Recent means published before ``as_of`` and within the lookback.  Articles get their vectors
+    first; questions then meet the articles of their own symbol where these lie, spread over parts of the
+    symbol, and of each part only k rows per question are shuffled.
     """
     asked = questions.select("symbol", "as_of", F.col("embedding").alias("_asked"))
-    recent = articles.join(asked, "symbol").where(
+    held = articles.select("symbol", F.col("doc_id").alias("vec_id"), "url", "published_at").join(
+        embeddings.select("vec_id", "embedding"), "vec_id"
+    )
+    recent = attach(held, asked, "symbol", "vec_id").where(
         (F.col("published_at") < F.col("as_of")) & (F.col("published_at") >= F.col("as_of") - F.expr(lookback))
-    ).select("symbol", "as_of", "_asked", F.col("doc_id").alias("vec_id"), "url", "published_at")
-    scored = recent.join(embeddings.select("vec_id", "embedding"), "vec_id").withColumn(
-        "similarity", cosine("embedding", "_asked")
     )
+    scored = recent.withColumn("similarity", cosine("embedding", "_asked"))
     w = Window.partitionBy("symbol", "as_of").orderBy(F.col("similarity").desc(), "vec_id")
     top = scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
     return top.select(

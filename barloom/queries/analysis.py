@@ -136,7 +136,7 @@ def feature_profile(spark, sf_dir):
     return _rounded(Qu.feature_profile(dataset(spark, sf_dir), _DOUBLES), 4, "mean", "stddev", "label_corr")
 
 
-_HIST = ("rsi_14", "candle_return_pct", "volume_ratio", "range_pct")
+_HIST = _DOUBLES
 
 
 def _bin(value, lo, hi, bins=10):
@@ -151,12 +151,13 @@ def feature_histogram(spark, sf_dir):
     return Qu.feature_histogram(dataset(spark, sf_dir), _HIST)
 
 
-_CORR = ("rsi_14", "candle_return_pct", "return_3_candle_pct", "volume_ratio", "close_vs_sma20_pct", "range_pct")
+_CORR = _DOUBLES
 
 
 @query("correlation_matrix", f"""{_R} {" UNION ALL ".join(f'''
   SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n,
-         {_r(f"corr({a}, {b})", 4)} AS corr FROM dataset'''
+         {_r(f"nullif(corr({a}, {b}), 'nan'::DOUBLE)", 4)} AS corr,
+         coalesce(abs(nullif(corr({a}, {b}), 'nan'::DOUBLE)) >= 0.95, FALSE) AS redundant FROM dataset'''
   for i, a in enumerate(_CORR) for b in _CORR[i + 1:])}""")
 def correlation_matrix(spark, sf_dir):
     return _rounded(Qu.correlation_matrix(dataset(spark, sf_dir), _CORR), 4, "corr")
@@ -389,7 +390,7 @@ def backtest(spark, sf_dir):
 # --- monitoring -------------------------------------------------------------
 
 _CUT = "2024-01-24 00:00:00"
-_DRIFT = ("rsi_14", "candle_return_pct", "volume_ratio", "sma_20", "range_pct")
+_DRIFT = _DOUBLES
 
 
 def _drift_sql(c):

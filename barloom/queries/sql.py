@@ -46,9 +46,9 @@ BARS_WIDE = """bars AS (
 
 NEWS = """news AS (
   SELECT doc_id, ['click','error','purchase','signup','view'][CAST(doc_id % 5 AS INTEGER) + 1] AS symbol,
-         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) AS published_at,
+         TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 7919 % 2592000) AS published_at,
          split_part(text, chr(10), 1) AS title, text AS body,
-         'https://news/' || CAST(doc_id % 500 AS VARCHAR) AS url, source FROM documents)"""
+         'https://news/' || CAST(doc_id // 2 AS VARCHAR) AS url, source FROM documents)"""
 
 
 def numbered(ts: str) -> str:

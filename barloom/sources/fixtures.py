@@ -67,18 +67,19 @@ def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as news: every URL occurs about twice, symbols are the event types."""
+    """Documents as news: two documents share a URL, times are spread over the month of the bars."""
     d = table(spark, sf_dir, "documents")
     # The five series names of the events table, in doc_id order.
     symbols = F.array(*[F.lit(s) for s in ("click", "error", "purchase", "signup", "view")])
-    half = F.lit(500)
+    # 7,919 shares no factor with the seconds of 30 days: every second comes up before one comes up again
+    second = (F.col("doc_id") * 7_919) % (30 * 86_400)
     return d.select(
         "doc_id",
         F.element_at(symbols, (F.col("doc_id") % 5 + 1).cast("int")).alias("symbol"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-         + F.make_dt_interval(F.lit(0), F.lit(0), F.col("doc_id").cast("int"), F.lit(0))).alias("published_at"),
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), second.cast("decimal(18,6)"))).alias("published_at"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("body"),
-        F.concat(F.lit("https://news/"), (F.col("doc_id") % half).cast("string")).alias("url"),
+        F.concat(F.lit("https://news/"), F.floor(F.col("doc_id") / 2).cast("string")).alias("url"),
         "source",
     )

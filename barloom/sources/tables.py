@@ -18,8 +18,6 @@ from barloom.sources.schemas import conform
 from barloom.sources.upsert import merge_upsert
 
 PART = "event_part"
-# A batch touching more partitions than this is matched by a join instead of a listed filter.
-MAX_LISTED_PARTS = 4_096
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
@@ -130,11 +128,8 @@ def _apply_merge(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def _touched(stored: DataFrame, parts: DataFrame) -> DataFrame:
-    """Stored rows of the given partitions, pruned at planning while the list is short."""
-    listed = [r[0] for r in parts.limit(MAX_LISTED_PARTS + 1).collect()]
-    if len(listed) > MAX_LISTED_PARTS:
-        return stored.join(parts, PART, "left_semi")
-    return stored.where(F.col(PART).isin(listed))
+    """Stored rows of the given partitions; the other partitions are pruned at run time."""
+    return stored.join(parts, PART, "left_semi")
 
 
 def upsert_table(
