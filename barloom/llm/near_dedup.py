@@ -9,7 +9,8 @@ the documents. Signatures are cut into ``BANDS`` bands of ``ROWS`` components (a
 probability below 4e-5).
 
 Equal texts are one node, found by their SHA-256. In a bucket (documents that share a band) every member is compared
-with the bucket's leader, the member with the largest doc_id; then, in buckets of two successive bands, with that one's
+with the bucket's leader, the member whose buckets are fullest (of a group of near copies that is one close to
+their common origin), of several the one with the largest doc_id; then, in buckets of two successive bands, with that one's
 leader; then, while that finds links, a new leader is chosen among the members that are in no earlier leader's
 class, and compared with all members of other classes. So no bucket is capped, and pairs grow with the members, not with
 their square. Compared pairs are verified on the whole texts: a link needs a similarity of at least
@@ -204,7 +205,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, key: str = "key") -> DataFrame:
-    top = members.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("doc_id", "node")).alias("top"))
+    top = members.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("weight", "doc_id", "node")).alias("top"))
     return top.where("n > 1").select(key, F.col("top.node").alias("leader"))
 
 
@@ -222,11 +223,13 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         signed.groupBy("digest").agg(F.max("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
         .withColumn("node", F.monotonically_increasing_id()), "near-nodes",
     )
-    buckets = nodes.select("node", "doc_id", F.explode("keys").alias("key"))
+    buckets = nodes.select("node", F.explode("keys").alias("key"))
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    weights = buckets.join(shared, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    wanted = stage(nodes.join(weights, "node").select("node", "doc_id", "digest", "keys", "weight"), "near-wanted")
+    buckets = wanted.select("node", "doc_id", "weight", F.explode("keys").alias("key"))
     members = stage(buckets.join(_leaders(buckets), "key"), "near-members")
     pairs = stage(members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "near-pairs")
-    alike = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(alike, "node").select("node", "doc_id", "digest", "keys")
     texts = stage(
         rows.join(wanted.select("node", F.coalesce("doc_id", F.lit(0)).alias("at"), "digest"),
                   (rows.digest == wanted.digest) & (F.coalesce(rows.doc_id, F.lit(0)) == F.col("at"))).select("node", "text"),
@@ -238,17 +241,17 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # a second leader for each bucket of two successive bands
     n = F.size("keys")
     succession = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", (i + 1) % n)))
-    finer = wanted.select("node", "doc_id", F.explode(succession).alias("key"))
+    finer = wanted.select("node", "doc_id", "weight", F.explode(succession).alias("key"))
     second = finer.join(_leaders(finer), "key").where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links, labels, compared = _extended(second, links, labels, pairs, texts)
 
     led = members.select("key", "leader").distinct()
     while True:
-        now = stage(_labelled(members.select("key", "node", "doc_id"), labels, "node", "label"), "near-open")
+        now = stage(_labelled(members.select("key", "node", "doc_id", "weight"), labels, "node", "label"), "near-open")
         led_labels = _labelled(led.select("key", F.col("leader").alias("node")), labels, "node", "label").select("key", "label").distinct()
         left = now.join(led_labels, ["key", "label"], "left_anti")
         chosen = stage(
-            left.groupBy("key").agg(F.max(F.struct("doc_id", "node", "label")).alias("top"))
+            left.groupBy("key").agg(F.max(F.struct("weight", "doc_id", "node", "label")).alias("top"))
             .select("key", F.col("top.node").alias("leader"), F.col("top.label").alias("leader_label")), "near-leaders",
         )
         more = now.join(chosen, "key").where("label != leader_label").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
