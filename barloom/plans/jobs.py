@@ -7,11 +7,19 @@ from barloom.plans.daily import daily_features
 from barloom.plans.intraday import intraday_features
 from barloom.plans.labels import join_model_dataset, labels
 from barloom.sources import schemas, tables
+from barloom.sources.bars import split_rejects
+
+
+def usable_bars(spark: SparkSession, root: str, name: str, schema, key) -> DataFrame:
+    """Stored bars with all keys and prices; the others are set aside in ``rejects/<name>`` with the reason."""
+    usable, rejected = split_rejects(tables.read_table(spark, root, name, schema), key)
+    rejected.write.mode("overwrite").parquet(f"{root}/rejects/{name}")
+    return usable
 
 
 def refresh_daily_features(spark: SparkSession, root: str, warmup: str = "partial") -> int:
     """Full refresh in the partial dialect; partial-column upsert in the strict one."""
-    bars = tables.read_table(spark, root, "market_candles_daily", schemas.CANDLES_DAILY)
+    bars = usable_bars(spark, root, "market_candles_daily", schemas.CANDLES_DAILY, schemas.DAILY_KEY)
     features = daily_features(bars, warmup)
     name, schema = "daily_market_features", schemas.DAILY_FEATURES
     if warmup == "partial":
@@ -22,7 +30,7 @@ def refresh_daily_features(spark: SparkSession, root: str, warmup: str = "partia
 
 
 def refresh_intraday_features(spark: SparkSession, root: str) -> int:
-    bars = tables.read_table(spark, root, "market_candles_5m", schemas.CANDLES_INTRADAY)
+    bars = usable_bars(spark, root, "market_candles_5m", schemas.CANDLES_INTRADAY, ("symbol", "event_time"))
     return tables.refresh_table(
         intraday_features(bars), root, "intraday_market_features", schemas.INTRADAY_FEATURES
     )

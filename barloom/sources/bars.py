@@ -77,6 +77,11 @@ def normalize_bars(
     return schemas.conform(rows, schemas.CANDLES_INTRADAY)
 
 
+def within_history(bars: DataFrame, interval: str, as_of: Column, ts: str = "event_time") -> DataFrame:
+    """Bars of the window that a loader asks for: ``HISTORY_DAYS`` of the interval up to ``as_of``."""
+    return bars.where((F.col(ts) > as_of - F.make_dt_interval(F.lit(HISTORY_DAYS[interval]))) & (F.col(ts) <= as_of))
+
+
 def split_rejects(bars: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(usable rows, rejected rows with a reason): keys and prices must be present."""
     reason = F.concat_ws(

@@ -5,7 +5,7 @@ from oracle_check import compare, connect
 
 from barloom.queries import ORACLES, QUERIES
 
-SLOW = {"tune_params", "walk_forward_model", "sentiment_model_lift"}
+SLOW: set[str] = set()
 
 
 @pytest.fixture(scope="module")
