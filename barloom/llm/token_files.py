@@ -39,8 +39,8 @@ from barloom.sources.tables import scratch_dir
 MAGIC = b"RANSTOK1"
 END_ID = 1
 SCALE_BITS = 20
-LANES = 512
-BLOCK_TOKENS = 1 << 17
+LANES = 2_048
+BLOCK_TOKENS = 1 << 19
 FILE_TOKENS = 1 << 22
 LOWEST = np.uint64(1 << 31)
 
@@ -138,9 +138,9 @@ def _counts(encoded: DataFrame, path: str) -> bytes:
     def counted(batches):
         codec, total = encoder(path), None
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                n = np.bincount(np.frombuffer(ids, codec.dtype), minlength=codec.full.get_vocab_size())
-                total = n if total is None else total + n
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), codec.dtype)
+            n = np.bincount(ids, minlength=codec.full.get_vocab_size())
+            total = n if total is None else total + n
         if total is not None:
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
