@@ -1,14 +1,19 @@
 """Parquet tables: reads, full refresh, partition-wise upsert, audits, snapshots.
 
-Writes are replayable: new content is first written whole beside the table and only
-then takes its place, so a lost executor or driver never leaves half a table.
+A table is a folder of versions. A write puts its partitions whole into a new folder and then commits by
+one small file in ``_commits``, which names the folder of every partition and appears by a rename. A reader takes
+the newest commit, so it sees a table before or after a write, never between, and changes nothing. What a writer
+left without a commit is never read. One writer at a time owns a table: a second one that commits the same
+number fails. ``vacuum`` removes folders that the newest commits do not name.
 """
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,20 +44,75 @@ def _fs(spark: SparkSession, path: str):
     return jpath(path).getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+@dataclass(frozen=True)
+class Commit:
+    """State of a table: its number, the folder of each partition, and the last batch applied per stream."""
+
+    number: int = 0
+    parts: dict[str, str] = field(default_factory=dict)
+    batches: dict[str, int] = field(default_factory=dict)
+
+
+def _commit_numbers(spark: SparkSession, path: str) -> list[int]:
+    fs, jpath = _fs(spark, path)
+    folder = jpath(f"{path}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n.removesuffix(".json")) for n in names if re.fullmatch(r"\d+\.json", n))
+
+
+def last_commit(spark: SparkSession, path: str, number: int | None = None) -> Commit:
+    numbers = _commit_numbers(spark, path)
+    if not numbers:
+        return Commit()
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath(f"{path}/_commits/{number or numbers[-1]}.json"))
+    try:
+        return Commit(**json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, path: str, state: Commit) -> None:
+    fs, jpath = _fs(spark, path)
+    final = jpath(f"{path}/_commits/{state.number}.json")
+    temporary = jpath(f"{path}/_commits/_{uuid.uuid4().hex}.tmp")
+    out = fs.create(temporary, False)
+    out.write(bytearray(json.dumps(asdict(state)), "utf-8"))
+    out.close()
+    if fs.exists(final) or not fs.rename(temporary, final):
+        fs.delete(temporary, False)
+        raise OSError(f"another writer has committed version {state.number} of {path}")
+
+
+def _write_version(spark: SparkSession, path: str, rows: DataFrame) -> dict[str, str]:
+    """Write laid-out rows into a new folder; the partitions it holds."""
+    version = f"v-{uuid.uuid4().hex}"
+    rows.write.partitionBy(PART).parquet(f"{path}/{version}")
     fs, jpath = _fs(spark, path)
-    return fs.exists(jpath(path))
+    names = [s.getPath().getName() for s in fs.listStatus(jpath(f"{path}/{version}"))]
+    return {n.removeprefix(f"{PART}="): version for n in names if n.startswith(f"{PART}=")}
 
 
-def _move(spark: SparkSession, src: str, dst: str) -> None:
-    fs, jpath = _fs(spark, dst)
-    if not fs.rename(jpath(src), jpath(dst)):
-        raise OSError(f"could not move {src} to {dst}")
+def _read_parts(spark: SparkSession, path: str, parts: dict[str, str], schema: T.StructType) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{v}/{PART}={p}" for p, v in sorted(parts.items())])
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def vacuum(spark: SparkSession, root: str, name: str, keep: int = 10) -> int:
+    """Remove version folders that none of the ``keep`` newest commits names; how many went."""
+    path = f"{root}/{name}"
+    numbers = _commit_numbers(spark, path)[-keep:]
+    named = {v for n in numbers for v in last_commit(spark, path, n).parts.values()}
     fs, jpath = _fs(spark, path)
-    fs.delete(jpath(path), True)
+    gone = 0
+    for status in fs.listStatus(jpath(path)) if numbers else []:
+        if status.getPath().getName().startswith("v-") and status.getPath().getName() not in named:
+            fs.delete(status.getPath(), True)
+            gone += 1
+    return gone
 
 
 def partition_of(schema: T.StructType) -> Column:
@@ -64,13 +124,8 @@ def partition_of(schema: T.StructType) -> Column:
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType, since: str | None = None) -> DataFrame:
     """A stored table, columns per contract; ``since`` (yyyy-MM[-dd]) prunes partitions."""
     path = f"{root}/{name}"
-    _recover(spark, path, schema)
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(_stored_schema(schema)).parquet(path)
-    if since is not None:
-        df = df.where(F.col(PART) >= since)
-    return conform(df, schema)
+    parts = last_commit(spark, path).parts
+    return conform(_read_parts(spark, path, {p: v for p, v in parts.items() if since is None or p >= since}, schema), schema)
 
 
 def read_jdbc(
@@ -92,44 +147,10 @@ def _laid_out(df: DataFrame, schema: T.StructType) -> DataFrame:
 def refresh_table(df: DataFrame, root: str, name: str, schema: T.StructType) -> int:
     """Replace the table by ``df``; returns the row count, read from the file footers."""
     spark, path = df.sparkSession, f"{root}/{name}"
-    staged, retired = f"{path}__new", f"{path}__old"
-    _laid_out(df, schema).write.mode("overwrite").partitionBy(PART).parquet(staged)
-    if exists(spark, path):
-        if exists(spark, retired):
-            _drop(spark, retired)
-        _move(spark, path, retired)
-    _move(spark, staged, path)
-    if exists(spark, retired):
-        _drop(spark, retired)
-    return spark.read.schema(schema).parquet(path).count()
-
-
-def _stored_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
-
-
-def _recover(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Finish what an interrupted writer had already staged completely."""
-    if not exists(spark, path) and exists(spark, f"{path}__old"):
-        complete = exists(spark, f"{path}__new/_SUCCESS")
-        _move(spark, f"{path}__new" if complete else f"{path}__old", path)
-    pending = f"{path}__merge"
-    if exists(spark, f"{pending}/_SUCCESS"):
-        _apply_merge(spark, path, schema)
-
-
-def _apply_merge(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    merged = spark.read.schema(_stored_schema(schema)).parquet(f"{path}__merge")
-    (
-        merged.hint("rebalance", PART).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
-    )
-    _drop(spark, f"{path}__merge")
-
-
-def _touched(stored: DataFrame, parts: DataFrame) -> DataFrame:
-    """Stored rows of the given partitions; the other partitions are pruned at run time."""
-    return stored.join(parts, PART, "left_semi")
+    before = last_commit(spark, path)
+    parts = _write_version(spark, path, _laid_out(df, schema))
+    _commit(spark, path, Commit(before.number + 1, parts, before.batches))
+    return _read_parts(spark, path, parts, schema).count()
 
 
 def upsert_table(
@@ -142,23 +163,23 @@ def upsert_table(
     sequence: str | Sequence[str],
     touch: str | None = None,
     now: Column | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> None:
-    """Upsert into a stored table, reading and rewriting only the partitions the batch touches.
+    """Upsert into a stored table, reading and rewriting only the partitions that the updates touch.
 
-    The merged partitions are staged first and then put in place; applying
-    the stage twice gives the same table, so an interrupted run is finished later.
+    ``batch`` (stream, number) makes a replay harmless: a batch that the table has already taken is passed over.
+    The names of the touched partitions (days) pass the driver, as those of all partitions do in a commit.
     """
     spark, path = updates.sparkSession, f"{root}/{name}"
-    _recover(spark, path, schema)
-    batch = updates.withColumn(PART, partition_of(schema))
-    if exists(spark, path):
-        stored = spark.read.schema(_stored_schema(schema)).parquet(path)
-        target = conform(_touched(stored, batch.select(PART).distinct()), schema)
-    else:
-        target = spark.createDataFrame([], schema)
-    merged = merge_upsert(target, batch.drop(PART), keys, update_cols, sequence, touch, now)
-    _laid_out(merged, schema).write.mode("overwrite").partitionBy(PART).parquet(f"{path}__merge")
-    _apply_merge(spark, path, schema)
+    before = last_commit(spark, path)
+    if batch is not None and before.batches.get(batch[0], -1) >= batch[1]:
+        return
+    touched = {r[0] for r in updates.select(partition_of(schema)).distinct().collect()}
+    target = conform(_read_parts(spark, path, {p: v for p, v in before.parts.items() if p in touched}, schema), schema)
+    merged = merge_upsert(target, updates, keys, update_cols, sequence, touch, now)
+    parts = _write_version(spark, path, _laid_out(merged, schema))
+    batches = before.batches if batch is None else {**before.batches, batch[0]: batch[1]}
+    _commit(spark, path, Commit(before.number + 1, {**before.parts, **parts}, batches))
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

@@ -1,7 +1,8 @@
 """Bar messages into the candle table.
 
-There is no watermark: late, repeated and corrected bars are settled by the key,
-and a replayed batch merges to the same table.
+There is no watermark: late, repeated and corrected bars are settled by the key.
+The table remembers the last batch it took from each stream (its checkpoint), so a replayed
+batch changes nothing, ``ingestion_time`` included.
 """
 from __future__ import annotations
 
@@ -32,7 +33,7 @@ def ingest_bars(
         try:
             upsert_table(
                 decode_bars(batch), root, name, CANDLES_INTRADAY, INTRADAY_KEY,
-                LIVE_UPDATES, sequence, touch="ingestion_time",
+                LIVE_UPDATES, sequence, touch="ingestion_time", batch=(checkpoint, batch_id),
             )
             if rejects_path:
                 rejected(batch).write.mode("overwrite").text(f"{rejects_path}/batch={batch_id}")

@@ -85,25 +85,53 @@ def test_stored_upsert_is_idempotent_and_leaves_other_days(spark, tmp_path):
     january = [candle("A", i, float(i)) for i in range(3)]
     march = [(*candle("A", 0, 1.0)[:7], datetime(2024, 3, 1), datetime(2024, 3, 1))]
     tables.refresh_table(spark.createDataFrame(january + march, CANDLE), root, "t", schemas.CANDLES_INTRADAY)
-    march_files = sorted(p.name for p in (tmp_path / "t" / "event_part=2024-03-01").glob("*.parquet"))
+    march = tables.last_commit(spark, f"{root}/t").parts["2024-03-01"]
     batch = spark.createDataFrame([candle("A", 1, 50.0, ingested=9), candle("A", 7, 8.0)], CANDLE)
     args = (root, "t", schemas.CANDLES_INTRADAY, schemas.INTRADAY_KEY, LIVE_UPDATES, "ingestion_time")
     for _ in range(2):
         tables.upsert_table(batch, *args)
         got = {(r.event_time, r.close_price) for r in tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY).collect()}
         assert {c for t, c in got if t.month == 1} == {0.0, 50.0, 2.0, 8.0} and len(got) == 5
-    assert sorted(p.name for p in (tmp_path / "t" / "event_part=2024-03-01").glob("*.parquet")) == march_files
+    assert tables.last_commit(spark, f"{root}/t").parts["2024-03-01"] == march
     pruned = tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY, since="2024-02")
     assert pruned.count() == 1
 
 
-def test_interrupted_merge_is_finished_by_the_next_reader(spark, tmp_path):
+def test_uncommitted_version_is_not_read_and_vacuum_removes_it(spark, tmp_path):
     root = str(tmp_path)
     tables.refresh_table(spark.createDataFrame([candle("A", 0, 1.0)], CANDLE), root, "t", schemas.CANDLES_INTRADAY)
     staged = spark.createDataFrame([candle("A", 0, 9.0)], CANDLE).withColumn("event_part", F.lit("2024-01-01"))
-    staged.write.partitionBy("event_part").parquet(f"{root}/t__merge")
-    assert [r.close_price for r in tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY).collect()] == [9.0]
-    assert not (tmp_path / "t__merge").exists()
+    staged.write.partitionBy("event_part").parquet(f"{root}/t/v-lost")
+    read = lambda: [r.close_price for r in tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY).collect()]
+    assert read() == [1.0]
+    assert tables.vacuum(spark, root, "t") == 1 and not (tmp_path / "t" / "v-lost").exists() and read() == [1.0]
+
+
+def test_reader_keeps_its_version_and_writers_do_not_mix(spark, tmp_path):
+    root, args = str(tmp_path), ("t", schemas.CANDLES_INTRADAY)
+    first = spark.createDataFrame([candle("A", 0, 1.0)], CANDLE)
+    tables.refresh_table(first, root, *args)
+    opened = tables.read_table(spark, root, *args)
+    stale = tables.last_commit(spark, f"{root}/t")
+    tables.refresh_table(spark.createDataFrame([candle("A", 0, 2.0)], CANDLE), root, *args)
+    assert opened.first().close_price == 1.0
+    assert tables.read_table(spark, root, *args).first().close_price == 2.0
+    with pytest.raises(OSError):
+        tables._commit(spark, f"{root}/t", tables.Commit(stale.number + 1, stale.parts))
+    assert tables.read_table(spark, root, *args).first().close_price == 2.0
+
+
+def test_replayed_batch_keeps_ingestion_time(spark, tmp_path):
+    root = str(tmp_path)
+    batch = spark.createDataFrame([candle("A", 0, 5.0)], CANDLE)
+    times = []
+    for hour in (1, 2):
+        tables.upsert_table(
+            batch, root, "t", schemas.CANDLES_INTRADAY, schemas.INTRADAY_KEY, LIVE_UPDATES, "ingestion_time",
+            touch="ingestion_time", now=F.lit(datetime(2024, 5, 1, hour)).cast("timestamp_ntz"), batch=("s", 0),
+        )
+        times.append(tables.read_table(spark, root, "t", schemas.CANDLES_INTRADAY).first().ingestion_time)
+    assert times[0] == times[1]
 
 
 def test_forming_bar_and_increment(bars):
