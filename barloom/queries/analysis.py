@@ -18,13 +18,14 @@ from barloom.operators.features_v2 import NAMES as V2_NAMES
 from barloom.operators.features_v2 import with_features_v2
 from barloom.plans import intraday
 from barloom.plans.jobs import run_jobs
-from barloom.plans.labels import feature_and_label_stages, future_frames, labels, model_dataset, with_label_columns
+from barloom.plans.labels import feature_and_label_stages, future_frames, model_dataset, with_label_columns
 from barloom.queries import sql as Q
 from barloom.queries.features import DATASET_CTE, FEATURES_CTE
 from barloom.queries.ingest import candles
 from barloom.queries.registry import query
 from barloom.sources import fixtures as X
 from barloom.sources import schemas, tables
+from barloom.streaming.live import accuracy_alerts_stream, match_outcomes_stream
 
 _R = f"WITH RECURSIVE {DATASET_CTE}"
 _SCORED = f"{_R}, scored AS (SELECT *, rsi_14 / 100.0 AS score FROM dataset)"
@@ -153,7 +154,7 @@ def _bin(value, lo, hi, bins=10):
   SELECT '{c}' AS feature, {_bin(c, 'lo', 'hi')} AS bin, count(*) AS n
   FROM dataset, (SELECT min({c}) AS lo, max({c}) AS hi FROM dataset) WHERE {c} IS NOT NULL GROUP BY 2''' for c in _HIST)}""")
 def feature_histogram(spark, sf_dir):
-    return Qu.feature_histogram(dataset(spark, sf_dir), _HIST)
+    return Qu.feature_histogram(stored(dataset(spark, sf_dir).select(*_HIST)), _HIST)
 
 
 _CORR = _DOUBLES
@@ -165,7 +166,7 @@ _CORR = _DOUBLES
          coalesce(abs(nullif(corr({a}, {b}), 'nan'::DOUBLE)) >= 0.95, FALSE) AS redundant FROM dataset'''
   for i, a in enumerate(_CORR) for b in _CORR[i + 1:])}""")
 def correlation_matrix(spark, sf_dir):
-    return _rounded(Qu.correlation_matrix(dataset(spark, sf_dir), _CORR), 4, "corr")
+    return _rounded(Qu.correlation_matrix(stored(dataset(spark, sf_dir).select(*_CORR)), _CORR), 4, "corr")
 
 
 _WARM = ("rsi_14", "return_12_candle_pct", "rolling_volatility_20")
@@ -180,7 +181,8 @@ def missing_drop(spark, sf_dir):
 @query("missing_mean", f"""{_R} SELECT symbol, event_time, {", ".join(
     _r(f"coalesce({c}, avg({c}) OVER ())", 4) + f" AS {c}" for c in _WARM)} FROM dataset""")
 def missing_mean(spark, sf_dir):
-    filled = Qu.handle_missing(dataset(spark, sf_dir), _WARM, "mean").select("symbol", "event_time", *_WARM)
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", *_WARM))
+    filled = Qu.handle_missing(rows, _WARM, "mean")
     return _rounded(filled, 4, *_WARM)
 
 
@@ -425,7 +427,7 @@ def _drift(rows, limit=Mo.PSI_LIMIT):
 @query("drift_report", f"{_DRIFT_CTE} SELECT *, psi > 0.2 AS drifted FROM drift")
 def drift_report(spark, sf_dir):
     return _rounded(
-        _rounded(_drift(dataset(spark, sf_dir)), 4, "train_mean", "live_mean", "train_std", "live_std"), 6, "psi"
+        _rounded(_drift(stored(dataset(spark, sf_dir))), 4, "train_mean", "live_mean", "train_std", "live_std"), 6, "psi"
     )
 
 
@@ -444,18 +446,21 @@ _PERF = f"""predictions AS (SELECT symbol, event_time, rsi_14 / 100.0 AS probabi
            n_right::DOUBLE / predictions < 0.5 AS below_expected FROM rolled)"""
 
 
-def _performance(spark, sf_dir):
-    bars = X.bars_5m(spark, sf_dir)
-    features = intraday.intraday_features(bars)
-    predictions = features.where(F.col("rsi_14").isNotNull()).select(
+def _logged(rows):
+    """Predictions as a model would have logged them, from stored rows of the model dataset."""
+    return rows.where(F.col("rsi_14").isNotNull()).select(
         "symbol", "event_time", (F.col("rsi_14") / 100.0).alias("probability")
     )
-    return Mo.live_performance(Mo.match_outcomes(predictions, labels(bars)), expected_accuracy=0.5)
+
+
+def _performance(rows):
+    return Mo.live_performance(Mo.match_outcomes(_logged(rows), rows), expected_accuracy=0.5)
 
 
 @query("live_performance", f"WITH RECURSIVE {DATASET_CTE}, {_PERF} SELECT * FROM performance")
 def live_performance(spark, sf_dir):
-    return _rounded(_performance(spark, sf_dir), 6, "rolling_accuracy", "rolling_precision")
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", "rsi_14", "target_direction"))
+    return _rounded(_performance(rows), 6, "rolling_accuracy", "rolling_precision")
 
 
 @query("alerts", f"""{_DRIFT_CTE}, {_PERF},
@@ -465,14 +470,54 @@ def live_performance(spark, sf_dir):
   UNION ALL SELECT 'performance', symbol, rolling_accuracy FROM current_ WHERE below_expected
   UNION ALL SELECT 'stale', symbol, NULL FROM newest WHERE event_time < TIMESTAMP '2024-01-30 23:30:00'""")
 def alerts(spark, sf_dir):
+    """Rules over stored tables, as a monitoring job reads them."""
+    held = stored(dataset(spark, sf_dir))
     bars = X.bars_5m(spark, sf_dir).select("symbol", "event_time")
     rows = Mo.alerts(
-        _drift(dataset(spark, sf_dir), limit=0.001), _performance(spark, sf_dir), Mo.latest_per_symbol(bars),
+        _drift(held, limit=0.001), _performance(held), Mo.latest_per_symbol(bars),
         F.lit("2024-01-30 23:30:00").cast("timestamp_ntz"),
     )
     return _rounded(rows, 6, "value")
 
 
+def _streamed(rows, name, plan, *inputs):
+    """Files of ``rows`` (and further ``inputs``) read as streams, through ``plan`` into files, read back."""
+    spark = rows.sparkSession
+    work = tables.scratch_dir(spark, name)
+    streams = []
+    for i, df in enumerate((rows, *inputs)):
+        df = df.withColumn("event_time", F.col("event_time").cast("timestamp"))
+        df.write.parquet(f"{work}/in-{i}")
+        streams.append(spark.readStream.schema(df.schema).parquet(f"{work}/in-{i}"))
+    out = plan(*streams)
+    writer = out.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{work}/out")
+
+
+@query("outcomes_stream", f"""WITH RECURSIVE {DATASET_CTE}, {_PERF}
+  SELECT symbol, event_time, (probability > 0.5) = (y = 1) AS is_right FROM matched""")
+def outcomes_stream(spark, sf_dir):
+    """Logged predictions and outcomes as two streams that meet on the key."""
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", "rsi_14", "target_direction"))
+    met = _streamed(_logged(rows), "outcomes-stream", match_outcomes_stream, rows.select("symbol", "event_time", "target_direction"))
+    return met.select("symbol", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "is_right")
+
+
+@query("alerts_stream", f"""WITH RECURSIVE {DATASET_CTE}, {_PERF},
+  six AS (SELECT symbol, time_bucket(INTERVAL 6 HOURS, event_time, TIMESTAMP '1970-01-01') + INTERVAL 6 HOURS AS window_end, count(*) AS n,
+                 count(*) FILTER ((probability > 0.5) = (y = 1)) AS n_right FROM matched GROUP BY 1, 2)
+  SELECT 'performance' AS rule, symbol AS subject, window_end, n AS predictions, {_r('n_right::DOUBLE / n', 6)} AS value FROM six
+  WHERE n_right::DOUBLE / n < 0.45 AND window_end <= (SELECT max(event_time) FROM matched) - INTERVAL 1 HOUR""")
+def alerts_stream(spark, sf_dir):
+    """Closed windows of a stream of matched predictions in which a symbol was right too seldom."""
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", "rsi_14", "target_direction"))
+    right = (F.col("probability") > 0.5) == (F.col("target_direction") == 1)
+    matched = Mo.match_outcomes(_logged(rows), rows).select("symbol", "event_time", right.alias("is_right"))
+    found = _streamed(matched, "alerts-stream", lambda s: accuracy_alerts_stream(s, 0.45))
+    return _rounded(found.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), 6, "value")
+
+
 @query("refresh_run", f"""WITH {Q.BARS_5M}, daily AS (SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) FROM orders),
   full_ AS (SELECT greatest(count(*) - 12, 0) AS n FROM bars GROUP BY symbol)
   SELECT 'daily_market_features' AS table_name, count(*) AS row_count FROM daily
@@ -516,6 +561,18 @@ def ingest_news(spark, sf_dir):
     return articles(spark, sf_dir)
 
 
+@query("news_stream", f"WITH {Q.NEWS} SELECT DISTINCT url FROM news")
+def news_stream(spark, sf_dir):
+    """The news as a stream of which one article per URL passes."""
+    rows = X.news(spark, sf_dir).withColumn("published_at", F.col("published_at").cast("timestamp")).drop("title", "body")
+    work = tables.scratch_dir(spark, "news-stream")
+    rows.write.parquet(f"{work}/in")
+    kept = N.dedupe_news_stream(spark.readStream.schema(rows.schema).parquet(f"{work}/in"), "31 days")
+    writer = kept.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{work}/out").select("url")
+
+
 @query("score_sentiment", f"""WITH {_ARTICLES} SELECT doc_id, url, sentiment_score, matched_words,
   CASE WHEN sentiment_score > 0.05 THEN 'positive' WHEN sentiment_score < -0.05 THEN 'negative' ELSE 'neutral' END
     AS sentiment_label FROM scored_news""")

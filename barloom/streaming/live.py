@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def match_outcomes_stream(predictions: DataFrame, outcomes: DataFrame, horizon: str = "1 hour") -> DataFrame:
+def match_outcomes_stream(
+    predictions: DataFrame, outcomes: DataFrame, horizon: str = "1 hour", threshold: float = 0.5
+) -> DataFrame:
     """Stream-stream join on the key.
 
     An outcome is known one horizon after its bar, so predictions wait that long:
@@ -14,5 +16,22 @@ def match_outcomes_stream(predictions: DataFrame, outcomes: DataFrame, horizon:
     p = predictions.withWatermark("event_time", horizon).select("symbol", "event_time", "probability")
     o = outcomes.withWatermark("event_time", horizon).select("symbol", "event_time", "target_direction")
     return p.join(o, ["symbol", "event_time"]).withColumn(
-        "is_right", (F.col("probability") > 0.5) == (F.col("target_direction") == 1)
+        "is_right", (F.col("probability") > threshold) == (F.col("target_direction") == 1)
+    )
+
+
+def accuracy_alerts_stream(
+    matched: DataFrame, expected_accuracy: float, window: str = "6 hours", delay: str = "1 hour"
+) -> DataFrame:
+    """One row per symbol and closed window whose share of right predictions is below the expectation.
+
+    ``matched`` has symbol, event_time and is_right. The state holds one count per symbol and open window.
+    """
+    per_window = matched.withWatermark("event_time", delay).groupBy("symbol", F.window("event_time", window).alias("w")).agg(
+        F.count(F.lit(1)).alias("predictions"), F.count_if("is_right").alias("right")
+    )
+    accuracy = F.col("right") / F.col("predictions")
+    return per_window.where(accuracy < expected_accuracy).select(
+        F.lit("performance").alias("rule"), F.col("symbol").alias("subject"), F.col("w.end").alias("window_end"),
+        "predictions", accuracy.alias("value"),
     )
