@@ -19,7 +19,7 @@ from barloom.sources.tables import scratch_dir
 
 LABEL, WEIGHT = "target_direction", "class_weight"
 SEED = 7
-DONOR_BUCKETS = 4_096  # fixed, so that donors do not depend on the size of the table
+DONOR_BITS = 12  # leading bits of the hash that cut its order into ranges
 
 
 def encode_symbol(df: DataFrame, symbol: str = "symbol") -> DataFrame:
@@ -84,21 +84,25 @@ def roc_auc(model: PipelineModel, df: DataFrame, columns: Sequence[str]) -> floa
 
 def feature_importance(
     model: PipelineModel, df: DataFrame, columns: Sequence[str], threshold: float = 0.5,
-    key: Sequence[str] = ("symbol", "event_time"), buckets: int = DONOR_BUCKETS,
+    key: Sequence[str] = ("symbol", "event_time"), bits: int = DONOR_BITS,
 ) -> DataFrame:
     """Split-gain importance of the trees beside permutation importance, ranked by the latter.
 
     Permutation importance is the accuracy lost when one column is replaced by that of
-    another row: the neighbour in the order of a hash of the unique ``key``, inside one of
-    ``DONOR_BUCKETS`` hash buckets.  Each row is scored once as is and once per column.
+    another row: the one before it in the order of a hash of the unique ``key``.  The order is cut
+    into 2**DONOR_BITS ranges, each of which hands its last row to the next; the number of ranges
+    changes no donor.  Each row is scored once as is and once per column.
     """
     spark = df.sparkSession
     ready = _typed(df, columns).select(
         LABEL, *columns, F.xxhash64(*[F.col(k) for k in key], F.lit(SEED)).alias("_mix")
     )
-    w = Window.partitionBy("_bucket").orderBy("_mix")
-    donors = ready.withColumn("_bucket", F.pmod(F.xxhash64("_mix"), F.lit(buckets))).withColumns(
-        {f"_d_{c}": F.coalesce(F.lag(c, 1).over(w), F.col(c)) for c in columns}
+    w = Window.partitionBy("_range").orderBy("_mix")
+    ready = ready.withColumn("_range", F.shiftrightunsigned("_mix", 64 - bits))
+    lasts = ready.groupBy("_range").agg(F.max_by(F.struct(*columns), "_mix").alias("_last"))
+    carried = lasts.select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_carried"))
+    donors = ready.join(F.broadcast(carried), "_range").withColumns(  # one row per range
+        {f"_d_{c}": F.coalesce(F.lag(c, 1).over(w), F.col(f"_carried.{c}"), F.col(c)) for c in columns}
     )
     variants = donors.withColumn("_which", F.explode(F.array(F.lit(""), *[F.lit(c) for c in columns])))
     swapped = variants.select(
