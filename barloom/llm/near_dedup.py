@@ -283,7 +283,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     member = _labelled(rows.join(nodes.select("digest", "node"), "digest"), labels, "node", "label")
     member = stage(member.select("doc_id", "digest", "label"), "near-classes")
     sizes = member.groupBy("label").agg(F.max(F.struct("doc_id", "digest")).alias("top"), F.count(F.lit(1)).alias("class_size"))
-    out = member.join(sizes, "label")
+    out = stage(member.join(sizes, "label"), "near-sized")  # staged, so that the join of a hot class can be split
     is_top = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("digest") == F.col("top.digest"))
     tops = out.where(is_top).withColumn("kept", F.row_number().over(Window.partitionBy("label").orderBy("digest")) == 1)
     rest = out.where(~is_top).withColumn("kept", F.lit(False))
