@@ -69,9 +69,7 @@ def mix(
 ) -> DataFrame:
     """The ``carried`` columns of every row with size, source_size, target, copies and taken."""
     added = ("size", "source_size", "target", "copies", "taken")
-    spans = 1
-    while spans * range_rows < docs.count():
-        spans *= 2
+    spans = 1 << max(0, (docs.count() - 1) // range_rows).bit_length()
     mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carried if c not in added]).alias("doc"),
