@@ -114,19 +114,26 @@ def walk_forward(
     df: DataFrame, score: str, thresholds: Sequence[float], label: str = "target_direction", n: int = 5,
     ts: str = "event_time",
 ) -> DataFrame:
-    """Per run (threshold) and fold: test rows, accuracy and precision on group ``fold``."""
+    """Per run (threshold) and fold: test rows, accuracy and precision on group ``fold``.
+
+    Rows are counted once per fold for all thresholds; only the counts are unfolded into runs.
+    """
     scored = time_buckets(df.where(F.col(score).isNotNull()), n, ts).where(F.col(FOLD) >= 1)
-    runs = F.array(*[F.lit(float(t)) for t in thresholds])
-    up, y = F.col(score) > F.col("threshold"), F.col(label) == 1
-    return (
-        scored.withColumn("threshold", F.explode(runs))
-        .groupBy("threshold", FOLD)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(ts).alias("test_start"),
+    y = F.col(label) == 1
+
+    def run(threshold: float) -> Column:
+        up = F.col(score) > threshold
+        return F.struct(
+            F.lit(float(threshold)).alias("threshold"),
             _share(F.count_if(up == y), F.count(F.lit(1))).alias("accuracy"),
             _share(F.count_if(up & y), F.count_if(up)).alias("precision"),
         )
+
+    per_fold = scored.groupBy(FOLD).agg(
+        F.count(F.lit(1)).alias("n"), F.min(ts).alias("test_start"), F.array(*[run(t) for t in thresholds]).alias("runs")
+    )
+    return per_fold.select(FOLD, "n", "test_start", F.explode("runs").alias("run")).select(
+        "run.threshold", FOLD, "n", "test_start", "run.accuracy", "run.precision"
     )
 
 
