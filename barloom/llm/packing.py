@@ -132,6 +132,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) ->
                     rows.extend(packer.add(doc_id, np.frombuffer(coded + end, codec.dtype)))
                 yield out(rows)
         yield out(list(packer.finish()))
+        codec.rest()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_text"))
     schema = rows.select("doc_id").schema

@@ -81,6 +81,10 @@ class Encoder:
         for p, w, tail in plain:
             known[p] = ids[w] + self._tail(tail)
 
+    def rest(self) -> None:
+        """Give back the older half of the tables at the end of a partition: a worker goes on to other work."""
+        self.older, self.older_words = {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
