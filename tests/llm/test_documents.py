@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import documents, edges, no_documents  # noqa: F401
+
 from barloom.llm import exact_dedup, language_id, mixing, near_dedup, stages
 from barloom.llm.common import id_crc
 from pyspark.sql import functions as F

@@ -10,6 +10,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import documents, edges, no_documents  # noqa: F401
+
 from barloom.llm import html_text, packing, ppm, syncmers, token_files, tokens, warc
 from barloom.sources.tables import scratch_dir
 
