@@ -110,8 +110,11 @@ class Packer:
         self.held = sum(len(ids) for *_, ids in self.items)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, release: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``release`` empties the workers' tables of known words after each partition, for jobs whose workers go on to other stages.
+    """
     path = tokenizer or tokenizer_path()
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence", "offset"]
 
@@ -132,7 +135,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) ->
                     rows.extend(packer.add(doc_id, np.frombuffer(coded + end, codec.dtype)))
                 yield out(rows)
         yield out(list(packer.finish()))
-        codec.rest()
+        if release:
+            codec.rest()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_text"))
     schema = rows.select("doc_id").schema

@@ -127,7 +127,6 @@ def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             for a, b in pieces_of(texts):
                 ids = pa.array([x + end for x in codec.encode(texts[a:b])], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), ids], ["doc_id", "ids"])
-        codec.rest()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_text"))
     return rows.mapInArrow(coded, "doc_id long, ids binary")

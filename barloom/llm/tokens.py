@@ -16,9 +16,10 @@ from functools import lru_cache
 import numpy as np
 
 KEPT_PIECES = 300_000  # entries after which a worker's table of known pieces makes room
-KEPT_WORDS = 200_000  # the same for its table of lower-case words
+KEPT_WORDS = 250_000  # the same for its table of lower-case words
+WORDS_PER_CALL = 1_000
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-/:-@\[-`{-~]*)")
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class Encoder:
@@ -33,6 +34,10 @@ class Encoder:
         self.words = Tokenizer.from_file(path)  # for plain words: their letters are one unit of the merges
         self.words.normalizer = None
         self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # ids that end a word
+        mark = getattr(self.full.model, "end_of_word_suffix", None) or "\0"
+        self.last = np.zeros(self.full.get_vocab_size(), bool)
+        self.last[[i for token, i in self.full.get_vocab(with_added_tokens=False).items() if token.endswith(mark)]] = True
         self.tails: dict[str, bytes] = {"": b""}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -75,22 +80,28 @@ class Encoder:
             ids.update(zip(met, map(older_words.__getitem__, met)))
             new -= met
         words = list(new)
-        encoded = self.words.encode_batch_fast([[w] for w in words], is_pretokenized=True, add_special_tokens=False)
-        ids.update(zip(words, [self._bytes(e.ids) for e in encoded]))
+        groups = [words[i:i + WORDS_PER_CALL] for i in range(0, len(words), WORDS_PER_CALL)]
+        for group, e in zip(groups, self.words.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)):
+            raw = self._bytes(e.ids)
+            ends = ((np.flatnonzero(self.last[np.frombuffer(raw, self.dtype)]) + 1) * self.dtype.itemsize).tolist()
+            if len(ends) == len(group):
+                ids.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            else:  # a vocabulary whose words do not all end in a marked id
+                ids.update((w, self._bytes(self.words.encode([w], is_pretokenized=True, add_special_tokens=False).ids)) for w in group)
         known.update(zip(simple, map(ids.__getitem__, simple_words)))
         for p, w, tail in plain:
             known[p] = ids[w] + self._tail(tail)
 
     def rest(self) -> None:
-        """Give back the older half of the tables at the end of a partition: a worker goes on to other work."""
-        self.older, self.older_words = {}, {}
+        """Give back the tables: the worker goes on to other work."""
+        self.known, self.older, self.known_words, self.older_words, self.tails = {}, {}, {}, {}, {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
         if len(self.known_words) > KEPT_WORDS:
             self.known_words, self.older_words = {}, self.known_words
-        split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
+        split = [None if any(map(t.__contains__, _ODD_SPACE)) else t.split() for t in texts]
         pieces = set().union(*(s for s in split if s))
         self._learn(pieces.difference(self.known))
         get = self.known.__getitem__
