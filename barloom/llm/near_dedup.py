@@ -12,8 +12,11 @@ Equal texts are one node, found by their SHA-256. In a bucket (documents that sh
 with the bucket's leader, the member whose buckets are fullest (of a group of near copies that is one close to
 their common origin), of several the one with the largest doc_id; then, in buckets of two successive bands, with that one's
 leader; then, while that finds links, a new leader is chosen among the members that are in no earlier leader's
-class, and compared with all members of other classes. So no bucket is capped, and pairs grow with the members, not with
-their square. Compared pairs are verified on the whole texts: a link needs a similarity of at least
+class, and compared with all members of other classes. That joins most of a hot group by pairs that grow with the
+members. At last, members of buckets that hold several classes are compared with all members of other classes with which
+they have one of their rarest shingles in common (prefix filter, see ``_pairs_left``; no pair at the threshold is without). So
+every pair that shares a bucket is compared, joined already, or proven to be no link; the last step's pairs grow with the square of a group
+only where texts of different classes have rare shingles in common. Compared pairs are verified on the whole texts: a link needs a similarity of at least
 ``THRESHOLD``, the larger of the set Jaccard and the probability Jaccard of the shingles. Classes are the connected
 components of links, found by spreading the smallest label along links with pointer jumping.
 
@@ -258,8 +261,54 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         before = links
         links, labels, compared = _extended(more, links, labels, compared, texts)
         if links is before:
-            return signed.select("doc_id", "digest"), nodes.select("digest", "node", "doc_id"), labels
+            break
         led = led.union(chosen.select("key", "leader"))
+    _, labels, _ = _extended(_pairs_left(members.select("key", "node"), labels, texts), links, labels, compared, texts)
+    return signed.select("doc_id", "digest"), nodes.select("digest", "node", "doc_id"), labels
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in batches:
+        for node, label, text in zip(*(batch.column(c).to_pylist() for c in ("node", "label", "text"))):
+            _, value, weight = shingles([text], hashes)
+            n = len(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, node)), pa.array(np.full(n, label)), pa.array(value.view(np.int64)), pa.array(weight),
+                 pa.array(np.full(n, n)), pa.array(np.full(n, weight.sum()))],
+                ["node", "label", "shingle", "weight", "size", "mass"],
+            )
+
+
+def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs that can be links among the members of buckets that hold several classes.
+
+    The shingles of a text are taken from the rarest to the most frequent until less than ``THRESHOLD`` of its set and of
+    its weight is left. Two texts without a common shingle among those have both similarities below the threshold.
+    """
+    now = stage(_labelled(members, labels, "node", "label"), "near-left")
+    several = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    nodes = now.join(several, "key").select("node", "label").distinct()
+    schema = "node long, label long, shingle long, weight long, size long, mass long"
+    found = stage(texts.join(nodes, "node").select("node", "label", "text").mapInArrow(_shingled, schema), "near-shingles")
+    # a shingle of one class alone takes its place in the order, but makes no pair
+    held = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    held = stage(held.where("n > 1").select("shingle", "n", (F.col("low") < F.col("high")).alias("mixed")), "near-shared")
+    after = Window.partitionBy("node").orderBy(F.desc("n"), "shingle").rowsBetween(Window.unboundedPreceding, 0)
+    counted = found.join(held, "shingle").withColumns({"sizes": F.count(F.lit(1)).over(after), "masses": F.sum("weight").over(after)})
+    least = THRESHOLD - 1e-9
+    first = stage(
+        counted.where(F.col("mixed") & ((F.col("sizes") >= least * F.col("size")) | (F.col("masses") >= least * F.col("mass"))))
+        .select("shingle", "label", "node"), "near-first",
+    )
+    classes = first.select("shingle", "label").distinct()
+    meetings = stage(  # classes first, so that members of one class never meet
+        classes.withColumnRenamed("label", "label_a").join(classes.withColumnRenamed("label", "label_b"), "shingle").where("label_a < label_b"),
+        "near-meetings",
+    )
+    a = first.select("shingle", F.col("label").alias("label_a"), F.col("node").alias("a"))
+    b = first.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"))
+    return meetings.join(a, ["shingle", "label_a"]).join(b, ["shingle", "label_b"]).select("a", "b").distinct()
 
 
 def _extended(pairs, links, labels, compared, texts):

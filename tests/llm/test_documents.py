@@ -180,6 +180,28 @@ def test_hot_group_of_near_copies_is_one_class(spark):
     assert {r.class_id for r in got if r.doc_id < 1_000} == {299} and len({r.class_id for r in got}) == 21
 
 
+def test_pairs_between_template_pages_are_found(spark):
+    """Pages alike at 0.6 fill the buckets; planted pairs at 0.8 to 0.85 are neither leaders nor of a led class."""
+    template = [f"t{j}" for j in range(150)]
+    texts = []
+    for i in range(1_000):
+        own = [f"o{i // 2 if i < 500 else i}x{j}" for j in range(50)]
+        if i < 500 and i % 2:
+            own[:] = [*own[:-17 - i % 5], *(f"p{i}x{j}" for j in range(17 + i % 5))]
+        texts.append((i * 7_919 % 1_009, " ".join(template + own)))
+    sets = [brute_shingles(t) for _, t in texts]
+    place = {s: k for k, s in enumerate({s for x in sets for s in x})}
+    held = np.zeros((len(sets), len(place)), np.float32)
+    for i, x in enumerate(sets):
+        held[i, [place[s] for s in x]] = 1
+    both, sizes = held @ held.T, held.sum(1)
+    alike = np.argwhere(np.triu(both / (sizes[:, None] + sizes - both) >= 0.8, 1)).tolist()
+    assert len(alike) == 250
+    expected = {i: i for i, _ in texts} | {min(texts[a][0], texts[b][0]): max(texts[a][0], texts[b][0]) for a, b in alike}
+    got = near_dedup.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == expected
+
+
 def test_near_dedup_rows(edges, no_documents):
     kept = near_dedup.near_dedup(edges)
     assert kept.columns == edges.columns and kept.count() == len(brute_classes(edges.collect()))
