@@ -5,8 +5,10 @@ the document. Every shingle is a Poisson process whose rate is its weight: its a
 exponential distances drawn from the shingle's hash, and each falls on one of the signature's components. A component
 keeps the shingle of its earliest arrival; a shingle is given up once its next arrival is later than the
 latest kept by any component. Two signatures agree in a component with the probability Jaccard similarity J_P of
-the documents. Signatures are cut into ``BANDS`` bands of ``ROWS`` components (at J_P = 0.8 a pair shares no band with a
-probability below 4e-5).
+the documents. A text in which a shingle repeats has a second signature with all weights 1, which agrees with
+the Jaccard similarity of the shingle sets; without repeats the two are the same. Signatures are cut into ``BANDS`` bands of ``ROWS``
+components, and the bands of both signatures share their keys (at 0.8 in either similarity a pair shares no band with a probability
+below 4e-5).
 
 Equal texts are one node, found by their SHA-256. In a bucket (documents that share a band) every member is compared
 with the bucket's leader, the member whose buckets are fullest (of a group of near copies that is one close to
@@ -122,6 +124,18 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def key_lists(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) -> list[list[int] | None]:
+    """Band keys of n texts: those of the weighted shingles, then, where a shingle repeats, those of the shingle set."""
+    lists = [None if w else k for w, k in zip(np.bincount(owner, minlength=n) == 0, band_keys(signatures(owner, value, weight, n)).tolist())]
+    uneven = np.unique(owner[weight > 1])  # without repeats both signatures are the same
+    if len(uneven):
+        of = np.isin(owner, uneven)
+        once = np.ones(np.count_nonzero(of), np.int64)
+        for i, keys in zip(uneven.tolist(), band_keys(signatures(np.searchsorted(uneven, owner[of]), value[of], once, len(uneven))).tolist()):
+            lists[i] = lists[i] + keys
+    return lists
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """The larger of the set Jaccard and the probability Jaccard of two weighted shingle sets."""
     if not len(a[0]) or not len(b[0]):
@@ -152,9 +166,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             part = texts[start:end]
             owner, value, weight = shingles(part, hashes)
-            keys = band_keys(signatures(owner, value, weight, len(part)))
-            wordless = np.bincount(owner, minlength=len(part)) == 0
-            lists = [None if w else k for w, k in zip(wordless, keys.tolist())]
+            lists = key_lists(owner, value, weight, len(part))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).slice(start, end - start) for c in ("doc_id", "digest")), pa.array(lists, pa.list_(pa.int64()))],
                 ["doc_id", "digest", "keys"],
@@ -226,11 +238,11 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         signed.groupBy("digest").agg(F.max("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
         .withColumn("node", F.monotonically_increasing_id()), "near-nodes",
     )
-    buckets = nodes.select("node", F.explode("keys").alias("key"))
+    buckets = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     weights = buckets.join(shared, "key").groupBy("node").agg(F.sum("n").alias("weight"))
     wanted = stage(nodes.join(weights, "node").select("node", "doc_id", "digest", "keys", "weight"), "near-wanted")
-    buckets = wanted.select("node", "doc_id", "weight", F.explode("keys").alias("key"))
+    buckets = wanted.select("node", "doc_id", "weight", F.explode(F.array_distinct("keys")).alias("key"))
     members = stage(buckets.join(_leaders(buckets), "key"), "near-members")
     pairs = stage(members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "near-pairs")
     texts = stage(
@@ -241,10 +253,10 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     links = _verified(pairs, texts)
     labels = components(links)
 
-    # a second leader for each bucket of two successive bands
-    n = F.size("keys")
-    succession = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", (i + 1) % n)))
-    finer = wanted.select("node", "doc_id", "weight", F.explode(succession).alias("key"))
+    # a second leader for each bucket of two successive bands of one signature
+    following = lambda i: i - i % BANDS + (i + 1) % BANDS
+    succession = F.transform(F.sequence(F.lit(0), F.size("keys") - 1), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", following(i).cast("int"))))
+    finer = wanted.select("node", "doc_id", "weight", F.explode(F.array_distinct(succession)).alias("key"))
     second = finer.join(_leaders(finer), "key").where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links, labels, compared = _extended(second, links, labels, pairs, texts)
 

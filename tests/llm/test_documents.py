@@ -202,6 +202,19 @@ def test_pairs_between_template_pages_are_found(spark):
     assert {r.doc_id: r.class_id for r in got} == expected
 
 
+def test_pairs_with_unequal_repeats_are_found(spark):
+    """Equal shingle sets, of which one text repeats a part: J_P is low, the set Jaccard is 1 or near it."""
+    texts = []
+    for i in range(20):
+        words = [f"w{i}x{j}" for j in range(200)]
+        menu = (words[:20] + words[:4]) * (1 + i % 2 * 49)
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(menu + words))]
+    got = near_dedup.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    sets = {i: brute_shingles(t) for i, t in texts}
+    assert all(brute_similarity(sets[2 * i], sets[2 * i + 1]) >= 0.8 for i in range(20))
+    assert {r.doc_id: r.class_id for r in got} == {i: i | 1 for i, _ in texts}
+
+
 def test_near_dedup_rows(edges, no_documents):
     kept = near_dedup.near_dedup(edges)
     assert kept.columns == edges.columns and kept.count() == len(brute_classes(edges.collect()))
