@@ -12,11 +12,11 @@ along the gradient of the labels' likelihood, which the marginals give (label mi
 is done once by the driver, which sends the weights to the tasks.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by
-one line feed in page order; an empty block leaves nothing. Head, scripts, styles, templates and comments of the markup are never text. Nothing
-else is dropped or cut.
+one line feed in page order; an empty block leaves nothing. Head, title, scripts, styles, templates and comments of the markup are never text. Nothing
+else is dropped before the marginals.
 
 Defined cases: null html is an empty page and gives the empty text. Broken markup is mended: a block start closes an open
-paragraph, an item closes the item before it, and an end tag without its start is passed over. Rows are read one by one,
+paragraph, an item closes the item before it, a tag that cannot stand in a head closes it, and an end tag without its start is passed over. Rows are read one by one,
 so repeated rows and null ids change nothing. An empty table gives no rows. Extra columns are not read. Trees are walked
 without recursion, so depth is no limit.
 """
@@ -40,7 +40,8 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD = frozenset("head script style template noscript iframe object svg math canvas audio video title".split())
+UNREAD = frozenset("head script style template title".split())
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
 
@@ -63,6 +64,8 @@ class TreeBuilder(HTMLParser):
         self.unread = 0
 
     def handle_starttag(self, tag, attrs):
+        if self.unread and tag not in HEAD:
+            self._close_head()
         if tag in BLOCKS:
             self._close_paragraph()
             self.flow.append(None)
@@ -92,6 +95,15 @@ class TreeBuilder(HTMLParser):
             self.unread -= element.tag in UNREAD
         del self.stack[depth:]
 
+    def _close_head(self):
+        """A start tag that cannot stand in a head ends it, unless it stands in a template."""
+        if any(e.tag == "template" for e in self.stack):
+            return
+        for depth in range(1, len(self.stack)):
+            if self.stack[depth].tag in ("head", "title"):
+                self._pop_to(depth)
+                return
+
     def _close_paragraph(self):
         for depth in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[depth].tag
@@ -121,6 +133,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.stack[-1].tag == "head" and data.strip():
+            self._close_head()
         if not self.unread:
             self.flow.append((self.stack[-1], data))
 

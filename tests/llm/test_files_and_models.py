@@ -331,6 +331,22 @@ def test_main_text(spark, html, text):
     assert [(r.text, r.n_chars) for r in got] == [(text, len(text))]
 
 
+@pytest.mark.parametrize("before,inside", [
+    ("<html><head><title>T</title><meta charset=utf-8><script>x</script><body>", ""), ("<head><title>T</title>", ""),
+    ("<head><style>p {}</style><noscript><img src=x></noscript><link href=y><body>", ""),
+    ("<head><template><p>No text of the page.</p></template><title>T</title></head>", ""),
+    *[("<html><head></head><body>", f"<{tag}>") for tag in ("object", "noscript", "svg", "canvas", "audio", "video", "math")],
+])
+def test_text_after_unclosed_elements(before, inside):
+    page = f"{before}<article><p>First words are here.</p>{inside}<p>Second words, and more of them.</p></article>"
+    assert html_text.main_text(page, html_text.trained()) == "First words are here.\nSecond words, and more of them."
+
+
+def test_formulas_are_text():
+    page = "<article><p>The area is <math><mi>a</mi><mo>=</mo><mn>7</mn></math> in this case.</p></article>"
+    assert html_text.main_text(page, html_text.trained()) == "The area is a=7 in this case."
+
+
 def test_deep_tree_and_given_pages(spark, sf_dir):
     deep = "<article>" + "<div>" * 5_000 + "<p>Deep words, and more of them.</p>"
     assert "Deep words" in html_text.main_text(deep, html_text.trained())
