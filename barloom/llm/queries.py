@@ -6,7 +6,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_dedup, html_text, language_id, mixing, near_dedup, packing, ppm, syncmers, token_files, warc
+from barloom.llm import (
+    exact_dedup, fill_in_middle, html_text, language_id, mixing, near_dedup, packing, ppm, sentence_pieces, syncmers,
+    token_files, warc, whitening,
+)
 from barloom.llm.common import id_crc, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +121,53 @@ def op7_ppm(spark, sf_dir):
 @query
 def op4_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op11_pieces(spark, sf_dir):
+    encoded = sentence_pieces.encode(table(spark, sf_dir, "documents"), ["doc_id"])
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "_row.*", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(sentence_pieces.decode(F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    moved = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    return moved.select(
+        "_row.*", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS body, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+h AS (
+  SELECT *, len(units) AS n, ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+         ('0x' || digest[17:24])::BIGINT AS h3, ('0x' || digest[25:32])::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM p"""
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    white = whitening.whitened_components(table(spark, sf_dir, "embeddings"), ["vec_id"])
+    return white.select(
+        "_row.*", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error"
+    )
