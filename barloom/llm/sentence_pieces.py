@@ -2,26 +2,26 @@
 
 The library puts a marker in place of every space. When no piece holds a marker after another character, no merge
 crosses the start of a marker run, so a text's ids are those of its chunks (a marker run with what follows it), one
-after the other. Then each distinct chunk of the corpus is segmented once:
+after the other. Texts are taken in slices of about ``SLICE_CHARS`` code points where they lie: their chunks become a
+column of places in the slice's table of distinct chunks, each of these is segmented once (normalised already, so the
+library's normaliser is off), and the ids are joined back by position. A worker keeps short chunks it has segmented, up to
+``KEPT_CHUNKS``, for its next slices. Nothing is shuffled and memory does not grow with the input or with how often
+a chunk occurs. A table for the whole corpus would move every text or every distinct chunk of every block, for a segmentation that
+costs less than the move.
 
-1. one pass over the texts deals them in blocks of about ``BLOCK_CHARS`` code points as they lie and stages them beside the
-   distinct chunks of each block;
-2. the distinct chunks over all blocks go to the library once each (normalised already, so its normaliser is off);
-3. ids join back to the chunks of each block, and texts and chunks of a block meet by one shuffle, chunks first: a task
-   holds the chunks of one block and streams its texts, putting the ids of their chunks together by position.
-
-A frequent chunk is one row per block, however often it occurs. A model whose pieces can cross markers gets whole texts as
-chunks, so equal texts are still segmented once. Decoding is the library's own, on the ids of each row.
+A model whose pieces can cross markers gets whole texts as chunks, so equal texts of a slice are still segmented once.
+Decoding is the library's own, on the ids of each row.
 
 Defined cases: a null text counts as empty and gives no ids; null ids give null; texts without any space, or of
-any length, are one chunk; repeated and null document ids change nothing, as rows are dealt by place; an empty table gives
-no rows; only ``keep`` columns are carried, so other columns may have any names.
+any length, are one chunk; repeated and null document ids change nothing; an empty table gives no rows; only ``keep``
+columns are carried, so other columns may have any names.
 """
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import stage, text_or_empty
+from barloom.llm.common import text_or_empty
+from barloom.llm.tokens import pieces_of
 
-BLOCK_CHARS = 16_000_000  # a task holds the distinct chunks of this many code points
+SLICE_CHARS = 4_000_000
+KEPT_CHUNKS = 300_000  # a worker's table of known chunks starts anew beyond
+KEPT_LENGTH = 64  # code points; longer chunks are hardly met again
 CHUNKS_PER_CALL = 2_000
 MARKER = "▁"
 _CHUNKS = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
@@ -47,36 +50,58 @@ class Pieces:
         spec = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
             spec.ParseFromString(file.read())
-        names = [p.piece for p in spec.pieces]
+        names, rules = [p.piece for p in spec.pieces], spec.normalizer_spec
         crossing = any(MARKER in name.lstrip(MARKER) for name in names)
-        self.cuts = MARKER in names and not crossing and bool(spec.normalizer_spec.escape_whitespaces)
+        self.cuts = MARKER in names and not crossing and rules.escape_whitespaces
         # every text then starts with a marker, and so does every chunk: its key leaves the marker out
-        self.marked = self.cuts and bool(spec.normalizer_spec.add_dummy_prefix)
-        rules = spec.normalizer_spec
+        self.marked = self.cuts and rules.add_dummy_prefix
         rules.name, rules.precompiled_charsmap = "identity", b""
         rules.add_dummy_prefix = rules.remove_extra_whitespaces = False
         self.bare = SentencePieceProcessor(model_proto=spec.SerializeToString())
+        self.known: dict[str, np.ndarray] = {}
 
     def chunks(self, text: str) -> list[str]:
         """Keys of the chunks of a text in order."""
         normal = self.full.normalize(text)
+        if not normal:
+            return []
         if not self.cuts:
-            return [normal] if normal else []
+            return [normal]
         if not self.marked:
             return _CHUNKS.findall(normal)
-        if not normal:
-            return []
         if MARKER * 2 in normal:
             return [chunk[1:] for chunk in _CHUNKS.findall(normal)]
         return normal[1:].split(MARKER)
 
-    def ids(self, keys: list[str]) -> Iterator[bytes]:
-        """Ids of chunks as little-endian 32-bit numbers."""
+    def segmented(self, keys: list[str]) -> Iterator[np.ndarray]:
+        """Ids of chunks, each segmented by the library."""
         lead = MARKER if self.marked else ""
         for start in range(0, len(keys), CHUNKS_PER_CALL):
             some = [lead + key for key in keys[start:start + CHUNKS_PER_CALL]]
             for ids in self.bare.encode(some, num_threads=1, add_bos=False, add_eos=False, enable_sampling=False):
-                yield np.asarray(ids, "<i4").tobytes()
+                yield np.asarray(ids, np.int32)
+
+    def encode(self, texts: list[str]) -> pa.ListArray:
+        """Ids of whole texts: distinct chunks are segmented, then taken by the places of all chunks."""
+        split = [self.chunks(text) for text in texts]
+        places = pa.array(chain.from_iterable(split), pa.large_string()).dictionary_encode()
+        keys = places.dictionary.to_pylist()
+        if len(self.known) > KEPT_CHUNKS:
+            self.known = {}
+        new = [key for key in keys if key not in self.known]
+        found = dict(zip(new, self.segmented(new)))
+        of_keys = [found[key] if key in found else self.known[key] for key in keys]
+        self.known.update((key, ids) for key, ids in found.items() if len(key) <= KEPT_LENGTH)
+        table = _lists(map(len, of_keys), np.concatenate(of_keys) if of_keys else np.zeros(0, np.int32))
+        by_place = table.take(places.indices)
+        after = by_place.offsets.to_numpy()
+        ends = np.cumsum([0, *map(len, split)])
+        return pa.LargeListArray.from_arrays(pa.array(after[ends], pa.int64()), by_place.values)
+
+
+def _lists(lengths, values: np.ndarray) -> pa.LargeListArray:
+    ends = np.cumsum(np.fromiter(chain([0], lengths), np.int64))
+    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
 
 
 @lru_cache(maxsize=2)
@@ -90,106 +115,26 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
-def _dealt(docs: DataFrame, path: str, block_chars: int) -> DataFrame:
-    """Texts (``word`` false) and distinct chunks (``word`` true) with their block, staged."""
-    schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("text", T.StringType()),
-        T.StructField("_row", docs.schema["_row"].dataType), T.StructField("word", T.BooleanType()),
-    ])
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        model = pieces(path)
-        block, held, met = TaskContext.get().partitionId() << 32, 0, set()
-
-        def chunks_met() -> Iterator[pa.RecordBatch]:
-            found = list(met)
-            for start in range(0, len(found), 100_000):
-                part = found[start:start + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(block, pa.int64()), len(part)), pa.array(part, pa.string()),
-                     pa.nulls(len(part), row_arrow), pa.repeat(True, len(part))], names=schema.names)
-
-        row_arrow = None
-        for batch in batches:
-            row_arrow = batch.schema.field("_row").type
-            blocks = []
-            for text in batch.column("text"):
-                value = text.as_py()
-                if held and held + len(value) > block_chars:
-                    yield from chunks_met()
-                    block, held, met = block + 1, 0, set()
-                met.update(model.chunks(value))
-                held += len(value)
-                blocks.append(block)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), batch.column("text"), batch.column("_row"), pa.repeat(False, len(blocks))],
-                names=schema.names)
-        if met:
-            yield from chunks_met()
-
-    return stage(docs.mapInArrow(deal, schema), "piece-blocks", ["word"])
-
-
-def _segmented(chunks: DataFrame, path: str) -> DataFrame:
-    """``chunk`` with the ids of each, once per row."""
-
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path)
-        for batch in batches:
-            found = list(model.ids(batch.column("chunk").to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(found, pa.binary())], names=["chunk", "ids"])
-
-    return chunks.mapInArrow(segment, "chunk string, ids binary")
-
-
 def encode(
-    docs: DataFrame, keep: Sequence[str], path: str | None = None, text: str = "text", block_chars: int = BLOCK_CHARS
+    docs: DataFrame, keep: Sequence[str], path: str | None = None, text: str = "text", slice_chars: int = SLICE_CHARS
 ) -> DataFrame:
     """``_row`` (the ``keep`` columns) and ``ids`` (array of int) of every row, as the library encodes its whole text."""
     path = path or model_path()
-    dealt = _dealt(docs.select(text_or_empty(text).alias("text"), F.struct(*keep).alias("_row")), path, block_chars)
-    words = dealt.where("word").select("block", F.col("text").alias("chunk"))
-    table = _segmented(words.select("chunk").distinct(), path)
-    known = words.join(table, "chunk").select("block", F.lit(0).alias("_order"), F.col("chunk").alias("text"), "ids")
-    texts = dealt.where(~F.col("word")).select("block", F.lit(1).alias("_order"), "text", "_row")
-    met = known.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "_order")
-    schema = T.StructType([T.StructField("_row", met.schema["_row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
-
-    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = docs.select(text_or_empty(text).alias("text"), F.struct(*keep).alias("_row"))
+    schema = T.StructType([
+        T.StructField("_row", rows.schema["_row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+    ])
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        here, ids_of = None, {}
         for batch in batches:
-            order = batch.column("_order").to_numpy()
-            blocks = batch.column("block").to_numpy()
-            for start, end in _runs(blocks, order):
-                part = batch.slice(start, end - start)
-                if blocks[start] != here:
-                    here, ids_of = blocks[start], {}
-                if order[start] == 0:
-                    ids_of.update(zip(part.column("text").to_pylist(), part.column("ids").to_pylist()))
-                    continue
-                get = ids_of.__getitem__
-                found = [b"".join(map(get, model.chunks(t.as_py()))) for t in part.column("text")]
-                ends = np.cumsum([0] + [len(f) // 4 for f in found])
-                flat = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([part.column("_row"), lists], names=["_row", "ids"])
-
-    return met.mapInArrow(put_together, schema)
-
-
-def _runs(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Consecutive stretches of rows with equal values in all columns."""
-    size = len(columns[0])
-    if not size:
-        return
-    new = np.zeros(size, bool)
-    for column in columns:
-        new[1:] |= column[1:] != column[:-1]
-    starts = [0, *np.flatnonzero(new).tolist()]
-    yield from zip(starts, [*starts[1:], size])
+            texts = batch.column("text").to_pylist()
+            for start, end in pieces_of(texts, slice_chars):
+                ids = model.encode(texts[start:end])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").slice(start, end - start), ids.cast(pa.list_(pa.int32()))], names=["_row", "ids"])
+
+    return rows.mapInArrow(encoded, schema)
 
 
 def decode(ids: Column, path: str | None = None) -> Column:

@@ -52,7 +52,7 @@ def test_pieces_equal_library(odd, tmp_path, change):
     path = model_file(tmp_path, change) if change else sentence_pieces.model_path()
     model = sentence_pieces.Pieces(path)
     assert model.cuts == (change is not crossing) and model.marked == (change in (None, single_spaces))
-    encoded = sentence_pieces.encode(odd, ["doc_id", "text"], path, block_chars=300)
+    encoded = sentence_pieces.encode(odd, ["doc_id", "text"], path, slice_chars=300)
     got = encoded.select("_row.*", "ids", sentence_pieces.decode(F.col("ids"), path).alias("back")).collect()
     assert sorted(repr((r.doc_id, r.text)) for r in got) == sorted(repr((r.doc_id, r.text)) for r in odd.collect())
     for r in got:
@@ -61,7 +61,7 @@ def test_pieces_equal_library(odd, tmp_path, change):
 
 
 def test_pieces_on_documents(spark, documents, no_documents):
-    encoded = {r.doc_id: r.ids for r in sentence_pieces.encode(documents, ["doc_id"], block_chars=10_000).select("_row.*", "ids").collect()}
+    encoded = {r.doc_id: r.ids for r in sentence_pieces.encode(documents, ["doc_id"], slice_chars=10_000).select("_row.*", "ids").collect()}
     model = sentence_pieces.pieces(sentence_pieces.model_path()).full
     for r in documents.collect():
         assert encoded[r.doc_id] == model.encode(r.text or "")
@@ -70,13 +70,18 @@ def test_pieces_on_documents(spark, documents, no_documents):
     assert {r[0] for r in null} == {None, ""}
 
 
-def test_each_chunk_segmented_once(spark, documents, monkeypatch):
-    """The library sees a chunk once although many blocks hold it."""
-    asked = []
-    monkeypatch.setattr(sentence_pieces, "_segmented", lambda chunks, path, real=sentence_pieces._segmented: asked.append(chunks) or real(chunks, path))
-    sentence_pieces.encode(documents, ["doc_id"], block_chars=5_000).count()
-    chunks = [r.chunk for r in asked[0].collect()]
-    assert len(chunks) == len(set(chunks))
+def test_each_chunk_segmented_once(monkeypatch):
+    """The library sees a chunk once although many texts and slices hold it; a table beyond its bound starts anew."""
+    model, asked = sentence_pieces.Pieces(sentence_pieces.model_path()), []
+    real = model.segmented
+    monkeypatch.setattr(model, "segmented", lambda keys: asked.extend(keys) or real(keys))
+    texts = ["stone river  maple stone", "river stone " + "x" * 100, "", "maple " + "x" * 100]
+    for _ in range(3):
+        assert model.encode(texts).to_pylist() == [model.full.encode(t) for t in texts]
+    assert sorted(set(asked)) == sorted(["stone", "river", "▁maple", "maple", "x" * 100])
+    assert len(asked) == 5 + 2  # the long one is not kept for the next slices
+    monkeypatch.setattr(sentence_pieces, "KEPT_CHUNKS", 2)
+    assert model.encode(texts).to_pylist() == [model.full.encode(t) for t in texts] and len(asked) == 7 + 5
 
 
 def test_pieces_query(spark, sf_dir):
