@@ -125,11 +125,11 @@ def op4_html_text(spark, sf_dir):
 
 @query
 def op11_pieces(spark, sf_dir):
-    encoded = sentence_pieces.encode(table(spark, sf_dir, "documents"), ["doc_id"])
+    encoded = sentence_pieces.encode(table(spark, sf_dir, "documents"), ["doc_id"], decoded=True)
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
     return encoded.select(
         "_row.*", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(sentence_pieces.decode(F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -19,21 +19,22 @@ columns are carried, so other columns may have any names.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.common import text_or_empty
-from barloom.llm.tokens import pieces_of
 
-SLICE_CHARS = 4_000_000
-KEPT_CHUNKS = 300_000  # a worker's table of known chunks starts anew beyond
+SLICE_CHARS = 1_000_000
+KEPT_CHUNKS = 150_000  # a worker's table of known chunks starts anew beyond
 KEPT_LENGTH = 64  # code points; longer chunks are hardly met again
 CHUNKS_PER_CALL = 2_000
 MARKER = "▁"
@@ -58,7 +59,7 @@ class Pieces:
         rules.name, rules.precompiled_charsmap = "identity", b""
         rules.add_dummy_prefix = rules.remove_extra_whitespaces = False
         self.bare = SentencePieceProcessor(model_proto=spec.SerializeToString())
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
         """Keys of the chunks of a text in order."""
@@ -73,13 +74,13 @@ class Pieces:
             return [chunk[1:] for chunk in _CHUNKS.findall(normal)]
         return normal[1:].split(MARKER)
 
-    def segmented(self, keys: list[str]) -> Iterator[np.ndarray]:
-        """Ids of chunks, each segmented by the library."""
+    def segmented(self, keys: list[str]) -> Iterator[bytes]:
+        """Ids of chunks as 32-bit numbers, each segmented by the library."""
         lead = MARKER if self.marked else ""
         for start in range(0, len(keys), CHUNKS_PER_CALL):
             some = [lead + key for key in keys[start:start + CHUNKS_PER_CALL]]
             for ids in self.bare.encode(some, num_threads=1, add_bos=False, add_eos=False, enable_sampling=False):
-                yield np.asarray(ids, np.int32)
+                yield array("i", ids).tobytes()
 
     def encode(self, texts: list[str]) -> pa.ListArray:
         """Ids of whole texts: distinct chunks are segmented, then taken by the places of all chunks."""
@@ -92,16 +93,18 @@ class Pieces:
         found = dict(zip(new, self.segmented(new)))
         of_keys = [found[key] if key in found else self.known[key] for key in keys]
         self.known.update((key, ids) for key, ids in found.items() if len(key) <= KEPT_LENGTH)
-        table = _lists(map(len, of_keys), np.concatenate(of_keys) if of_keys else np.zeros(0, np.int32))
-        by_place = table.take(places.indices)
-        after = by_place.offsets.to_numpy()
-        ends = np.cumsum([0, *map(len, split)])
-        return pa.LargeListArray.from_arrays(pa.array(after[ends], pa.int64()), by_place.values)
-
-
-def _lists(lengths, values: np.ndarray) -> pa.LargeListArray:
-    ends = np.cumsum(np.fromiter(chain([0], lengths), np.int64))
-    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+        sizes = np.fromiter(chain([0], map(len, of_keys)), np.int64) // 4
+        ids = np.frombuffer(b"".join(of_keys), np.int32)
+        by_place = pa.LargeListArray.from_arrays(pa.array(np.cumsum(sizes)), pa.array(ids)).take(places.indices)
+        ends = by_place.offsets.to_numpy()[np.cumsum([0, *map(len, split)])]
+        return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), by_place.values).cast(pa.list_(pa.int32()))
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of ids; null for null."""
+        flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+        return pa.array(
+            [self.full.decode(flat[a:b].tolist()) if ok else None
+             for a, b, ok in zip(ends, ends[1:], ids.is_valid().to_pylist())], pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -116,37 +119,46 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 
 def encode(
-    docs: DataFrame, keep: Sequence[str], path: str | None = None, text: str = "text", slice_chars: int = SLICE_CHARS
+    docs: DataFrame, keep: Sequence[str], path: str | None = None, text: str = "text", decoded: bool = False,
+    slice_chars: int = SLICE_CHARS,
 ) -> DataFrame:
-    """``_row`` (the ``keep`` columns) and ``ids`` (array of int) of every row, as the library encodes its whole text."""
+    """``_row`` (the ``keep`` columns) and ``ids`` (array of int) of every row, as the library encodes its whole text.
+
+    ``decoded`` adds the text that the library gives back for these ids, in the same pass.
+    """
     path = path or model_path()
     rows = docs.select(text_or_empty(text).alias("text"), F.struct(*keep).alias("_row"))
     schema = T.StructType([
         T.StructField("_row", rows.schema["_row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+        *([T.StructField("decoded", T.StringType())] if decoded else []),
     ])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, end in pieces_of(texts, slice_chars):
-                ids = model.encode(texts[start:end])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_row").slice(start, end - start), ids.cast(pa.list_(pa.int32()))], names=["_row", "ids"])
+            for part in _slices(batch, slice_chars):
+                ids = model.encode(part.column("text").to_pylist())
+                back = [model.decode(ids)] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column("_row"), ids, *back], names=schema.names)
 
     return rows.mapInArrow(encoded, schema)
 
 
+def _slices(batch: pa.RecordBatch, most_chars: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch whose texts end in the same stretch of ``most_chars`` code points."""
+    stretch = np.cumsum(pc.utf8_length(batch.column("text")).to_numpy()) // most_chars
+    starts = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(stretch)]
+    for start, end in zip(starts, starts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
 def decode(ids: Column, path: str | None = None) -> Column:
     """The text the library gives back for an array of ids; null for null."""
     path = path or model_path()
 
     @F.arrow_udf(T.StringType())
     def texts(column: pa.Array) -> pa.Array:
-        model = pieces(path).full
-        flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-        return pa.array(
-            [model.decode(flat[a:b].tolist()) if ok else None
-             for a, b, ok in zip(ends, ends[1:], column.is_valid().to_pylist())], pa.string())
+        return pieces(path).decode(column)
 
     return texts(ids)
