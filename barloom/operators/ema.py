@@ -1,86 +1,186 @@
-"""Exponential moving averages with window functions only.
-
-The recurrence y[t] = a*x[t] + q*y[t-1] (q = 1 - a) is a weighted sum of all
-earlier values.  Rows come in blocks of ``BLOCK_ROWS``.  Inside a block the sum is
-``q^j * cumsum(u[i] * q^-i)``; earlier blocks enter through their last value,
-scaled by a power of q.  Blocks further back than the weight 1e-17 are below
-double precision, so the number of blocks to look at is fixed, and so is the halo
-(:func:`ema_lookback`) a chunk needs.
+"""Exponential moving averages of whole series, with window functions only.
+
+Between two values of a series, k rows apart, the average follows an affine map. For the plain form (the recurrence starts at
+the first value) it is ``y' = (q^k y + a x) / (q^k + a)`` with ``a = 2 / (span + 1)`` and ``q = 1 - a``; the adjusted form
+divides a weighted sum ``N' = q^k N + x`` by the sum of weights ``D' = q^k D + 1``. A missing value (NULL or NaN) repeats the
+average and ages what came before.
+
+Maps compose, so a series is cut into blocks of a slice and each block becomes one row, (factor, offset) of all its maps.
+:func:`carried` composes these rows along the series and gives each block the state it starts from; :func:`finished` puts that
+into the rows. No halo is needed, and any span gives exact results, as nothing is cut off.
+
+Factors are kept as logarithms; a scan divides by them only within groups whose factors stay far from underflow.
 """
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import BLOCK, BLOCK_ROWS, CHUNK, RN
+BLOCK_ROWS = 1_024
+_SMALL = 300.0  # e^-300 is far from underflow, and nothing beside 1
+_BLOCK, _X, _PREV, _FIRST, _LAST, _CARRY = "_ema_block", "_ema_x", "_ema_prev", "_ema_first", "_ema_last", "_ema_carry"
+
 
-_NEGLIGIBLE = -math.log(1e-17)
+@dataclass(frozen=True)
+class Ema:
+    """Averages of the column ``value``, one per entry of ``spans`` (column name: span); ``adjust`` divides by the sum of weights."""
 
+    value: str
+    spans: Mapping[str, int]
+    adjust: bool = False
 
-def _decay(span: int) -> float:
-    return 1.0 - 2.0 / (span + 1.0)
+    def __post_init__(self):
+        if not self.spans or min(self.spans.values()) < 1:
+            raise ValueError("an average needs spans of at least one row")
 
+    def alpha(self, name: str) -> float:
+        return 2.0 / (self.spans[name] + 1.0)
 
-def ema_lookback(*spans: int) -> int:
-    """Rows after which an old value weighs less than 1e-17."""
-    return max(math.ceil(_NEGLIGIBLE / -math.log(_decay(s))) for s in spans)
+    def decay(self, name: str) -> float:
+        # a span of one row forgets all but the last value
+        return max(1.0 - self.alpha(name), 1e-17)
 
+    @property
+    def channels(self) -> list[tuple[str, str]]:
+        """Running sums: (column name, kind)."""
+        kinds = ("n", "d") if self.adjust else ("y",)
+        return [(name, kind) for name in self.spans for kind in kinds]
 
-def _sub_block_rows(spans) -> int:
-    """Largest power of two up to BLOCK_ROWS for which q^-rows stays far from overflow."""
-    smallest = min(_decay(s) for s in spans)
-    rows = BLOCK_ROWS
-    while rows * -math.log10(smallest) > 200:
-        rows //= 2
-    return rows
+    @property
+    def block_rows(self) -> int:
+        """Largest power of two up to BLOCK_ROWS whose decay stays within e^-300."""
+        steepest = max(-math.log(self.decay(n)) for n in self.spans)
+        rows = BLOCK_ROWS
+        while rows > 1 and rows * steepest > _SMALL:
+            rows //= 2
+        return rows
 
+    def damping(self, name: str, k: Column) -> Column:
+        """What q^k is divided by in a step over k rows: 1 but for the plain form after missing values."""
+        if self.adjust:
+            return F.lit(1.0)
+        return F.when(k == 1, 1.0).otherwise(F.pow(F.lit(self.decay(name)), k) + self.alpha(name))
 
-def with_ema(
-    df: DataFrame,
-    symbol: str,
-    value: str,
-    spans: Mapping[str, int],
-    adjust: bool = False,
-) -> DataFrame:
-    """Add one EMA column per entry of ``spans`` to an opened-chunks frame.
+    def offset(self, name: str, kind: str, x: Column, k: Column) -> Column:
+        """What a value adds k rows after the one before (k NULL: there is none)."""
+        if kind == "d":
+            return F.lit(1.0)
+        if kind == "n":
+            return x
+        return F.when(k.isNull(), x).otherwise(x * self.alpha(name) / self.damping(name, k))
 
-    ``adjust=False`` starts the recurrence at the first value; ``adjust=True`` divides
-    the weighted sum by the sum of weights.  ``value`` must not be NULL.  Chunks must
-    have been opened with a lookback of at least ``ema_lookback`` of the spans.
+
+def scanned(ranked: DataFrame, series: tuple[str, str], rank: str, ema: Ema) -> DataFrame:
+    """Add the block of each row and its running sums from the block's first value on.
+
+    ``series`` names symbol and slice, ``rank`` the position in the slice from 1 on. The columns belong to the last value up
+    to the row, so rows without a value repeat them.
     """
-    rows = _sub_block_rows(spans.values())
-    if rows == BLOCK_ROWS:
-        block = BLOCK
-    else:
-        block = "_ema_block"
-        df = df.withColumn(block, F.floor((F.col(RN) - 1) / F.lit(rows)).cast("long"))
-    j = ((F.col(RN) - 1) % F.lit(rows)).cast("double")
-    in_block = (
-        Window.partitionBy(symbol, CHUNK, block).orderBy(RN).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    by_block = Window.partitionBy(symbol, CHUNK).orderBy(block)
-    is_tail = (F.col(RN) % F.lit(rows)) == 0
-
-    local: dict[str, Column] = {}
-    final: dict[str, Column] = {}
-    for name, span in spans.items():
-        alpha, q = 2.0 / (span + 1.0), _decay(span)
-        if adjust:
-            weighted = F.col(value)
-        else:
-            weighted = F.col(value) * F.when(F.col(RN) == 1, F.lit(1.0)).otherwise(F.lit(alpha))
-        part = f"_local_{name}"
-        local[part] = F.sum(weighted * F.pow(F.lit(1.0 / q), j)).over(in_block) * F.pow(F.lit(q), j)
-        total: Column = F.col(part)
-        for k in range(1, math.ceil(_NEGLIGIBLE / (rows * -math.log(q))) + 1):
-            tail = F.sum(F.when(is_tail, F.col(part))).over(by_block.rangeBetween(-k, -k))
-            total = total + F.coalesce(tail, F.lit(0.0)) * F.pow(F.lit(q), j + float(1 + rows * (k - 1)))
-        if adjust:
-            weights = (F.lit(1.0) - F.pow(F.lit(q), F.col(RN).cast("double"))) / F.lit(alpha)
-            total = total / weights
-        final[name] = total
-    out = df.withColumns(local).withColumns(final).drop(*local)
-    return out.drop(block) if block != BLOCK else out
+    block = F.floor((F.col(rank) - 1) / F.lit(ema.block_rows)).cast("int")
+    value = F.col(ema.value).cast("double")
+    df = ranked.withColumns({_BLOCK: block, _X: F.when(~F.isnan(value), value)})
+    here = Window.partitionBy(*series, _BLOCK).orderBy(rank)
+    until, before = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(Window.unboundedPreceding, -1)
+    place = F.when(F.col(_X).isNotNull(), F.col(rank))
+    df = df.withColumns({
+        _PREV: F.last(place, ignorenulls=True).over(before),
+        _FIRST: F.first(place, ignorenulls=True).over(until),
+        _LAST: F.last(place, ignorenulls=True).over(until),
+    })
+    k = F.col(rank) - F.col(_PREV)
+    follows = F.col(_X).isNotNull() & F.col(_PREV).isNotNull()
+    if not ema.adjust:
+        df = df.withColumns({
+            f"_damped_{name}": F.sum(F.when(follows & (k > 1), F.log(ema.damping(name, k))).otherwise(0.0)).over(until)
+            for name in ema.spans
+        })
+    sums = {}
+    for name, kind in ema.channels:
+        factor = _factor(ema, name)
+        added = F.when(follows, ema.offset(name, kind, F.col(_X), k) / factor).otherwise(0.0)
+        sums[f"_sum_{kind}_{name}"] = F.sum(added).over(until) * factor
+    return df.withColumns(sums)
+
+
+def _factor(ema: Ema, name: str) -> Column:
+    """Factor from the block's first value to the last one up to the row."""
+    aged = F.pow(F.lit(ema.decay(name)), F.col(_LAST) - F.col(_FIRST))
+    return aged if ema.adjust else aged * F.exp(-F.col(f"_damped_{name}"))
+
+
+def block_facts(df: DataFrame, series: tuple[str, str], rank: str, ema: Ema) -> DataFrame:
+    """One row per block of a scanned frame: rows, places of the first and last value, the first value, sums at the end."""
+    ends = [f"_sum_{kind}_{name}" for name, kind in ema.channels]
+    if not ema.adjust:
+        ends += [f"_damped_{name}" for name in ema.spans]
+    place = F.when(F.col(_X).isNotNull(), F.col(rank))
+    return df.groupBy(*series, _BLOCK).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(place).alias(_FIRST), F.max(place).alias(_LAST),
+        F.min_by(_X, place).alias(_X), F.max_by(F.struct(*ends), rank).alias("_end"),
+    ).select(*series, _BLOCK, "_n", _FIRST, _LAST, _X, "_end.*")
+
+
+def carried(facts: DataFrame, series: tuple[str, str], ema: Ema) -> DataFrame:
+    """One row per (symbol, slice) with an array of its blocks: rows before the slice, and the state before and after the block's first value."""
+    symbol, slice_ = series
+    along = Window.partitionBy(symbol).orderBy(slice_, _BLOCK)
+    until, before = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(Window.unboundedPreceding, -1)
+    # rows before the slice: places count from its first row on
+    earlier_rows = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col(_BLOCK) * ema.block_rows
+    df = facts.withColumn("_before", earlier_rows)
+    last = F.last(F.col("_before") + F.col(_LAST), ignorenulls=True).over(before)
+    df = df.withColumn("_k", F.col("_before") + F.col(_FIRST) - last)
+    k, empty = F.col("_k"), F.col(_FIRST).isNull()
+    logs, offsets = {}, {}
+    for name in ema.spans:
+        ln_q = math.log(ema.decay(name))
+        first = F.coalesce(k * ln_q - F.log(ema.damping(name, k)), F.lit(0.0))
+        inside = (F.col(_LAST) - F.col(_FIRST)) * ln_q - (F.lit(0.0) if ema.adjust else F.col(f"_damped_{name}"))
+        logs[f"_first_{name}"] = first
+        logs[f"_inside_{name}"] = inside
+        logs[f"_log_{name}"] = F.sum(F.when(empty, 0.0).otherwise(first + inside)).over(until)
+    df = df.withColumns(logs).withColumns(
+        {f"_group_{name}": F.floor(-F.col(f"_log_{name}") / _SMALL).cast("long") for name in ema.spans})
+    for name, kind in ema.channels:
+        at_first = ema.offset(name, kind, F.col(_X), k)
+        offsets[f"_at_first_{kind}_{name}"] = at_first
+        offsets[f"_offset_{kind}_{name}"] = F.when(empty, 0.0).otherwise(
+            F.exp(F.col(f"_inside_{name}")) * at_first + F.col(f"_sum_{kind}_{name}"))
+    df = df.withColumns(offsets)
+    for name, kind in ema.channels:
+        log, group, total = F.col(f"_log_{name}"), f"_group_{name}", f"_total_{kind}_{name}"
+        in_group = log + F.col(group) * _SMALL
+        scan = Window.partitionBy(symbol, group).orderBy(slice_, _BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+        earlier = Window.partitionBy(symbol).orderBy(group).rangeBetween(Window.unboundedPreceding, -1)
+        df = df.withColumn(total, F.exp(in_group) * F.sum(F.col(f"_offset_{kind}_{name}") * F.exp(-in_group)).over(scan))
+        # Groups before the last one weigh less than e^-300.
+        df = df.withColumn("_tail", F.max_by(F.struct(F.col(total).alias("y"), log.alias("log")), F.struct(slice_, _BLOCK)).over(earlier))
+        df = df.withColumn(total, F.col(total) + F.coalesce(F.exp(log - F.col("_tail.log")) * F.col("_tail.y"), F.lit(0.0)))
+    fields = [F.col(_BLOCK), F.col("_before")]
+    for name, kind in ema.channels:
+        state = F.lag(f"_total_{kind}_{name}").over(along)
+        start = F.coalesce(F.exp(F.col(f"_first_{name}")) * state, F.lit(0.0)) + F.col(f"_at_first_{kind}_{name}")
+        fields += [F.when(last.isNotNull(), state).alias(f"{kind}_{name}"), start.alias(f"start_{kind}_{name}")]
+    states = df.select(symbol, slice_, F.struct(*fields).alias("_state"))
+    return states.groupBy(symbol, slice_).agg(F.array_sort(F.collect_list("_state")).alias(_CARRY))
+
+
+def finished(df: DataFrame, ema: Ema) -> DataFrame:
+    """A scanned frame joined to its carried states: the averages, and ``_before`` (rows before the slice)."""
+    state = F.get(_CARRY, F.col(_BLOCK))
+    df = df.withColumn("_state", state)
+    running = {
+        (name, kind): F.when(
+            F.col(_LAST).isNotNull(),
+            F.col(f"_state.start_{kind}_{name}") * _factor(ema, name) + F.col(f"_sum_{kind}_{name}"),
+        ).otherwise(F.col(f"_state.{kind}_{name}"))
+        for name, kind in ema.channels
+    }
+    done = {name: F.try_divide(running[name, "n"], running[name, "d"]) if ema.adjust else running[name, "y"] for name in ema.spans}
+    done["_before"] = F.col("_state._before")
+    helpers = [f"_sum_{kind}_{name}" for name, kind in ema.channels] + [f"_damped_{name}" for name in ema.spans]
+    return df.withColumns(done).drop(_BLOCK, _X, _PREV, _FIRST, _LAST, _CARRY, "_state", *helpers)

@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barloom.operators import ema as E
+
 RN, CHUNK, CORE, BLOCK, SLICE = "_rn", "_chunk", "_core", "_block", "_slice"
 HELPERS = (RN, CHUNK, CORE, BLOCK)
 
@@ -44,17 +46,23 @@ def slice_offsets(counts: DataFrame, symbol: str, n: str = "_n") -> DataFrame:
     return counts.select(symbol, SLICE, F.coalesce(F.sum(n).over(before), F.lit(0)).alias("_before"))
 
 
-def index_series(df: DataFrame, symbol: str, ts: str, slice_seconds: int) -> DataFrame:
-    """Add ``_rn``, the 1-based position of each row in its symbol's series."""
+def index_series(df: DataFrame, symbol: str, ts: str, slice_seconds: int, ema: E.Ema | None = None) -> DataFrame:
+    """Add ``_rn``, the 1-based position of each row in its symbol's series, and the averages of ``ema``.
+
+    Averages are scanned in the slices and carried along the series by the small table that also numbers the rows.
+    """
     keyed = df.withColumn(SLICE, time_slice(F.col(ts), slice_seconds))
-    counts = keyed.groupBy(symbol, SLICE).agg(F.count(F.lit(1)).alias("_n"))
     in_slice = Window.partitionBy(symbol, SLICE).orderBy(ts)
     ranked = keyed.withColumn("_r", F.row_number().over(in_slice))
-    return (
-        ranked.join(slice_offsets(counts, symbol), [symbol, SLICE])
-        .withColumn(RN, F.col("_before") + F.col("_r"))
-        .drop("_r", "_before", SLICE)
-    )
+    if ema is None:
+        counts = keyed.groupBy(symbol, SLICE).agg(F.count(F.lit(1)).alias("_n"))
+        placed = ranked.join(slice_offsets(counts, symbol), [symbol, SLICE])
+    else:
+        series = (symbol, SLICE)
+        local = E.scanned(ranked, series, "_r", ema)
+        states = E.carried(E.block_facts(local, series, "_r", ema), series, ema)
+        placed = E.finished(local.join(states, list(series)), ema)
+    return placed.withColumn(RN, F.col("_before") + F.col("_r")).drop("_r", "_before", SLICE)
 
 
 def attach(df: DataFrame, small: DataFrame, by: str, spread: str, how: str = "inner", salts: int = 64) -> DataFrame:
@@ -76,14 +84,15 @@ def open_chunks(
     lookahead: int = 0,
     slice_seconds: int = SLICE_INTRADAY,
     chunk_rows: int = CHUNK_ROWS,
+    ema: E.Ema | None = None,
 ) -> DataFrame:
-    """Number the series and spread it over (symbol, chunk) groups with halos.
+    """Number the series and spread it over (symbol, chunk) groups with halos; the averages of ``ema`` need none.
 
     Follow with frames over :func:`chunk_window` and end with :func:`close_chunks`.
     """
     if max(lookback, lookahead) > chunk_rows or chunk_rows % BLOCK_ROWS:
         raise ValueError("halo must fit in a chunk and chunks must be whole blocks")
-    indexed = index_series(df, symbol, ts, slice_seconds)
+    indexed = index_series(df, symbol, ts, slice_seconds, ema)
     position = F.col(RN) - 1
     own = F.floor(position / F.lit(chunk_rows)).cast("long")
     within = position % F.lit(chunk_rows)

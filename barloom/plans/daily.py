@@ -13,16 +13,18 @@ from pyspark.sql import functions as F
 from barloom.functions import pct_change, round_even, round_half_up, safe_ratio
 from barloom.functions.expr import pct_of
 from barloom.operators import series as S
-from barloom.operators.ema import ema_lookback, with_ema
+from barloom.operators.ema import Ema
 from barloom.sources import schemas
 
 # EMA spans.
 SPANS = {"ema_20": 20, "ema_50": 50}
+EMA = Ema("close_price", SPANS)
+ADJUSTED_EMA = Ema("close_price", SPANS, adjust=True)
 
 
-def open_daily(bars: DataFrame, lookback: int = 50) -> DataFrame:
+def open_daily(bars: DataFrame, ema: Ema | None = None, slice_seconds: int = S.SLICE_DAILY, lookback: int = 50) -> DataFrame:
     typed = bars.withColumns({p: F.col(p).cast("double") for p in schemas.PRICES})
-    return S.open_chunks(typed, "symbol", "event_date", lookback, slice_seconds=S.SLICE_DAILY)
+    return S.open_chunks(typed, "symbol", "event_date", lookback, slice_seconds=slice_seconds, ema=ema)
 
 
 def with_previous_day(df: DataFrame, w: WindowSpec) -> DataFrame:
@@ -87,8 +89,7 @@ def round_averages(df: DataFrame) -> DataFrame:
 
 
 def with_rounded_ema(df: DataFrame) -> DataFrame:
-    """EMAs at 2 digits; spread and distances come from the rounded values."""
-    df = with_ema(df, "symbol", "close_price", SPANS)
+    """EMAs at 2 digits; spread and distances come from the rounded values. Opened with ``EMA``."""
     df = df.withColumns({c: round_even(F.col(c), 2) for c in SPANS})
     close = F.col("close_price")
     return df.withColumns(
@@ -103,14 +104,14 @@ def with_rounded_ema(df: DataFrame) -> DataFrame:
 
 
 def with_adjusted_ema(df: DataFrame) -> DataFrame:
-    df = with_ema(df, "symbol", "close_price", SPANS, adjust=True)
+    """The spread of the averages. Opened with ``ADJUSTED_EMA``."""
     return df.withColumn("ema_spread", F.col("ema_20") - F.col("ema_50"))
 
 
-def daily_features(bars: DataFrame, warmup: str = "partial") -> DataFrame:
-    """All daily features of one dialect, one row per bar."""
+def daily_features(bars: DataFrame, warmup: str = "partial", slice_seconds: int = S.SLICE_DAILY) -> DataFrame:
+    """All daily features of one dialect, one row per bar; use shorter slices for denser bars."""
     w = S.chunk_window("symbol")
-    df = with_previous_day(open_daily(bars, ema_lookback(*SPANS.values())), w)
+    df = with_previous_day(open_daily(bars, EMA if warmup == "partial" else ADJUSTED_EMA, slice_seconds), w)
     if warmup == "partial":
         df = with_volatility(with_n_day_returns(with_day_moves(df), w), w)
         df = with_sma_distance(with_averages(df, w, "partial"))

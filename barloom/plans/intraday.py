@@ -14,22 +14,23 @@ from barloom.functions import (
 )
 from barloom.functions.expr import pct_of
 from barloom.operators import series as S
-from barloom.operators.ema import ema_lookback, with_ema
+from barloom.operators.ema import Ema
 from barloom.sources import schemas
 
 # EMA spans, breakout threshold in percent, RSI rows.
 SPANS = {"ema_9": 9, "ema_20": 20, "ema_50": 50}
+EMA = Ema("close_price", SPANS)
 BREAKOUT_THRESHOLD = 0.10
 RSI_ROWS = 14
 
 
 def open_intraday(
-    bars: DataFrame, lookback: int = 50, lookahead: int = 0, slice_seconds: int = S.SLICE_INTRADAY
+    bars: DataFrame, ema: Ema | None = None, lookahead: int = 0, slice_seconds: int = S.SLICE_INTRADAY, lookback: int = 50
 ) -> DataFrame:
     typed = bars.withColumns(
         {**{p: F.col(p).cast("double") for p in schemas.PRICES}, "volume": F.col("volume").cast("long")}
     )
-    return S.open_chunks(typed, "symbol", "event_time", lookback, lookahead, slice_seconds)
+    return S.open_chunks(typed, "symbol", "event_time", lookback, lookahead, slice_seconds, ema=ema)
 
 
 # Columns come in two levels of frames: those over stored columns, then those over
@@ -96,8 +97,7 @@ def with_frames(df: DataFrame, w: WindowSpec, more_frames: Mapping[str, Column]
 
 
 def with_trend(df: DataFrame) -> DataFrame:
-    """EMAs at 2 digits, spread and EMA distances from them; SMA distances from raw averages."""
-    df = with_ema(df, "symbol", "close_price", SPANS)
+    """EMAs at 2 digits, spread and EMA distances from them; SMA distances from raw averages. Opened with ``EMA``."""
     df = df.withColumns({c: round_even(F.col(c), 2) for c in SPANS})
     close = F.col("close_price")
 
@@ -130,16 +130,13 @@ def round_features(df: DataFrame) -> DataFrame:
     return df.withColumns({c: round_half_up(F.col(c), d) for c, d in digits.items()})
 
 
-LOOKBACK = ema_lookback(*SPANS.values())
-
-
 def feature_stages(opened: DataFrame, more_frames: Mapping[str, Column] | None = None) -> DataFrame:
-    """All feature columns on an opened-chunks frame."""
+    """All feature columns on an opened-chunks frame with the averages of ``EMA``."""
     df = with_frames(opened, S.chunk_window("symbol"), more_frames)
     return round_features(with_sma_distance(with_trend(df)))
 
 
 def intraday_features(bars: DataFrame, slice_seconds: int = S.SLICE_INTRADAY) -> DataFrame:
     """All intraday features, one row per bar; use shorter slices for denser bars."""
-    df = feature_stages(open_intraday(bars, LOOKBACK, slice_seconds=slice_seconds))
+    df = feature_stages(open_intraday(bars, EMA, slice_seconds=slice_seconds))
     return schemas.conform(S.close_chunks(df), schemas.INTRADAY_FEATURES)

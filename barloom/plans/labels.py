@@ -51,10 +51,10 @@ def _with_full_horizon(df: DataFrame) -> DataFrame:
     return df.where(F.col("future_close_12").isNotNull())
 
 
-def labels(features: DataFrame) -> DataFrame:
-    """Labels of every row that has a full horizon ahead; reads five columns only."""
+def labels(features: DataFrame, slice_seconds: int = S.SLICE_INTRADAY) -> DataFrame:
+    """Labels of every row that has a full horizon ahead; reads five columns only. Denser bars take shorter slices."""
     needed = features.select("symbol", "event_time", "close_price", "high_price", "low_price")
-    opened = S.open_chunks(needed, "symbol", "event_time", lookback=0, lookahead=HORIZON)
+    opened = S.open_chunks(needed, "symbol", "event_time", lookback=0, lookahead=HORIZON, slice_seconds=slice_seconds)
     df = with_label_columns(opened.withColumns(future_frames(S.chunk_window("symbol"))))
     return schemas.conform(_with_full_horizon(S.close_chunks(df)), schemas.LABELS)
 
@@ -68,8 +68,8 @@ def join_model_dataset(features: DataFrame, label_rows: DataFrame) -> DataFrame:
     return schemas.conform(joined, schemas.MODEL_DATASET)
 
 
-def model_dataset(bars: DataFrame) -> DataFrame:
+def model_dataset(bars: DataFrame, slice_seconds: int = S.SLICE_INTRADAY) -> DataFrame:
     """The same rows in one pass: labels sit beside the features, no self-join."""
-    opened = intraday.open_intraday(bars, intraday.LOOKBACK, HORIZON)
+    opened = intraday.open_intraday(bars, intraday.EMA, HORIZON, slice_seconds)
     df = feature_and_label_stages(opened)
     return schemas.conform(_with_full_horizon(S.close_chunks(df)), schemas.MODEL_DATASET)

@@ -112,7 +112,7 @@ def feature_contract(spark, sf_dir):
 
 def _all_columns(bars):
     """Features and labels of every bar, also those whose horizon is not complete."""
-    opened = intraday.open_intraday(bars, intraday.LOOKBACK, 12)
+    opened = intraday.open_intraday(bars, intraday.EMA, 12)
     return S.close_chunks(feature_and_label_stages(opened), list(_DATA_COLS))
 
 
@@ -205,7 +205,7 @@ def missing_median(spark, sf_dir):
     CASE WHEN m < 630 THEN 'open' WHEN m < 840 THEN 'mid' ELSE 'close' END AS session_part,
     CAST(dayofweek(event_time) + 1 AS INTEGER) AS day_of_week FROM gaps""")
 def features_v2(spark, sf_dir):
-    opened = intraday.open_intraday(X.bars_5m(spark, sf_dir), intraday.LOOKBACK)
+    opened = intraday.open_intraday(X.bars_5m(spark, sf_dir), intraday.EMA)
     df = with_features_v2(intraday.feature_stages(opened), S.chunk_window("symbol"))
     return S.close_chunks(df, ["symbol", "event_time", *V2_NAMES])
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from barloom.functions import round_half_up
 from barloom.operators import series as S
-from barloom.operators.ema import ema_lookback
 from barloom.plans import daily, intraday, labels
 from barloom.queries import sql as Q
 from barloom.queries.registry import query
@@ -190,16 +189,16 @@ def daily_volatility(spark, sf_dir):
     return S.close_chunks(daily.with_volatility(df, W()), ["symbol", D, "rolling_volatility_20"])
 
 
-@query("daily_ema", f"""WITH RECURSIVE {Q.BARS_DAILY}, {Q.numbered(D)}, {Q.ema_cte((20, 50))}, {_daily_ema}
+@query("daily_ema", f"""WITH RECURSIVE {Q.BARS_DAILY}, {Q.gapped(D)}, {Q.ema_cte((20, 50))}, {_daily_ema}
   SELECT symbol, event_date, {_pick(_daily_ema_out, *_ema_names)} FROM numbered JOIN rounded USING (symbol, rn)""")
 def daily_ema(spark, sf_dir):
-    df = daily.open_daily(X.bars_daily(spark, sf_dir), ema_lookback(20, 50))
+    df = daily.open_daily(X.with_gaps(X.bars_daily(spark, sf_dir), D), daily.EMA)
     return S.close_chunks(daily.with_rounded_ema(df), ["symbol", D, *_ema_names])
 
 
 _adjusted = {
-    "ema_20": Q.even("n20 / d20", 2), "ema_50": Q.even("n50 / d50", 2),
-    "ema_spread": Q.even("n20 / d20 - n50 / d50", 2),
+    "ema_20": Q.even("n20 / nullif(d20, 0)", 2), "ema_50": Q.even("n50 / nullif(d50, 0)", 2),
+    "ema_spread": Q.even("n20 / nullif(d20, 0) - n50 / nullif(d50, 0)", 2),
 }
 
 
@@ -208,10 +207,10 @@ def _two_digits(df, *names):
     return df.withColumns({c: daily.round_even(F.col(c), 2) for c in names})
 
 
-@query("daily_ema_adjusted", f"""WITH RECURSIVE {Q.BARS_DAILY}, {Q.numbered(D)}, {Q.ema_cte((20, 50), adjust=True)}
+@query("daily_ema_adjusted", f"""WITH RECURSIVE {Q.BARS_DAILY}, {Q.gapped(D)}, {Q.ema_cte((20, 50), adjust=True)}
   SELECT symbol, event_date, {_pick(_adjusted, *_adjusted)} FROM numbered JOIN ema USING (symbol, rn)""")
 def daily_ema_adjusted(spark, sf_dir):
-    df = daily.with_adjusted_ema(daily.open_daily(X.bars_daily(spark, sf_dir), ema_lookback(20, 50)))
+    df = daily.with_adjusted_ema(daily.open_daily(X.with_gaps(X.bars_daily(spark, sf_dir), D), daily.ADJUSTED_EMA))
     return _two_digits(S.close_chunks(df, ["symbol", D, *_adjusted]), *_adjusted)
 
 
@@ -281,10 +280,10 @@ _intraday_query("intraday_averages", _averages,
 _trend = ("ema_9", "ema_20", "ema_50", "ema_spread", "close_vs_ema9_pct", "close_vs_ema20_pct", "close_vs_ema50_pct")
 
 
-@query("intraday_ema", f"""WITH RECURSIVE {Q.BARS_5M}, {Q.numbered(T)}, {Q.ema_cte((9, 20, 50))}, {_intraday_ema}
+@query("intraday_ema", f"""WITH RECURSIVE {Q.BARS_5M}, {Q.gapped(T)}, {Q.ema_cte((9, 20, 50))}, {_intraday_ema}
   SELECT symbol, event_time, {_pick(_intraday, *_trend)} FROM numbered JOIN rounded USING (symbol, rn)""")
 def intraday_ema(spark, sf_dir):
-    df = intraday.open_intraday(X.bars_5m(spark, sf_dir), intraday.LOOKBACK)
+    df = intraday.open_intraday(X.with_gaps(X.bars_5m(spark, sf_dir), T), intraday.EMA)
     return S.close_chunks(intraday.with_trend(df), ["symbol", T, *_trend])
 
 

@@ -51,21 +51,39 @@ NEWS = """news AS (
          'https://news/' || CAST(doc_id // 2 AS VARCHAR) AS url, source FROM documents)"""
 
 
-def numbered(ts: str) -> str:
-    return f"numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {ts}) AS rn FROM bars)"
+def numbered(ts: str, source: str = "bars") -> str:
+    return f"numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {ts}) AS rn FROM {source})"
+
+
+def gapped(ts: str) -> str:
+    """Bars some of which lack a close, numbered."""
+    given = "day(event_date) % 7 >= 2" if ts == "event_date" else "(hour(event_time) * 60 + minute(event_time)) % 35 >= 10"
+    return (
+        f"gapped AS (SELECT * REPLACE (CASE WHEN {given} THEN close_price END AS close_price) FROM bars), {numbered(ts, 'gapped')}"
+    )
 
 
 def ema_cte(spans, adjust: bool = False) -> str:
-    """Recurrence over row numbers; adjusted weights carry numerator and denominator."""
+    """Recurrence over row numbers; a missing close repeats the average and ages the weight of the past.
+
+    Adjusted weights carry numerator and denominator, the plain form its average and the weight of the past.
+    """
+    x = "b.close_price"
     if adjust:
-        first = ", ".join(f"close_price AS n{s}, CAST(1 AS DOUBLE) AS d{s}" for s in spans)
+        first = ", ".join(
+            f"coalesce(close_price, 0) AS n{s}, CASE WHEN close_price IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS d{s}" for s in spans)
         step = ", ".join(
-            f"b.close_price + (1 - 2.0::DOUBLE/{s + 1}) * e.n{s}, 1 + (1 - 2.0::DOUBLE/{s + 1}) * e.d{s}" for s in spans
+            f"coalesce({x}, 0) + (1 - 2.0::DOUBLE/{s + 1}) * e.n{s}, "
+            f"CASE WHEN {x} IS NULL THEN 0 ELSE 1 END + (1 - 2.0::DOUBLE/{s + 1}) * e.d{s}" for s in spans
         )
     else:
-        first = ", ".join(f"close_price AS e{s}" for s in spans)
+        first = ", ".join(f"close_price AS e{s}, 1.0::DOUBLE AS m{s}" for s in spans)
+        a, q = "(2.0::DOUBLE/{0})", "(1 - 2.0::DOUBLE/{0})"  # {0}: span + 1
         step = ", ".join(
-            f"(2.0::DOUBLE/{s + 1}) * b.close_price + (1 - 2.0::DOUBLE/{s + 1}) * e.e{s}" for s in spans
+            f"CASE WHEN {x} IS NULL THEN e.e{s} WHEN e.e{s} IS NULL THEN {x} WHEN e.m{s} = 1 THEN {a} * {x} + {q} * e.e{s} "
+            f"ELSE ({a} * {x} + {q} * e.m{s} * e.e{s}) / ({a} + {q} * e.m{s}) END, "
+            f"CASE WHEN {x} IS NULL THEN {q} * e.m{s} ELSE 1 END".format(s + 1)
+            for s in spans
         )
     return f"""ema AS (
   SELECT symbol, rn, {first} FROM numbered WHERE rn = 1

@@ -56,6 +56,13 @@ def bars_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_from_ticks(ticks(spark, sf_dir), "5 minutes")
 
 
+def with_gaps(bars: DataFrame, ts: str) -> DataFrame:
+    """Bars of which two in a row lack a close: days 7 and 8 of a week of the month, or ten minutes of every 35."""
+    at = F.col(ts)
+    given = F.dayofmonth(at) % 7 >= 2 if ts == "event_date" else (F.hour(at) * 60 + F.minute(at)) % 35 >= 10
+    return bars.withColumn("close_price", F.when(given, F.col("close_price")))
+
+
 def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many short series: every event is a bar of its user."""
     t = ticks(spark, sf_dir, "user_id")

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import day_rows, minute_rows
 
-from barloom.operators import ema as ema_mod
 from barloom.operators import series as S
-from barloom.operators.ema import ema_lookback, with_ema
+from barloom.operators.ema import BLOCK_ROWS, Ema
 from barloom.plans.daily import daily_features
 from barloom.plans.intraday import intraday_features
 from barloom.plans.labels import join_model_dataset, labels, model_dataset
@@ -134,7 +133,8 @@ def test_chunks_equal_whole_series(bars, chunk_rows, slice_seconds):
     gaps = minute_rows("A", walk(2_600, 4)) + minute_rows("A", walk(1_500, 5), start=pd.Timestamp("2024-06-01").to_pydatetime())
     df = bars(gaps, minute_rows("B", walk(700, 6)))
     opened = S.open_chunks(
-        df, "symbol", "event_time", ema_lookback(50), 12, slice_seconds=slice_seconds, chunk_rows=chunk_rows
+        df, "symbol", "event_time", 50, 12, slice_seconds=slice_seconds, chunk_rows=chunk_rows,
+        ema=Ema("close_price", {"e": 50}),
     )
     w = S.chunk_window("symbol")
 
@@ -150,7 +150,7 @@ def test_chunks_equal_whole_series(bars, chunk_rows, slice_seconds):
 
     from pyspark.sql import Window
 
-    got = frame(S.close_chunks(with_ema(stages(opened, w), "symbol", "close_price", {"e": 50}), keep_rn=True))
+    got = frame(S.close_chunks(stages(opened, w), keep_rn=True))
     want = frame(stages(df, Window.partitionBy("symbol").orderBy("event_time")))
     pd.testing.assert_frame_equal(got[want.columns.tolist()], want)
     assert got.groupby("symbol")["_rn"].apply(list).tolist() == [list(range(1, 4_101)), list(range(1, 701))]
@@ -158,14 +158,61 @@ def test_chunks_equal_whole_series(bars, chunk_rows, slice_seconds):
     np.testing.assert_allclose(got["e"], e, rtol=1e-12)
 
 
-@pytest.mark.parametrize("span", [2, 5, 9, 50, 200])
+def averages(df, ema, slice_seconds):
+    return frame(S.index_series(df, "symbol", "event_time", slice_seconds, ema))
+
+
+def gappy(n, seed):
+    """A walk with missing values: at the start, alone, in runs, in one run over many slices, at the end."""
+    rng = np.random.default_rng(seed)
+    closes = walk(n, seed)
+    closes[rng.random(n) < 0.1] = np.nan
+    closes[:5] = np.nan
+    closes[n // 3:n // 3 + 400] = np.nan
+    closes[n // 2 + 1:n // 2 + 40:2] = np.nan
+    closes[-7:] = np.nan
+    return closes
+
+
+def close_rows(symbol, closes):
+    return [
+        (s, t, o, h, l, None if np.isnan(c) and i % 2 else c, v)  # missing as NULL or as NaN
+        for i, (s, t, o, h, l, c, v) in enumerate(minute_rows(symbol, closes))
+    ]
+
+
+@pytest.mark.parametrize("adjust", [False, True])
+@pytest.mark.parametrize("slice_seconds", [3_600, 7 * 86_400])
+def test_ema_spans(bars, adjust, slice_seconds):
+    spans = {f"e{s}": s for s in (1, 2, 5, 9, 50, 200, 2_000, 50_000)}
+    series = {"A": walk(4_500, 7), "B": gappy(4_500, 8), "C": np.full(30, np.nan), "D": np.array([np.nan, 4.0]), "E": np.array([3.0])}
+    df = bars(*[close_rows(s, c) for s, c in series.items()])
+    got = averages(df, Ema("close_price", spans, adjust), slice_seconds)
+    assert not [c for c in got.columns if c.startswith("_") and c != "_rn"]
+    for symbol, closes in series.items():
+        rows = got[got.symbol == symbol]
+        assert rows["_rn"].tolist() == list(range(1, len(closes) + 1))
+        for name, span in spans.items():
+            want = pd.Series(closes).ewm(span=span, adjust=adjust).mean()
+            np.testing.assert_allclose(rows[name], want, rtol=1e-11, err_msg=f"{symbol} {name}")
+
+
 @pytest.mark.parametrize("adjust", [False, True])
-def test_ema_spans(bars, span, adjust):
-    closes = walk(2_500, seed=span)
-    df = S.open_chunks(bars(minute_rows("A", closes)), "symbol", "event_time", ema_lookback(span))
-    got = frame(S.close_chunks(with_ema(df, "symbol", "close_price", {"e": span}, adjust)))
-    want = pd.Series(closes).ewm(span=span, adjust=adjust).mean()
-    np.testing.assert_allclose(got["e"], want, rtol=1e-11)
+def test_ema_after_a_very_long_gap(bars, adjust):
+    """What came before is forgotten to the last bit, and until then the average is repeated."""
+    closes = np.concatenate([[5.0, 7.0], np.full(9_000, np.nan), [100.0, 50.0]])
+    got = averages(bars(close_rows("A", closes)), Ema("close_price", {"e": 9}, adjust), 86_400)["e"]
+    np.testing.assert_allclose(got, pd.Series(closes).ewm(span=9, adjust=adjust).mean(), rtol=1e-12)
+
+
+def test_plans_take_missing_closes(bars, days):
+    """The public plans take NULL closes; the averages go on as in pandas."""
+    closes = np.array([10.0, 11.0, np.nan, 13.0, 14.0])
+    want = pd.Series(closes).ewm(span=9, adjust=False).mean().round(2)
+    got = frame(intraday_features(bars(close_rows("A", closes))))
+    np.testing.assert_allclose(got["ema_9"], want)
+    strict = frame(daily_features(days([(r[0], d[1], *r[2:]) for r, d in zip(close_rows("A", closes), day_rows("A", closes))]), "strict"), "event_date")
+    np.testing.assert_allclose(strict["ema_20"], pd.Series(closes).ewm(span=20).mean(), rtol=1e-12)
 
 
 def test_ema_has_no_python_worker_and_one_sort_per_chunk(bars):
@@ -175,7 +222,9 @@ def test_ema_has_no_python_worker_and_one_sort_per_chunk(bars):
     after_chunks = plan.split("Generate")[0]
     assert after_chunks.count("Exchange hashpartitioning(symbol") == 1
     assert after_chunks.count("Sort [") == 1
-    assert ema_mod.BLOCK_ROWS == 1_024
+    assert Ema("close_price", {"e": 50}).block_rows == BLOCK_ROWS == 1_024
+    with pytest.raises(ValueError):
+        Ema("close_price", {"e": 0})
 
 
 def test_truncating_the_future_changes_no_feature(spark, sf_dir):
