@@ -125,62 +125,61 @@ def block_facts(df: DataFrame, series: tuple[str, str], rank: str, ema: Ema) ->
 
 
 def carried(facts: DataFrame, series: tuple[str, str], ema: Ema) -> DataFrame:
-    """One row per (symbol, slice) with an array of its blocks: rows before the slice, and the state before and after the block's first value."""
+    """One row per (symbol, slice) with an array, by block and running sum: rows before the slice, and the sum before and after
+    the block's first value. All sums share the windows, as rows of their own."""
     symbol, slice_ = series
-    along = Window.partitionBy(symbol).orderBy(slice_, _BLOCK)
-    until, before = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(symbol).orderBy(slice_, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     # rows before the slice: places count from its first row on
     earlier_rows = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col(_BLOCK) * ema.block_rows
     df = facts.withColumn("_before", earlier_rows)
     last = F.last(F.col("_before") + F.col(_LAST), ignorenulls=True).over(before)
     df = df.withColumn("_k", F.col("_before") + F.col(_FIRST) - last)
-    k, empty = F.col("_k"), F.col(_FIRST).isNull()
-    logs, offsets = {}, {}
-    for name in ema.spans:
+    k, x, empty = F.col("_k"), F.col(_X), F.col(_FIRST).isNull()
+    sums = []
+    for place, (name, kind) in enumerate(ema.channels):
         ln_q = math.log(ema.decay(name))
         first = F.coalesce(k * ln_q - F.log(ema.damping(name, k)), F.lit(0.0))
         inside = (F.col(_LAST) - F.col(_FIRST)) * ln_q - (F.lit(0.0) if ema.adjust else F.col(f"_damped_{name}"))
-        logs[f"_first_{name}"] = first
-        logs[f"_inside_{name}"] = inside
-        logs[f"_log_{name}"] = F.sum(F.when(empty, 0.0).otherwise(first + inside)).over(until)
-    df = df.withColumns(logs).withColumns(
-        {f"_group_{name}": F.floor(-F.col(f"_log_{name}") / _SMALL).cast("long") for name in ema.spans})
-    for name, kind in ema.channels:
-        at_first = ema.offset(name, kind, F.col(_X), k)
-        offsets[f"_at_first_{kind}_{name}"] = at_first
-        offsets[f"_offset_{kind}_{name}"] = F.when(empty, 0.0).otherwise(
-            F.exp(F.col(f"_inside_{name}")) * at_first + F.col(f"_sum_{kind}_{name}"))
-    df = df.withColumns(offsets)
-    for name, kind in ema.channels:
-        log, group, total = F.col(f"_log_{name}"), f"_group_{name}", f"_total_{kind}_{name}"
-        in_group = log + F.col(group) * _SMALL
-        scan = Window.partitionBy(symbol, group).orderBy(slice_, _BLOCK).rowsBetween(Window.unboundedPreceding, 0)
-        earlier = Window.partitionBy(symbol).orderBy(group).rangeBetween(Window.unboundedPreceding, -1)
-        df = df.withColumn(total, F.exp(in_group) * F.sum(F.col(f"_offset_{kind}_{name}") * F.exp(-in_group)).over(scan))
-        # Groups before the last one weigh less than e^-300.
-        df = df.withColumn("_tail", F.max_by(F.struct(F.col(total).alias("y"), log.alias("log")), F.struct(slice_, _BLOCK)).over(earlier))
-        df = df.withColumn(total, F.col(total) + F.coalesce(F.exp(log - F.col("_tail.log")) * F.col("_tail.y"), F.lit(0.0)))
-    fields = [F.col(_BLOCK), F.col("_before")]
-    for name, kind in ema.channels:
-        state = F.lag(f"_total_{kind}_{name}").over(along)
-        start = F.coalesce(F.exp(F.col(f"_first_{name}")) * state, F.lit(0.0)) + F.col(f"_at_first_{kind}_{name}")
-        fields += [F.when(last.isNotNull(), state).alias(f"{kind}_{name}"), start.alias(f"start_{kind}_{name}")]
-    states = df.select(symbol, slice_, F.struct(*fields).alias("_state"))
-    return states.groupBy(symbol, slice_).agg(F.array_sort(F.collect_list("_state")).alias(_CARRY))
+        at_first = ema.offset(name, kind, x, k)
+        sums.append(F.struct(
+            F.lit(place).alias("sum"), first.alias("first"), at_first.alias("at_first"),
+            F.when(empty, 0.0).otherwise(first + inside).alias("log"),
+            F.when(empty, 0.0).otherwise(F.exp(inside) * at_first + F.col(f"_sum_{kind}_{name}")).alias("offset"),
+        ))
+    df = df.select(symbol, slice_, _BLOCK, "_before", last.isNotNull().alias("_known"), F.array(*sums).alias("_sums"))
+    df = df.select(symbol, slice_, _BLOCK, "_before", "_known", F.inline("_sums"))
+    along = Window.partitionBy(symbol, "sum").orderBy(slice_, _BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("log", F.sum("log").over(along))
+    df = df.withColumn("group", F.floor(-F.col("log") / _SMALL).cast("long"))
+    in_group = F.col("log") + F.col("group") * _SMALL
+    scan = Window.partitionBy(symbol, "sum", "group").orderBy(slice_, _BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    by_group = Window.partitionBy(symbol, "sum").orderBy("group").rangeBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("total", F.exp(in_group) * F.sum(F.col("offset") * F.exp(-in_group)).over(scan))
+    # Groups before the last one weigh less than e^-300.
+    df = df.withColumn("tail", F.max_by(F.struct("total", "log"), F.struct(slice_, _BLOCK)).over(by_group))
+    total = F.col("total") + F.coalesce(F.exp(F.col("log") - F.col("tail.log")) * F.col("tail.total"), F.lit(0.0))
+    # groups rise along the series, so the order of the scan is kept
+    before = F.lag(total).over(Window.partitionBy(symbol, "sum").orderBy("group", slice_, _BLOCK))
+    df = df.withColumn("y", F.when(F.col("_known"), before))
+    start = F.coalesce(F.exp("first") * F.col("y"), F.lit(0.0)) + F.col("at_first")
+    state = F.struct(_BLOCK, "sum", "_before", "y", start.alias("start"))
+    return df.groupBy(symbol, slice_).agg(F.array_sort(F.collect_list(state)).alias(_CARRY))
 
 
 def finished(df: DataFrame, ema: Ema) -> DataFrame:
-    """A scanned frame joined to its carried states: the averages, and ``_before`` (rows before the slice)."""
-    state = F.get(_CARRY, F.col(_BLOCK))
-    df = df.withColumn("_state", state)
-    running = {
-        (name, kind): F.when(
-            F.col(_LAST).isNotNull(),
-            F.col(f"_state.start_{kind}_{name}") * _factor(ema, name) + F.col(f"_sum_{kind}_{name}"),
-        ).otherwise(F.col(f"_state.{kind}_{name}"))
-        for name, kind in ema.channels
-    }
-    done = {name: F.try_divide(running[name, "n"], running[name, "d"]) if ema.adjust else running[name, "y"] for name in ema.spans}
-    done["_before"] = F.col("_state._before")
+    """A scanned frame joined to its carried sums: the averages, and ``_before`` (rows before the slice)."""
+    seen = F.col(_LAST).isNotNull()
+    running = {}
+    for place, (name, kind) in enumerate(ema.channels):
+        state = F.get(_CARRY, F.col(_BLOCK) * len(ema.channels) + place)
+        running[name, kind] = F.when(
+            seen, state["start"] * _factor(ema, name) + F.col(f"_sum_{kind}_{name}")).otherwise(state["y"])
+    done = {}
+    for name in ema.spans:
+        if ema.adjust:  # no value yet: no weight
+            done[name] = F.try_divide(running[name, "n"], running[name, "d"])
+        else:
+            done[name] = running[name, "y"]
+    done["_before"] = F.get(_CARRY, F.lit(0))["_before"]
     helpers = [f"_sum_{kind}_{name}" for name, kind in ema.channels] + [f"_damped_{name}" for name in ema.spans]
-    return df.withColumns(done).drop(_BLOCK, _X, _PREV, _FIRST, _LAST, _CARRY, "_state", *helpers)
+    return df.withColumns(done).drop(_BLOCK, _X, _PREV, _FIRST, _LAST, _CARRY, *helpers)

@@ -652,6 +652,20 @@ def vector_topk(spark, sf_dir):
     return _rounded(V.vector_topk(store, _centers(spark, sf_dir), 10), 6, "similarity")
 
 
+@query("vector_topk_index", """SELECT vec_id AS query_id, least(10, (SELECT count(*) FROM embeddings)) AS wanted,
+    (SELECT count(*) FROM embeddings) AS rows_indexed, TRUE AS recall_at_least_90
+  FROM embeddings WHERE vec_id % 100 = 0""")
+def vector_topk_index(spark, sf_dir):
+    """Ten neighbours of every hundredth vector through inverted lists, measured against the exact answer."""
+    store = X.table(spark, sf_dir, "embeddings")
+    asked = store.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    index = V.build_index(store, tables.scratch_dir(spark, "vector-index"))
+    measured = stored(V.recall_of(V.search_index(index, asked, 10), V.vector_topk(store, asked, 10)))
+    rows = index.lists.agg(F.count(F.lit(1))).scalar()
+    share = measured.agg(F.sum("hits") / F.sum("wanted")).scalar()
+    return measured.select("query_id", "wanted", rows.alias("rows_indexed"), (share >= 0.9).alias("recall_at_least_90"))
+
+
 @query("retrieve_context", f"""WITH {Q.BARS_5M}, {_ARTICLES},
   joined AS (SELECT a.symbol, a.doc_id, a.url, a.published_at, CAST(e.embedding AS DOUBLE[]) AS v
              FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id),

@@ -93,20 +93,66 @@ def test_equity_by_brute_force(spark):
     np.testing.assert_allclose(out["drawdown_pct"], np.maximum(np.maximum.accumulate(eq), 0) - eq, atol=1e-9)
 
 
-@pytest.mark.parametrize("per_pass", [1, 3, 100])
-def test_topk_by_brute_force(spark, per_pass):
-    rng = np.random.default_rng(3)
-    vecs, qs = rng.normal(size=(300, 8)), rng.normal(size=(5, 8))
-    vecs[10] = vecs[200]  # a tie
-    qs[0] = vecs[10]
-    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>")
-    ask = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(qs)], "query_id long, embedding array<double>")
-    got = V.vector_topk(store.repartition(7), ask, 4, per_pass=per_pass).toPandas()
-    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
-    sims = unit(qs) @ unit(vecs).T
-    for q in range(5):
-        want = sorted(range(300), key=lambda i: (-round(sims[q, i], 12), i))[:4]
-        assert got[got.query_id == q].sort_values("place").vec_id.tolist() == want
+def topk_by_hand(store, asked, k):
+    """(query, id) pairs by rank; vectors of length zero have similarity 0."""
+    unit = lambda v: np.asarray(v, float) / (np.linalg.norm(v) or 1.0)
+    out = {}
+    for q, v in asked:
+        if v is not None:
+            ranked = sorted((-round(float(unit(v) @ unit(w)), 12), i) for i, w in store if w is not None)
+            out[q] = [i for _, i in ranked[:k]]
+    return out
+
+
+def ranked_ids(df):
+    found = {}
+    for r in sorted(df.collect(), key=lambda r: r.place):
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    return found
+
+
+@pytest.fixture(scope="module")
+def directions():
+    """Two dense bundles of directions, one of which holds most rows, and scattered ones; zero and missing vectors."""
+    draw = np.random.default_rng(9)
+    bundle = [draw.normal(size=8) for _ in range(2)]
+    rows = [b + 0.2 * draw.normal(size=8) for b, n in zip(bundle, (400, 100)) for _ in range(n)] + [draw.normal(size=8) for _ in range(100)]
+    store = [(i, v.tolist()) for i, v in enumerate(rows)] + [(600, [0.0] * 8), (601, None), (602, rows[3].tolist())]
+    asked = [(f"q{i}", v) for i, v in store[::40]] + [("none", None)]
+    return store, asked
+
+
+STORE_SCHEMA, ASKED_SCHEMA = "vec_id long, embedding array<double>", "query_id string, embedding array<double>"
+
+
+@pytest.mark.parametrize("store_block,query_block", [(100_000, 100_000), (50, 4), (7, 1_000)])
+def test_topk_by_brute_force(spark, directions, store_block, query_block):
+    store, asked = (spark.createDataFrame(rows, schema) for rows, schema in zip(directions, (STORE_SCHEMA, ASKED_SCHEMA)))
+    got = ranked_ids(V.vector_topk(store.repartition(7), asked, 4, store_block=store_block, query_block=query_block))
+    assert got == topk_by_hand(*directions, 4)
+    assert V.vector_topk(store, asked.limit(0), 4).count() == 0
+    assert V.vector_topk(store.limit(0), asked, 4).count() == 0
+
+
+def test_index_search(spark, directions, tmp_path):
+    store, asked = (spark.createDataFrame(rows, schema) for rows, schema in zip(directions, (STORE_SCHEMA, ASKED_SCHEMA)))
+    index = V.build_index(store.repartition(5), str(tmp_path / "all"), k=4)
+    held = {r.vec_id for r in index.lists.collect()}
+    assert held == {i for i, v in directions[0] if v is not None}, "every row with a vector is in a list"
+    assert len(index.centres) == 24 and index.probes < len(index.centres)
+    want = topk_by_hand(*directions, 4)
+    for blocks in ({}, {"store_block": 20, "query_block": 2}):
+        got = ranked_ids(V.search_index(index, asked, 4, **blocks))
+        hits = sum(len(set(want[q]) & set(got[q])) for q in want)
+        assert hits >= 0.9 * sum(map(len, want.values()))
+    # reading every list is the exact search
+    assert ranked_ids(V.search_index(index, asked, 4, probes=24, store_block=100)) == want
+    small = V.build_index(store, str(tmp_path / "sample"), k=4, sample_rows=80)
+    assert len(small.centres) == 10 and small.lists.count() == len(held)
+    empty = V.build_index(store.limit(0), str(tmp_path / "none"))
+    assert V.search_index(empty, asked, 4).count() == 0
+    measured = V.recall_of(V.search_index(index, asked, 4), V.vector_topk(store, asked, 4)).collect()
+    assert len(measured) == len(want) and all(0 <= r.hits <= r.wanted == 4 for r in measured)
 
 
 def test_sentiment_and_url_dedupe(spark):
