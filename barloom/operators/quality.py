@@ -177,16 +177,21 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], redundant_from: fl
     ).withColumn("redundant", F.coalesce(F.abs("corr") >= redundant_from, F.lit(False)))
 
 
-def exact_median(df: DataFrame, column: str) -> Column:
-    """Median as a scalar: the values at the middle ranks, found without collecting the column."""
-    present = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    ranked, n = ordered_prefix(present, "v", {"n": F.lit(1)}), F.col("n_total")
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``feature`` and ``median`` of each column with values: the values at its middle ranks.
+
+    All columns are selected together, by one order over (feature, value) after equal values are counted, so the input is
+    read once per pass of that order and no column is collected.
+    """
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = unpivot(doubles, columns, "value").where(F.col("value").isNotNull())
+    ranked, n = ordered_prefix(values, "value", {"n": F.lit(1)}, by="feature"), F.col("n_total")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when(F.col("n_below") <= rank, F.col("v")))
+        return F.max(F.when(F.col("n_below") <= rank, F.col("value")))
 
     middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / F.lit(2.0)
-    return ranked.agg(middle).scalar()
+    return ranked.groupBy("feature").agg(middle.alias("median"))
 
 
 def handle_missing(df: DataFrame, columns: Sequence[str], how: str = "drop") -> DataFrame:
@@ -203,5 +208,6 @@ def handle_missing(df: DataFrame, columns: Sequence[str], how: str = "drop") ->
         means = df.agg(F.struct(*[F.avg(c).alias(c) for c in numeric])).scalar()
         fills = {f"_fill_{c}": means[c] for c in numeric}
     else:
-        fills = {f"_fill_{c}": exact_median(df, c) for c in numeric}
+        medians = exact_medians(df, numeric).agg(F.map_from_entries(F.collect_list(F.struct("feature", "median")))).scalar()
+        fills = {f"_fill_{c}": F.try_element_at(medians, F.lit(c)) for c in numeric}
     return df.withColumns(fills).withColumns({c: F.coalesce(c, f"_fill_{c}") for c in numeric}).drop(*fills)

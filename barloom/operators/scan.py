@@ -101,36 +101,54 @@ def _count_below(bounds: Column, value: Column, n_bounds: int) -> Column:
     )
 
 
-def ordered_prefix(df: DataFrame, order: str, sums: Mapping[str, Column], cuts: int | None = None) -> DataFrame:
-    """Totals per distinct ``order`` value with the totals of all smaller values.
+def ordered_prefix(
+    df: DataFrame, order: str, sums: Mapping[str, Column], cuts: int | None = None, by: str | None = None
+) -> DataFrame:
+    """Totals per distinct ``order`` value with the totals of all smaller values, in each group of ``by`` or over all rows.
 
     For each ``name -> column``: ``name`` is its sum at that value, ``name_below`` the sum
     over smaller values and ``name_total`` the sum over all.  Ordering is global, so
     instead of one sorted task the distinct values are spread over ranges between
-    approximate quantiles; only the range totals (at most ``cuts`` rows, by default twice the shuffle
-    partitions) are summed in one place.
+    approximate quantiles of their group; only the range totals (at most ``cuts`` rows a group, by default twice the shuffle
+    partitions) are summed in one place.  ``by`` must hold few values, such as feature names: their quantiles pass the driver.
     """
     cuts = cuts or max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    at_value = df.groupBy(order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    groups = [by] if by else []
+    at_value = df.groupBy(*groups, order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     quantiles = [i / cuts for i in range(1, cuts)]
-    placed = at_value.withColumn(
-        "_range", _count_below(_fixed_bounds(at_value, order, quantiles), F.col(order), len(quantiles))
-    )
-    ranges = placed.groupBy("_range").agg(*[F.sum(n).alias(n) for n in sums])
-    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if by:
+        placed = at_value.join(F.broadcast(_bounds_by(at_value, by, order, quantiles)), F.equal_null(at_value[by], F.col("_group"))).withColumn(
+            "_range", _count_below(F.col("_bounds"), F.col(order), len(quantiles))).drop("_group", "_bounds")
+    else:
+        placed = at_value.withColumn(
+            "_range", _count_below(_fixed_bounds(at_value, order, quantiles), F.col(order), len(quantiles)))
+    ranges = placed.groupBy(*groups, "_range").agg(*[F.sum(n).alias(n) for n in sums])
+    along = Window.partitionBy(*groups).orderBy("_range")
+    below = along.rowsBetween(Window.unboundedPreceding, -1)
+    everything = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     range_base = ranges.select(
-        "_range",
+        *[F.col(g).alias("_group") for g in groups], F.col("_range").alias("_at"),
         *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"_base_{n}") for n in sums],
         *[F.sum(n).over(everything).alias(f"{n}_total") for n in sums],
     )
-    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*groups, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    here = F.col("_range") == F.col("_at")
+    if by:
+        here = here & F.equal_null(F.col(by), F.col("_group"))
     return (
         placed.withColumns({f"_in_{n}": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in sums})
-        .join(F.broadcast(range_base), "_range")
+        .join(F.broadcast(range_base), here)
         .select(
-            order, *sums,
+            *groups, order, *sums,
             *[(F.col(f"_base_{n}") + F.col(f"_in_{n}")).alias(f"{n}_below") for n in sums],
             *[f"{n}_total" for n in sums],
         )
     )
+
+
+def _bounds_by(df: DataFrame, by: str, order: str, quantiles: Sequence[float]) -> DataFrame:
+    """Approximate quantiles per group, taken once like :func:`_fixed_bounds`."""
+    kind, group = df.schema[order].dataType.simpleString(), df.schema[by].dataType.simpleString()
+    found = df.groupBy(by).agg(F.percentile_approx(order, list(quantiles)).cast("array<string>")).collect()
+    rows = df.sparkSession.createDataFrame([tuple(r) for r in found], f"_group {group}, _bounds array<string>")
+    return rows.select("_group", F.col("_bounds").cast(f"array<{kind}>").alias("_bounds"))

@@ -187,10 +187,11 @@ def missing_mean(spark, sf_dir):
 
 
 @query("missing_median", f"""{_R} SELECT symbol, event_time, {", ".join(
-    _r(f"coalesce({c}, (SELECT median({c}) FROM dataset))", 4) + f" AS {c}" for c in _WARM)} FROM dataset""")
+    _r(f"coalesce({c}, (SELECT median({c}) FROM dataset))", 4) + f" AS {c}" for c in _DOUBLES)} FROM dataset""")
 def missing_median(spark, sf_dir):
-    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", *_WARM))
-    return _rounded(Qu.handle_missing(rows, _WARM, "median"), 4, *_WARM)
+    """Every double feature filled by its median."""
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", *_DOUBLES))
+    return _rounded(Qu.handle_missing(rows, _DOUBLES, "median"), 4, *_DOUBLES)
 
 
 @query("features_v2", f"""WITH RECURSIVE {FEATURES_CTE}, gaps AS (

@@ -9,6 +9,7 @@ from barloom.operators import evaluate as E
 from barloom.operators import learn as L
 from barloom.operators import monitor as Mo
 from barloom.operators import news as N
+from barloom.operators import quality as Qu
 from barloom.operators import vectors as V
 from barloom.operators.backtest import equity_curve
 from barloom.operators.scan import asof_join, ordered_prefix
@@ -202,3 +203,18 @@ def test_tuning_reports_every_setting_and_fold(spark, sf_dir):
     assert len(out) == 4 and out["roc_auc"].between(0, 1).all()
     with pytest.raises(ValueError):
         L.tune_params(G.stored_dataset(spark, sf_dir), G.COLUMNS, (0.0, 0.1), max_trials=1)
+
+
+def test_medians_of_all_columns_in_one_pass(spark):
+    """Ties, even and odd counts, missing and equal values, a column without values; one order over all columns."""
+    rng = np.random.default_rng(12)
+    cols = {"a": rng.normal(size=501), "b": rng.integers(0, 3, 501).astype(float), "c": np.full(501, 4.0), "d": np.full(501, np.nan),
+            "e": np.where(rng.random(501) < 0.5, np.nan, rng.normal(size=501)), "f": np.r_[np.full(499, np.nan), -1.0, 2.0]}
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in zip(*cols.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(5)
+    got = {r.feature: r["median"] for r in Qu.exact_medians(df, list(cols)).collect()}
+    want = {c: float(np.nanmedian(v)) for c, v in cols.items() if not np.isnan(v).all()}
+    assert got == want
+    filled = Qu.handle_missing(df, list(cols), "median").toPandas()
+    for c, v in cols.items():
+        np.testing.assert_allclose(np.sort(filled[c].astype(float)), np.sort(np.where(np.isnan(v), want.get(c, np.nan), v)))
