@@ -25,6 +25,7 @@ from barloom.queries.ingest import candles
 from barloom.queries.registry import query
 from barloom.sources import fixtures as X
 from barloom.sources import schemas, tables
+from barloom.sources.tables import stored
 from barloom.streaming.live import accuracy_alerts_stream, match_outcomes_stream
 
 _R = f"WITH RECURSIVE {DATASET_CTE}"
@@ -32,20 +33,13 @@ _SCORED = f"{_R}, scored AS (SELECT *, rsi_14 / 100.0 AS score FROM dataset)"
 
 
 def dataset(spark, sf_dir):
-    return model_dataset(X.bars_5m(spark, sf_dir))
+    return model_dataset(stored(X.bars_5m(spark, sf_dir)))
 
 
 def scored(spark, sf_dir):
     return dataset(spark, sf_dir).withColumn("score", F.col("rsi_14") / 100.0)
 
 
-def stored(rows):
-    """Rows written once to the shared scratch folder, for work that reads them several times."""
-    spark, path = rows.sparkSession, tables.scratch_dir(rows.sparkSession, "stored")
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def stored_scored(spark, sf_dir):
     return stored(scored(spark, sf_dir).select("symbol", "event_time", "score", "target_direction"))
 
@@ -206,7 +200,7 @@ def missing_median(spark, sf_dir):
     CASE WHEN m < 630 THEN 'open' WHEN m < 840 THEN 'mid' ELSE 'close' END AS session_part,
     CAST(dayofweek(event_time) + 1 AS INTEGER) AS day_of_week FROM gaps""")
 def features_v2(spark, sf_dir):
-    opened = intraday.open_intraday(X.bars_5m(spark, sf_dir), intraday.EMA)
+    opened = intraday.open_intraday(stored(X.bars_5m(spark, sf_dir)), intraday.EMA)
     df = with_features_v2(intraday.feature_stages(opened), S.chunk_window("symbol"))
     return S.close_chunks(df, ["symbol", "event_time", *V2_NAMES])
 

@@ -9,6 +9,7 @@ from barloom.plans import daily, intraday, labels
 from barloom.queries import sql as Q
 from barloom.queries.registry import query
 from barloom.sources import fixtures as X
+from barloom.sources.tables import stored
 
 D, T = "event_date", "event_time"
 
@@ -152,14 +153,14 @@ DATASET_CTE = (
 @query("daily_prev_gap_return", _daily_sql(
     "previous_day_high", "previous_day_low", "previous_day_close", "gap_pct", "daily_return_pct", "range_pct"))
 def daily_prev_gap_return(spark, sf_dir):
-    df = daily.with_day_moves(daily.with_previous_day(daily.open_daily(X.bars_daily(spark, sf_dir)), W()))
+    df = daily.with_day_moves(daily.with_previous_day(daily.open_daily(stored(X.bars_daily(spark, sf_dir))), W()))
     return S.close_chunks(df, ["symbol", D, "previous_day_high", "previous_day_low", "previous_day_close",
                                "gap_pct", "daily_return_pct", "range_pct"])
 
 
 @query("daily_sma_partial", _daily_sql("sma_20", "sma_50", "close_vs_sma20_pct", "close_vs_sma50_pct"))
 def daily_sma_partial(spark, sf_dir):
-    df = daily.with_averages(daily.open_daily(X.bars_daily(spark, sf_dir)), W(), "partial")
+    df = daily.with_averages(daily.open_daily(stored(X.bars_daily(spark, sf_dir))), W(), "partial")
     df = daily.round_averages(daily.with_sma_distance(df))
     return S.close_chunks(df, ["symbol", D, "sma_20", "sma_50", "close_vs_sma20_pct", "close_vs_sma50_pct"])
 
@@ -167,32 +168,32 @@ def daily_sma_partial(spark, sf_dir):
 @query("daily_sma_strict", f"""WITH {Q.BARS_DAILY}, {Q.numbered(D)}, {_daily_base}
   SELECT symbol, event_date, CASE WHEN n20 = 20 THEN m20 END AS sma_20, CASE WHEN n50 = 50 THEN m50 END AS sma_50 FROM vol""")
 def daily_sma_strict(spark, sf_dir):
-    df = daily.with_averages(daily.open_daily(X.bars_daily(spark, sf_dir)), W(), "strict")
+    df = daily.with_averages(daily.open_daily(stored(X.bars_daily(spark, sf_dir))), W(), "strict")
     return S.close_chunks(df, ["symbol", D, "sma_20", "sma_50"])
 
 
 @query("daily_volume_ratio", _daily_sql("avg_volume_20", "volume_ratio"))
 def daily_volume_ratio(spark, sf_dir):
-    df = daily.with_averages(daily.open_daily(X.bars_daily(spark, sf_dir)), W(), "partial")
+    df = daily.with_averages(daily.open_daily(stored(X.bars_daily(spark, sf_dir))), W(), "partial")
     return S.close_chunks(daily.round_averages(df), ["symbol", D, "avg_volume_20", "volume_ratio"])
 
 
 @query("daily_returns_5_20", _daily_sql("return_5d_pct", "return_20d_pct"))
 def daily_returns_5_20(spark, sf_dir):
-    df = daily.with_n_day_returns(daily.open_daily(X.bars_daily(spark, sf_dir)), W())
+    df = daily.with_n_day_returns(daily.open_daily(stored(X.bars_daily(spark, sf_dir))), W())
     return S.close_chunks(df, ["symbol", D, "return_5d_pct", "return_20d_pct"])
 
 
 @query("daily_volatility", _daily_sql("rolling_volatility_20"))
 def daily_volatility(spark, sf_dir):
-    df = daily.with_previous_day(daily.open_daily(X.bars_daily(spark, sf_dir)), W())
+    df = daily.with_previous_day(daily.open_daily(stored(X.bars_daily(spark, sf_dir))), W())
     return S.close_chunks(daily.with_volatility(df, W()), ["symbol", D, "rolling_volatility_20"])
 
 
 @query("daily_ema", f"""WITH RECURSIVE {Q.BARS_DAILY}, {Q.gapped(D)}, {Q.ema_cte((20, 50))}, {_daily_ema}
   SELECT symbol, event_date, {_pick(_daily_ema_out, *_ema_names)} FROM numbered JOIN rounded USING (symbol, rn)""")
 def daily_ema(spark, sf_dir):
-    df = daily.open_daily(X.with_gaps(X.bars_daily(spark, sf_dir), D), daily.EMA)
+    df = daily.open_daily(X.with_gaps(stored(X.bars_daily(spark, sf_dir)), D), daily.EMA)
     return S.close_chunks(daily.with_rounded_ema(df), ["symbol", D, *_ema_names])
 
 
@@ -210,7 +211,7 @@ def _two_digits(df, *names):
 @query("daily_ema_adjusted", f"""WITH RECURSIVE {Q.BARS_DAILY}, {Q.gapped(D)}, {Q.ema_cte((20, 50), adjust=True)}
   SELECT symbol, event_date, {_pick(_adjusted, *_adjusted)} FROM numbered JOIN ema USING (symbol, rn)""")
 def daily_ema_adjusted(spark, sf_dir):
-    df = daily.with_adjusted_ema(daily.open_daily(X.with_gaps(X.bars_daily(spark, sf_dir), D), daily.ADJUSTED_EMA))
+    df = daily.with_adjusted_ema(daily.open_daily(X.with_gaps(stored(X.bars_daily(spark, sf_dir)), D), daily.ADJUSTED_EMA))
     return _two_digits(S.close_chunks(df, ["symbol", D, *_adjusted]), *_adjusted)
 
 
@@ -222,7 +223,7 @@ _full_daily = tuple(f.name for f in daily.schemas.DAILY_FEATURES.fields[2:])
   SELECT symbol, event_date, {_pick({**_daily, **_daily_ema_out}, *_full_daily)}
   FROM vol JOIN rounded USING (symbol, rn)""")
 def daily_features_full(spark, sf_dir):
-    return daily.daily_features(X.bars_daily(spark, sf_dir))
+    return daily.daily_features(stored(X.bars_daily(spark, sf_dir)))
 
 
 _strict_daily = {
@@ -241,7 +242,7 @@ _strict_daily = {
   SELECT symbol, event_date, {_pick(_strict_daily, *_strict_daily)}
   FROM vol v JOIN ema e USING (symbol, rn)""")
 def daily_features_strict(spark, sf_dir):
-    return _two_digits(daily.daily_features(X.bars_daily(spark, sf_dir), "strict"), *_adjusted)
+    return _two_digits(daily.daily_features(stored(X.bars_daily(spark, sf_dir)), "strict"), *_adjusted)
 
 
 # --- intraday ---------------------------------------------------------------
@@ -250,7 +251,7 @@ def daily_features_strict(spark, sf_dir):
 def _intraday_query(name, stages, *names):
     @query(name, _intraday_no_ema.format(cols=_pick(_intraday, *names)))
     def run(spark, sf_dir):
-        df = stages(intraday.open_intraday(X.bars_5m(spark, sf_dir)))
+        df = stages(intraday.open_intraday(stored(X.bars_5m(spark, sf_dir))))
         return S.close_chunks(df, ["symbol", T, *names])
 
     return run
@@ -283,19 +284,19 @@ _trend = ("ema_9", "ema_20", "ema_50", "ema_spread", "close_vs_ema9_pct", "close
 @query("intraday_ema", f"""WITH RECURSIVE {Q.BARS_5M}, {Q.gapped(T)}, {Q.ema_cte((9, 20, 50))}, {_intraday_ema}
   SELECT symbol, event_time, {_pick(_intraday, *_trend)} FROM numbered JOIN rounded USING (symbol, rn)""")
 def intraday_ema(spark, sf_dir):
-    df = intraday.open_intraday(X.with_gaps(X.bars_5m(spark, sf_dir), T), intraday.EMA)
+    df = intraday.open_intraday(X.with_gaps(stored(X.bars_5m(spark, sf_dir)), T), intraday.EMA)
     return S.close_chunks(intraday.with_trend(df), ["symbol", T, *_trend])
 
 
 @query("intraday_features_full", f"WITH RECURSIVE {FEATURES_CTE} SELECT * FROM features")
 def intraday_features_full(spark, sf_dir):
-    return intraday.intraday_features(X.bars_5m(spark, sf_dir))
+    return intraday.intraday_features(stored(X.bars_5m(spark, sf_dir)))
 
 
 @query("intraday_features_wide", f"WITH RECURSIVE {FEATURES_CTE} SELECT * FROM features".replace(Q.BARS_5M, Q.BARS_WIDE))
 def intraday_features_wide(spark, sf_dir):
     """Breadth instead of depth: one series per user, a bar per event, hence short slices."""
-    return intraday.intraday_features(X.bars_wide(spark, sf_dir), slice_seconds=60)
+    return intraday.intraday_features(stored(X.bars_wide(spark, sf_dir)), slice_seconds=60)
 
 
 # --- labels and dataset -----------------------------------------------------
@@ -303,15 +304,15 @@ def intraday_features_wide(spark, sf_dir):
 
 @query("labels_1h", f"WITH {Q.BARS_5M}, {_label_base} SELECT {_label_cols} FROM labels_")
 def labels_1h(spark, sf_dir):
-    return labels.labels(X.bars_5m(spark, sf_dir))
+    return labels.labels(stored(X.bars_5m(spark, sf_dir)))
 
 
 @query("model_dataset_join", f"WITH RECURSIVE {DATASET_CTE} SELECT * FROM dataset")
 def model_dataset_join(spark, sf_dir):
-    features = intraday.intraday_features(X.bars_5m(spark, sf_dir))
+    features = stored(intraday.intraday_features(stored(X.bars_5m(spark, sf_dir))))
     return labels.join_model_dataset(features, labels.labels(features))
 
 
 @query("model_dataset_onepass", f"WITH RECURSIVE {DATASET_CTE} SELECT * FROM dataset")
 def model_dataset_onepass(spark, sf_dir):
-    return labels.model_dataset(X.bars_5m(spark, sf_dir))
+    return labels.model_dataset(stored(X.bars_5m(spark, sf_dir)))

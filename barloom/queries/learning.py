@@ -15,10 +15,11 @@ from barloom.operators.news import join_sentiment_asof
 from barloom.operators.splits import SPLIT, expanding_folds, time_split
 from barloom.queries import sql as Q
 from barloom.plans import intraday
-from barloom.queries.analysis import dataset, scored_news, stored
+from barloom.queries.analysis import dataset, scored_news
 from barloom.queries.features import DATASET_CTE
 from barloom.queries.registry import query
 from barloom.sources import fixtures as X
+from barloom.sources.tables import stored
 
 COLUMNS = (
     "candle_return_pct", "return_3_candle_pct", "return_12_candle_pct", "range_pct", "rolling_volatility_20",

@@ -39,6 +39,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """Rows written once to the shared scratch folder, for work that reads them several times."""
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, "stored")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     return jpath(path).getFileSystem(spark._jsc.hadoopConfiguration()), jpath
