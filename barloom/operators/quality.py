@@ -123,7 +123,7 @@ def bin_of(value: Column, rng: Column, bins: int) -> Column:
     """0 .. bins-1 inside the range, clamped at its ends; a range of one value is bin 0."""
     width = rng["hi"] - rng["lo"]
     raw = F.floor(F.try_divide(value - rng["lo"], width) * F.lit(float(bins))).cast("int")
-    return F.coalesce(F.greatest(F.least(raw, F.lit(bins - 1)), F.lit(0)), F.lit(0))
+    return F.greatest(F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)), F.lit(0))
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], value: str, keep: Sequence[str] = ()) -> DataFrame:

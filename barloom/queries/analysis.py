@@ -26,7 +26,9 @@ from barloom.queries.registry import query
 from barloom.sources import fixtures as X
 from barloom.sources import schemas, tables
 from barloom.sources.tables import stored
-from barloom.streaming.live import accuracy_alerts_stream, match_outcomes_stream
+from barloom.streaming.live import (
+    accuracy_alerts_stream, drift_alerts_stream, match_outcomes_stream, rolling_performance_stream, stale_alerts_stream, training_bins,
+)
 
 _R = f"WITH RECURSIVE {DATASET_CTE}"
 _SCORED = f"{_R}, scored AS (SELECT *, rsi_14 / 100.0 AS score FROM dataset)"
@@ -140,8 +142,8 @@ _HIST = _DOUBLES
 
 
 def _bin(value, lo, hi, bins=10):
-    return (f"coalesce(greatest(least(CAST(floor(({value} - {lo}) / nullif({hi} - {lo}, 0) * {float(bins)}) AS INTEGER), "
-            f"{bins - 1}), 0), 0)")
+    # a range of one value is bin 0
+    return f"greatest(least(coalesce(CAST(floor(({value} - {lo}) / nullif({hi} - {lo}, 0) * {float(bins)}) AS INTEGER), 0), {bins - 1}), 0)"
 
 
 @query("feature_histogram", f"""{_R} {" UNION ALL ".join(f'''
@@ -513,6 +515,59 @@ def alerts_stream(spark, sf_dir):
     return _rounded(found.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), 6, "value")
 
 
+@query("performance_stream", f"""WITH RECURSIVE {DATASET_CTE}, {_PERF} SELECT * FROM performance""")
+def performance_stream(spark, sf_dir):
+    """Rolling performance kept as state of a stream of matched predictions."""
+    rows = stored(dataset(spark, sf_dir).select("symbol", "event_time", "rsi_14", "target_direction"))
+    right = (F.col("probability") > 0.5) == (F.col("target_direction") == 1)
+    matched = Mo.match_outcomes(_logged(rows), rows).select("symbol", "event_time", "probability", right.alias("is_right"))
+    found = _streamed(matched, "performance-stream", lambda s: rolling_performance_stream(s, 0.5))
+    found = found.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    return _rounded(found, 6, "rolling_accuracy", "rolling_precision")
+
+
+@query("stale_stream", f"""WITH {Q.BARS_5M}, cut_ AS (
+    SELECT * FROM bars WHERE symbol <> 'error' OR event_time < TIMESTAMP '2024-01-20 00:00:00')
+  SELECT 'stale' AS rule, symbol AS subject, max(event_time) AS last_seen, max(event_time) + INTERVAL 6 HOURS AS silent_until
+  FROM cut_ GROUP BY symbol
+  HAVING max(event_time) + INTERVAL 6 HOURS <= (SELECT max(event_time) FROM cut_) - INTERVAL 10 MINUTES""")
+def stale_stream(spark, sf_dir):
+    """Symbols that fell silent in a stream of bars; one series ends ten days early."""
+    bars = X.bars_5m(spark, sf_dir).select("symbol", "event_time")
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    found = _streamed(bars.where((F.col("symbol") != "error") | (F.col("event_time") < cut)), "stale-stream",
+                      lambda s: stale_alerts_stream(s, "6 hours"))
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("last_seen", "silent_until")})
+
+
+_WATCHED = ("candle_return_pct", "volume_ratio", "rsi_14")
+
+
+def _watch_sql(c):
+    return f"""SELECT '{c}' AS feature, w, sum(n) AS n, sum((q - p) * ln(q / p)) AS psi FROM (
+    SELECT w, n, greatest(t_n::DOUBLE / t_all, 0.0001) AS p, greatest(n::DOUBLE / sum(n) OVER (PARTITION BY w), 0.0001) AS q
+    FROM (SELECT w, b AS bin, coalesce(l.n, 0) AS n, coalesce(t.n, 0) AS t_n, t_all FROM
+      (SELECT DISTINCT w FROM live), (SELECT unnest(range(10)) AS b), (SELECT count({c}) AS t_all FROM held WHERE tr)
+      LEFT JOIN (SELECT w AS lw, {{bin}} AS lb, count(*) AS n FROM live, r_{c} WHERE {c} IS NOT NULL GROUP BY 1, 2) l ON lw = w AND lb = b
+      LEFT JOIN (SELECT {{bin}} AS tb, count(*) AS n FROM held, r_{c} WHERE tr AND {c} IS NOT NULL GROUP BY 1) t ON tb = b))
+    GROUP BY w""".format(bin=_bin(c, "lo", "hi"))
+
+
+@query("drift_stream", f"""{_R}, held AS (
+    SELECT *, event_time < TIMESTAMP '{_CUT}' AS tr, date_trunc('day', event_time) + INTERVAL 1 DAY AS w FROM dataset),
+  live AS (SELECT * FROM held WHERE NOT tr),
+  {", ".join(f"r_{c} AS (SELECT min({c}) AS lo, max({c}) AS hi FROM held WHERE tr)" for c in _WATCHED)},
+  psis AS ({" UNION ALL ".join(_watch_sql(c) for c in _WATCHED)})
+  SELECT 'drift' AS rule, feature AS subject, w AS window_end, CAST(n AS BIGINT) AS rows, {_r('psi', 6)} AS value FROM psis
+  WHERE psi > 0.01 AND w <= (SELECT max(event_time) FROM live) - INTERVAL 1 HOUR""")
+def drift_stream(spark, sf_dir):
+    """Days of a stream whose feature values lie otherwise than in training."""
+    rows = stored(dataset(spark, sf_dir).select("event_time", *_WATCHED))
+    trained = stored(training_bins(rows.where(F.col("event_time") < _cut()), _WATCHED))
+    found = _streamed(rows.where(F.col("event_time") >= _cut()), "drift-stream", lambda s: drift_alerts_stream(s, trained, _WATCHED, 0.01))
+    return _rounded(found.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), 6, "value")
+
+
 @query("refresh_run", f"""WITH {Q.BARS_5M}, daily AS (SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) FROM orders),
   full_ AS (SELECT greatest(count(*) - 12, 0) AS n FROM bars GROUP BY symbol)
   SELECT 'daily_market_features' AS table_name, count(*) AS row_count FROM daily

@@ -1,5 +1,5 @@
 """Ingest, upsert, storage and streaming."""
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -293,3 +293,66 @@ def test_predictions_meet_outcomes_in_streams(spark, tmp_path):
     q.awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.event_time, r.is_right) for r in out.collect()) == [(times[0], False), (times[1], True)]
+
+
+def run_stream(spark, folder, schema, plan, batches):
+    """Each batch is landed and taken by a run of its own, so every run starts from the checkpoint of the one before."""
+    (folder / "in").mkdir()
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder / "in"))
+        out = plan(spark.readStream.schema(schema).parquet(str(folder / "in")))
+        out.writeStream.format("parquet").option("path", str(folder / "out")).option(
+            "checkpointLocation", str(folder / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(str(folder / "out")).collect()
+
+
+def test_rolling_performance_goes_on_after_a_restart(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from barloom.operators.monitor import live_performance
+    from barloom.streaming.live import rolling_performance_stream
+
+    draw = random.Random(2)
+    schema = "symbol string, event_time timestamp, probability double, is_right boolean"
+    rows = [(s, datetime(2024, 1, 1) + timedelta(minutes=m), draw.random(), draw.random() < 0.6) for m in range(130) for s in ("A", "B")]
+    parts = [rows[:30], rows[30:31], rows[31:200], rows[200:]]
+    shuffled = [draw.sample(p, len(p)) for p in parts]
+    got = run_stream(spark, tmp_path, schema, lambda s: rolling_performance_stream(s, 0.5, rows=20), shuffled)
+    up = F.col("probability") > 0.5
+    batch = spark.createDataFrame(rows, schema).withColumn("target_direction", F.when(up == F.col("is_right"), 1).otherwise(0))
+    want = live_performance(batch.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), 0.5, rows=20).collect()
+    plain = lambda found: sorted(
+        (r.symbol, r.event_time, r.predictions, round(r.rolling_accuracy, 9), None if r.rolling_precision is None else round(r.rolling_precision, 9),
+         r.below_expected) for r in found)
+    assert plain(got) == plain(want) and len(got) == 260
+
+
+def test_silence_is_told_once_and_again_after_a_return(spark, tmp_path):
+    from barloom.streaming.live import stale_alerts_stream
+
+    at = lambda h, m=0: datetime(2024, 1, 1) + timedelta(hours=h, minutes=m)
+    batches = [
+        [("A", at(0)), ("B", at(0))], [("A", at(1))], [("A", at(3))],  # B falls silent
+        [("A", at(4))], [("A", at(5)), ("B", at(5))],  # and returns
+        [("A", at(6))], [("A", at(8))], [("A", at(9))],  # and falls silent again
+    ]
+    got = run_stream(spark, tmp_path, "symbol string, event_time timestamp", lambda s: stale_alerts_stream(s, "2 hours"), batches)
+    assert sorted((r.subject, r.last_seen, r.silent_until) for r in got) == [("B", at(0), at(2)), ("B", at(5), at(7))]
+
+
+def test_drift_watch_tells_shifted_windows(spark, tmp_path):
+    from barloom.streaming.live import drift_alerts_stream, training_bins
+
+    at = lambda h, i: datetime(2024, 1, 1) + timedelta(hours=h, seconds=i)
+    trained = training_bins(spark.createDataFrame([(float(i % 100), 1.0) for i in range(1_000)], "x double, y double"), ["x", "y"])
+    shares = {r.feature: r.shares for r in trained.collect()}
+    assert shares["x"] == [0.1] * 10 and shares["y"] == [1.0] + [0.0] * 9
+    same = [(at(1, i), float(i % 100), 1.0) for i in range(200)]
+    moved = [(at(3, i), 50.0 + i % 50, None) for i in range(200)]
+    later = [(at(9, 0), 0.0, 1.0)]
+    plan = lambda s: drift_alerts_stream(s, trained, ["x", "y"], 0.2, "2 hours")
+    got = run_stream(spark, tmp_path, "event_time timestamp, x double, y double", plan, [same, moved, later, later])
+    assert [(r.subject, r.window_end, r.rows) for r in got] == [("x", at(4, 0), 200)]
+    assert got[0].value > 3
