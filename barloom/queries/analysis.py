@@ -84,20 +84,24 @@ def quality_duplicates(spark, sf_dir):
     return Qu.quality_report(hourly, label=None)
 
 
-@query("snapshot_facts", f"""{_R} SELECT count(*) AS rows, min(event_time) AS first_time, max(event_time) AS last_time,
+_FACTS = f"""count(*) AS rows, min(event_time) AS first_time, max(event_time) AS last_time,
   count(*) FILTER (target_direction = 1) AS n_up, count(*) FILTER (target_direction = 0) AS n_not_up,
-  {_r('avg(target_direction)', 4)} AS up_share FROM dataset""")
+  {_r('avg(target_direction)', 4)} AS up_share"""
+
+
+@query("snapshot_facts", f"{_R} SELECT {_FACTS} FROM dataset")
 def snapshot_facts(spark, sf_dir):
     return tables.snapshot_facts(dataset(spark, sf_dir))
 
 
-@query("export_snapshot", f"WITH {Q.BARS_5M} SELECT count(*) AS rows FROM bars")
+@query("export_snapshot", f"{_R} SELECT {_FACTS}, count(*) AS rows_as_written FROM dataset")
 def export_snapshot(spark, sf_dir):
-    """Frozen copy of the bars with labels, reloaded and counted."""
-    opened = S.open_chunks(X.bars_5m(spark, sf_dir), "symbol", "event_time", 0, 12)
-    rows = S.close_chunks(with_label_columns(opened.withColumns(future_frames(S.chunk_window("symbol")))))
+    """Frozen copy of the dataset: the facts of its sidecar, and how many reloaded rows equal those that were frozen."""
+    rows = stored(dataset(spark, sf_dir))
     path = tables.export_snapshot(rows, tables.scratch_dir(spark, "snapshot"), "20240131")
-    return spark.read.schema("rows long").json(f"{path}.json")
+    facts = spark.read.schema(tables.snapshot_facts(rows).schema).json(f"{path}.json")
+    same = spark.read.parquet(f"{path}.parquet").intersectAll(rows).agg(F.count(F.lit(1))).scalar()
+    return facts.withColumn("rows_as_written", same)
 
 
 @query("feature_contract", f"""{_R} SELECT symbol, event_time, {", ".join(
@@ -244,15 +248,14 @@ def naive_baselines(spark, sf_dir):
     return _rounded(E.naive_baselines(dataset(spark, sf_dir)), 6, "majority_accuracy", "last_candle_accuracy")
 
 
-_RANKED = f"""{_SCORED}, usable AS (SELECT score, target_direction AS y FROM scored WHERE score IS NOT NULL),
-  ranked AS (SELECT *, avg(r) OVER (PARTITION BY score) AS tied_rank FROM
+_ORDERED = """ranked AS (SELECT *, avg(r) OVER (PARTITION BY score) AS tied_rank FROM
     (SELECT *, row_number() OVER (ORDER BY score) AS r FROM usable)),
   at_score AS (SELECT score, sum(y) AS p, sum(1 - y) AS q FROM usable GROUP BY score),
   curve AS (SELECT score, p, q, sum(p) OVER (ORDER BY score DESC) AS tp_, sum(q) OVER (ORDER BY score DESC) AS fp_,
             sum(p) OVER () AS n_pos FROM at_score)"""
-
-
-@query("classification_metrics", f"""{_RANKED}, counts AS (
+_RANKED = f"""{_SCORED}, usable AS (SELECT score, target_direction AS y FROM scored WHERE score IS NOT NULL),
+  {_ORDERED}"""
+_METRICS = f"""counts AS (
   SELECT count(*) FILTER (score > 0.5 AND y = 1) AS tp, count(*) FILTER (score > 0.5 AND y = 0) AS fp,
          count(*) FILTER (score <= 0.5 AND y = 1) AS fn, count(*) FILTER (score <= 0.5 AND y = 0) AS tn,
          count(*) FILTER (score > 0.7 AND y = 1) AS sp, count(*) FILTER (score > 0.7) AS sn FROM usable)
@@ -262,24 +265,26 @@ _RANKED = f"""{_SCORED}, usable AS (SELECT score, target_direction AS y FROM sco
     (SELECT {_r('(sum(CASE WHEN y = 1 THEN tied_rank END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y))::DOUBLE', 6)}
        FROM ranked) AS roc_auc,
     (SELECT {_r('sum(p * (tp_::DOUBLE / (tp_ + fp_))) / max(n_pos)', 6)} FROM curve) AS pr_auc,
-    {_r('sp::DOUBLE / nullif(sn, 0)', 6)} AS confident_precision FROM counts""")
+    {_r('sp::DOUBLE / nullif(sn, 0)', 6)} AS confident_precision FROM counts"""
+_METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "confident_precision")
+
+
+@query("classification_metrics", f"{_RANKED}, {_METRICS}")
 def classification_metrics(spark, sf_dir):
     m = E.classification_metrics(stored_scored(spark, sf_dir), "score")
-    return _rounded(m, 6, "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "confident_precision")
+    return _rounded(m, 6, *_METRIC_NAMES)
 
 
-@query("document_label_metrics", """WITH scored AS (
+@query("document_label_metrics", f"""WITH usable AS (
     SELECT round(least(d.n_chars / 5000.0::DOUBLE, 1.0), 3) AS score, l.quality AS y
-    FROM labels l JOIN documents d USING (doc_id))
-  SELECT count(*) FILTER (score > 0.5 AND y = 1) AS tp, count(*) FILTER (score > 0.5 AND y = 0) AS fp,
-         count(*) FILTER (score <= 0.5 AND y = 1) AS fn, count(*) FILTER (score <= 0.5 AND y = 0) AS tn FROM scored""")
+    FROM labels l JOIN documents d USING (doc_id)), {_ORDERED}, {_METRICS}""")
 def document_label_metrics(spark, sf_dir):
-    """The same counts on stored labels, scored by text length."""
+    """The same metrics on stored labels, scored by text length."""
     d = X.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     rows = X.table(spark, sf_dir, "labels").join(d, "doc_id").withColumn(
         "score", F.round(F.least(F.col("n_chars") / 5000.0, F.lit(1.0)), 3)
     )
-    return E.classification_metrics(rows, "score", "quality").select("tp", "fp", "fn", "tn")
+    return _rounded(E.classification_metrics(rows, "score", "quality"), 6, *_METRIC_NAMES)
 
 
 @query("precision_recall_curve", f"""{_RANKED} SELECT score AS threshold,

@@ -214,6 +214,15 @@ def normalize_bars_1m(spark, sf_dir):
     return B.normalize_bars(vendor, "1m").drop("ingestion_time")
 
 
+@query("loader_window", f"""WITH {Q.BARS_5M}
+  SELECT symbol, event_time, close_price FROM bars
+  WHERE event_time > TIMESTAMP '2024-01-25 12:00:00' - INTERVAL 8 DAYS AND event_time <= TIMESTAMP '2024-01-25 12:00:00'""")
+def loader_window(spark, sf_dir):
+    """Landed one-minute history cut to what a load at noon asks for: the eight days before it."""
+    recent = B.within_history(X.bars_5m(spark, sf_dir), "1m", _ts("2024-01-25 12:00:00"))
+    return recent.select("symbol", "event_time", "close_price")
+
+
 @query("normalize_bars_1d", f"""WITH {Q.BARS_DAILY}
   SELECT symbol, open_price, high_price, low_price, close_price, volume, event_date FROM bars""")
 def normalize_bars_1d(spark, sf_dir):

@@ -356,3 +356,17 @@ def test_drift_watch_tells_shifted_windows(spark, tmp_path):
     got = run_stream(spark, tmp_path, "event_time timestamp, x double, y double", plan, [same, moved, later, later])
     assert [(r.subject, r.window_end, r.rows) for r in got] == [("x", at(4, 0), 200)]
     assert got[0].value > 3
+
+
+def test_loader_windows(spark):
+    """A window ends with the load and leaves out the moment it starts from; dates count whole days."""
+    from pyspark.sql import functions as F
+
+    from barloom.sources.bars import HISTORY_DAYS, within_history
+
+    now = datetime(2024, 3, 1, 12)
+    for interval, days in HISTORY_DAYS.items():
+        at = [now, now + timedelta(seconds=1), now - timedelta(days=days), now - timedelta(days=days) + timedelta(seconds=1), None]
+        bars = spark.createDataFrame([(i, t) for i, t in enumerate(at)], "i int, event_time timestamp_ntz")
+        kept = within_history(bars, interval, F.lit("2024-03-01 12:00:00").cast("timestamp_ntz"))
+        assert sorted(r.i for r in kept.collect()) == [0, 3]
