@@ -15,10 +15,10 @@ with the bucket's leader, the member whose buckets are fullest (of a group of ne
 their common origin), of several the one with the largest doc_id; then, in buckets of two successive bands, with that one's
 leader; then, while that finds links, a new leader is chosen among the members that are in no earlier leader's
 class, and compared with all members of other classes. That joins most of a hot group by pairs that grow with the
-members. At last, members of buckets that hold several classes are compared with all members of other classes with which
-they have one of their rarest shingles in common (prefix filter, see ``_pairs_left``; no pair at the threshold is without). So
-every pair that shares a bucket is compared, joined already, or proven to be no link; the last step's pairs grow with the square of a group
-only where texts of different classes have rare shingles in common. Compared pairs are verified on the whole texts: a link needs a similarity of at least
+members. At last, members of buckets that hold several classes are compared with the members of other classes with which
+they have one of their rarest shingles in common, early enough that what follows can still make a link (prefix and position
+filter, see ``_pairs_left``; no pair at the threshold is without). So every pair that shares a bucket is compared, joined already,
+or proven to be no link, and texts that are alike below the threshold by a common template do not meet. Compared pairs are verified on the whole texts: a link needs a similarity of at least
 ``THRESHOLD``, the larger of the set Jaccard and the probability Jaccard of the shingles. Classes are the connected
 components of links, found by spreading the smallest label along links with pointer jumping.
 
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import stage, text_or_empty
@@ -292,11 +292,25 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+# A pair is a link only if 1/a + 1/b <= MOST_INVERSE, a and b being the shares of either text that both have in common: of
+# the sets this is what the Jaccard similarity says, of the masses it follows from J_P <= 1 / (1/a + 1/b - 1).
+MOST_INVERSE = 1 + 1 / THRESHOLD + 1e-9
+LONG, SHORT = 1 / (MOST_INVERSE - 1), 2 / MOST_INVERSE  # least share of either text, least share of the one that has more in common
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether what is left of two texts from a common shingle on suffices for a link."""
+    inverse = lambda share: 1 / F.col(f"{share}_{a}") + 1 / F.col(f"{share}_{b}") <= MOST_INVERSE
+    return inverse("set") | inverse("mass")
+
+
 def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
     """All pairs that can be links among the members of buckets that hold several classes.
 
-    The shingles of a text are taken from the rarest to the most frequent until less than ``THRESHOLD`` of its set and of
-    its weight is left. Two texts without a common shingle among those have both similarities below the threshold.
+    The shingles of a text are taken from the rarest to the most frequent; at each, ``set`` and ``mass`` are the shares of
+    the text's set and weight from there on. From the first shingle that two linked texts have in common, either has at least
+    ``LONG`` of itself left and one of the two at least ``SHORT``, so only short prefixes meet long ones.
+    Texts that share a template and are no links have more of their own than a short prefix holds, and do not meet.
     """
     now = stage(_labelled(members, labels, "node", "label"), "near-left")
     several = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
@@ -307,20 +321,22 @@ def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Data
     held = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
     held = stage(held.where("n > 1").select("shingle", "n", (F.col("low") < F.col("high")).alias("mixed")), "near-shared")
     after = Window.partitionBy("node").orderBy(F.desc("n"), "shingle").rowsBetween(Window.unboundedPreceding, 0)
-    counted = found.join(held, "shingle").withColumns({"sizes": F.count(F.lit(1)).over(after), "masses": F.sum("weight").over(after)})
-    least = THRESHOLD - 1e-9
-    first = stage(
-        counted.where(F.col("mixed") & ((F.col("sizes") >= least * F.col("size")) | (F.col("masses") >= least * F.col("mass"))))
-        .select("shingle", "label", "node"), "near-first",
-    )
-    classes = first.select("shingle", "label").distinct()
+    counted = found.join(held, "shingle").select(
+        "shingle", "label", "node", "mixed", "size", F.count(F.lit(1)).over(after).alias("rest"),
+        (F.sum("weight").over(after) / F.col("mass")).alias("mass"),
+    ).withColumn("set", F.col("rest") / F.col("size"))
+    first = stage(counted.where(F.col("mixed") & (F.greatest("set", "mass") >= LONG - 1e-9)).drop("mixed"), "near-first")
+    classes = first.groupBy("shingle", "label").agg(F.max("set").alias("set"), F.max("mass").alias("mass"))
+    named = lambda df, side: df.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "shingle"])
+    is_short = F.greatest("set", "mass") >= SHORT - 1e-9
     meetings = stage(  # classes first, so that members of one class never meet
-        classes.withColumnRenamed("label", "label_a").join(classes.withColumnRenamed("label", "label_b"), "shingle").where("label_a < label_b"),
-        "near-meetings",
+        named(classes.where(is_short), "a").join(named(classes, "b"), "shingle").where(F.col("label_a") != F.col("label_b"))
+        .where(_may_link("a", "b")).select("shingle", "label_a", "label_b"), "near-meetings",
     )
-    a = first.select("shingle", F.col("label").alias("label_a"), F.col("node").alias("a"))
-    b = first.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"))
-    return meetings.join(a, ["shingle", "label_a"]).join(b, ["shingle", "label_b"]).select("a", "b").distinct()
+    pairs = meetings.join(named(first.where(is_short), "a"), ["shingle", "label_a"]).join(named(first, "b"), ["shingle", "label_b"])
+    fits = F.least("rest_a", "rest_b") * MOST_INVERSE >= F.col("size_a") + F.col("size_b")
+    by_mass = 1 / F.col("mass_a") + 1 / F.col("mass_b") <= MOST_INVERSE
+    return pairs.where(fits | by_mass).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def _extended(pairs, links, labels, compared, texts):
