@@ -1,14 +1,14 @@
 """Deterministic sharded WARC archives of web pages.
 
-Records are range-sorted by page_id; each partition writes its records to files that roll by compressed
-size. Every record is a gzip member of its own with fixed header fields, so equal input gives
+Records are range-sorted by page_id: the distinct ids are ranked exactly and cut into parts of equal numbers of ids, and each part
+goes to files of its own that roll by compressed size, whichever task writes it. Every record is a gzip member of its own with fixed header fields, so equal input gives
 equal bytes; lengths, digests and record ids are regenerated from the content. Files are written under a
 temporary name and moved when complete, and only those in the manifest count.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes the one with the smallest page_id is a
 ``response``; the others are ``revisit`` records without a payload that name it. Which payloads are equal is settled
-on (digest, page_id) alone, combined before the shuffle; payloads themselves are moved once, those of
-revisits not at all. Reading streams member by member and checks every digest.
+on (digest, page_id) alone, combined before the shuffle, and joined to the pages with their parts; payloads are moved
+to that join, where it is not broadcast, and to their part, those of revisits to the join alone. Reading streams member by member and checks every digest.
 
 Defined cases: null html is an empty payload. A null or empty url becomes ``urn:page:<page_id>``; control characters and
 blanks in a url are percent-encoded. Of rows that repeat the smallest page_id of a payload all
@@ -23,23 +23,23 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import stage
+from barloom.llm.common import first_n_rank, stage
 from barloom.llm.shards import committed, read_file
 from barloom.sources.tables import scratch_dir
 
 MIN_REVISIT = 100
 ROLL_BYTES = 16 << 20  # compressed size at which a file ends
+LEAST_IDS, MOST_PARTS = 256, 8_192  # ids of a part at least, parts at most
 WARC_DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 
 def classify(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload (null for revisits), digest, payload_bytes, refers_to."""
+    """page_id, url, payload (null for revisits), digest, payload_bytes, refers_to, part."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"),
@@ -49,16 +49,33 @@ def classify(pages: DataFrame) -> DataFrame:
         rows.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    links = stage(
+    links = (
         rows.select("digest", "page_id").join(shared, "digest").where("page_id > first_id")
-        .select("page_id", "digest", F.col("first_id").alias("refers_to")).distinct(),
-        "warc-revisits",
+        .select("page_id", "digest", F.col("first_id").alias("refers_to")).distinct()
     )
-    return rows.join(links, ["page_id", "digest"], "left").withColumn(
+    places = stage(  # what a record needs to know besides its page: narrow, one row per page_id and digest
+        rows.select("page_id", "digest").distinct().join(links, ["page_id", "digest"], "left")
+        .withColumn("at", _id_key()).join(_parts(rows).withColumn("at", _id_key()).drop("page_id"), "at")
+        .select("at", "digest", "refers_to", "part"), "warc-places",
+    )
+    return rows.withColumn("at", _id_key()).join(places, ["at", "digest"]).drop("at").withColumn(
         "payload", F.when(F.col("refers_to").isNull(), F.col("payload"))
     )
 
 
+def _id_key() -> Column:
+    """page_id in a form that joins nulls as well."""
+    return F.struct(F.col("page_id").isNull().alias("null"), F.coalesce("page_id", F.lit(0)).alias("id"))
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """page_id and the part that its records go to: equal numbers of ids by exact rank, so layouts and runs agree."""
+    ranked = first_n_rank(rows.select("page_id").distinct(), [F.col("page_id").asc_nulls_first()], "rank", "warc-ids")
+    total = ranked.agg(F.count(F.lit(1))).scalar()
+    each = F.greatest(F.lit(LEAST_IDS), F.ceil(total / F.lit(MOST_PARTS)))
+    return ranked.select("page_id", F.floor(F.col("rank") / each).cast("long").alias("part"))
+
+
 def _uri(url: str | None, page_id: int | None) -> str:
     url = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     return url or f"urn:page:{'' if page_id is None else page_id}"
@@ -103,16 +120,17 @@ MANIFEST = "part long, number long, file string, records long, bytes long, sha25
 def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write the archives; the manifest, one row per file."""
 
+    columns = ("part", "page_id", "url", "payload", "digest", "payload_bytes", "refers_to")
+
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
-        columns = ("page_id", "url", "payload", "digest", "payload_bytes", "refers_to")
         rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns)))
-        row = next(rows, None)
+        part, number, row = None, 0, next(rows, None)
         while row is not None:
+            part, number = row[0], number + 1 if row[0] == part else 0
             name, records, content = f"part-{part:06d}-{number:06d}.warc.gz", 0, hashlib.sha256()
             with committed(folder, name) as out:
-                while row is not None and (records == 0 or out.tell() < roll_bytes):
-                    member = _member(record(*row))
+                while row is not None and row[0] == part and (records == 0 or out.tell() < roll_bytes):
+                    member = _member(record(*row[1:]))
                     out.write(member)
                     content.update(member)
                     records += 1
@@ -121,12 +139,12 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> D
             yield pa.RecordBatch.from_pylist([{
                 "part": part, "number": number, "file": name, "records": records, "bytes": size, "sha256": content.hexdigest(),
             }])
-            number += 1
 
-    ordered = classify(pages).repartitionByRange("page_id").sortWithinPartitions("page_id", "digest", "url")
-    ordered.select("page_id", "url", "payload", "digest", "payload_bytes", "refers_to").mapInArrow(written, MANIFEST).write.mode(
-        "overwrite").parquet(f"{folder}/_manifest")
-    return pages.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
+    spark = pages.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ordered = classify(pages).repartition(tasks, "part").sortWithinPartitions("part", "page_id", "digest", "url")
+    ordered.select(*columns).mapInArrow(written, MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
 
 def records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
