@@ -6,7 +6,8 @@ document resembles it. Phrases are normalised by what each costs to name in its
 length, and the language with the least total wins.
 
 Model: per language at most ``train_chars`` code points (a documented bound) of the training
-documents, taken in the order of a hash of their text, so the sample is the same at every run. Parsing:
+documents, stretches of distinct texts at a place that a hash chooses, taken in the order of a hash of the text: copies count
+once, and the sample is the same at every run. Parsing:
 transitions and phrase ends are folded into one table per language, and a batch of texts walks through it
 in step, one column per block of ``BLOCK`` code points. Texts are lower-cased and what is no letter or mark
 counts as one space, so digits and symbols tell nothing; a phrase ends at a block's end, for every
@@ -15,7 +16,7 @@ language alike. Whole texts are parsed; batches are cut by size, so memory is bo
 Defined cases: null and letterless texts give ``und`` with score 0. Score is the winner's margin over the
 next language, 1 - best / second, and 1 where only one language was learned; ties go to the language
 first by code point. Without any training text every document is ``und``. Rows are judged one by one, so
-repeated rows and hot sources change nothing; extra columns are not read. Two shuffles: the counts per language
+repeated rows and hot sources change nothing; extra columns are not read. Shuffles: hashes of the labelled texts
 and the sample; documents are not moved.
 """
 from __future__ import annotations
@@ -28,13 +29,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import text_or_empty
 
 TRAIN_CHARS = 32_768  # code points of labelled text per language
-ROWS_PER_LANGUAGE = 64  # labelled rows asked for per language; each gives train_chars / 16 code points at most
+ROWS_PER_LANGUAGE = 64  # distinct texts asked for per language, at most twice as many; each gives train_chars / 16 code points at most
 BLOCK = 512  # code points parsed as one lane
 LANES = 8_192  # lanes walked in step
 UNKNOWN = "und"
@@ -45,18 +46,23 @@ def training_text(
 ) -> dict[str, str]:
     """Per language a bounded sample of its labelled text, in a fixed pseudo-random order."""
     labelled = docs.where(trained & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    piece = max(1, train_chars // 16)
+    marked = labelled.withColumn("mark", F.xxhash64("text"))
+    counts = {r["lang"]: r["n"] for r in marked.select("lang", "mark").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return {}
-    # a row is asked for with the chance that gives ``rows`` rows of its language, twice as many to be safe
+    # a distinct text is asked for with the chance that gives ``rows`` of its language, twice as many to be safe
     chance = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 2 * rows / n)))])
-    mark = F.xxhash64("text")
-    draw = F.shiftrightunsigned(mark, 11) / float(1 << 53)
-    picked = labelled.where(draw < F.element_at(chance, F.col("lang"))).select(
-        "lang", mark.alias("mark"), F.substring("text", 1, max(1, train_chars // 16)).alias("text")
+    draw = F.shiftrightunsigned("mark", 11) / float(1 << 53)
+    spare = F.greatest(F.length("text") - piece + 1, F.lit(1)).cast("long")  # places where the stretch can begin
+    begin = (F.pmod(F.xxhash64("mark", F.lit(1)), spare) + 1).cast("int")
+    picked = (
+        marked.where(draw < F.element_at(chance, F.col("lang")))
+        .select("lang", "mark", F.substr("text", begin, F.lit(piece)).alias("text")).dropDuplicates(["lang", "mark"])
+        .withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "text"))).where(F.col("turn") <= 2 * rows)
     )
     texts: dict[str, str] = {}
-    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["mark"], r["text"])):
+    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["turn"])):
         have = texts.get(r["lang"], "")
         texts[r["lang"]] = (have + letters_only(r["text"]) + " ")[:train_chars]
     return {lang: t for lang, t in texts.items() if any(c.isalpha() for c in t)}
