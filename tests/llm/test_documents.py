@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from llm_fixtures import documents, edges, no_documents  # noqa: F401
+from llm_fixtures import documents, edges, no_documents, prose  # noqa: F401
 
 from barloom.llm import exact_dedup, language_id, mixing, near_dedup, stages
 from barloom.llm.common import id_crc
@@ -123,6 +123,28 @@ def test_language_edges(edges, no_documents):
     assert language_id.predict(no_documents, model, ["doc_id"]).count() == 0
 
 
+def test_language_of_a_few_copied_texts_is_learned(spark, documents):
+    own = [" ".join(f"{a}{b}q{c}" for a in "kzx" for b in "öüy" for c in f"{i:02d}wv"[i % 3:]) + f" žluť {prose(i, 30)[::-1]}" for i in range(20)]
+    copies = spark.createDataFrame([(1_000_000 + i * 20 + j, t, "xx") for i in range(100) for j, t in enumerate(own)], "doc_id long, text string, lang string")
+    both = documents.select("doc_id", "text", "lang").union(copies)
+    model = language_id.training_text(both, id_crc() % 5 != 0)
+    again = language_id.training_text(both.repartition(3), id_crc() % 5 != 0)
+    assert model == again and len(model["xx"]) >= 20 * 40  # each distinct text once, in one order
+    got = language_id.predict(both, model, ["doc_id", "lang"]).select("_row.lang", "lang_pred").where("lang = 'xx'").collect()
+    assert sum(r.lang_pred == "xx" for r in got) >= 0.95 * len(got)
+
+
+def test_language_stage_fills_and_rejects(spark, documents):
+    named = documents.where("length(text) >= 200").select("doc_id", "text", "lang")
+    english, german = (named.where(F.col("lang") == c).orderBy("doc_id").first() for c in ("en", "de"))
+    planted = spark.createDataFrame(
+        [(900_001, german.text, None), (900_002, german.text, "en"), (900_003, "und", "fr"), (900_004, english.text, "en"), (900_005, "7", "en")], named.schema)
+    kept = stages.identified(spark, named.union(planted), "")
+    assert kept.columns == named.columns
+    assert {r.doc_id: r.lang for r in kept.where("doc_id > 900000").collect()} == {900_001: "de", 900_003: "fr", 900_004: "en"}
+    assert kept.where("doc_id <= 900000").count() == named.count()
+
+
 def brute_shingles(text):
     words = (text or "").encode().lower().split()
     if not words:
@@ -202,6 +224,20 @@ def test_pairs_between_template_pages_are_found(spark):
     assert {r.doc_id: r.class_id for r in got} == expected
 
 
+def test_unlinked_template_pages_do_not_meet(spark, monkeypatch):
+    """Pages alike at 0.72 by a template: compared pairs grow with the pages, not with their square."""
+    compared, verified = [], near_dedup._verified
+
+    def counting(pairs, texts):
+        compared.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(near_dedup, "_verified", counting)
+    texts = [(i, " ".join([*(f"t{j}" for j in range(163)), *(f"o{i}x{j}" for j in range(33))])) for i in range(400)]
+    got = near_dedup.near_classes(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert got.select("class_id").distinct().count() == 400 and sum(compared) < 12 * 400
+
+
 def test_pairs_with_unequal_repeats_are_found(spark):
     """Equal shingle sets, of which one text repeats a part: J_P is low, the set Jaccard is 1 or near it."""
     texts = []
@@ -258,6 +294,13 @@ def test_pipeline_runs(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
 
 
+def test_pipeline_of_an_empty_table(spark, no_documents, tmp_path):
+    import corpus_pipeline
+
+    no_documents.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_id_crc(edges):
     for r in edges.select("doc_id", id_crc().alias("c")).collect():
         assert r.c == zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode())

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import documents, edges, no_documents  # noqa: F401
 
@@ -274,6 +275,15 @@ def test_warc(spark, edge_pages):
         assert hashlib.sha256(content).hexdigest() == m.sha256 and gzip.decompress(content).startswith(b"WARC/1.1\r\n")
 
 
+def test_warc_layouts_and_runs_agree(spark):
+    """Enough pages for sampled ranges to differ: cuts come from exact ranks."""
+    pages = spark.range(3_000).select(
+        (F.col("id") * 7_919 % 3_001).alias("page_id"), F.concat(F.lit("http://p/"), "id").alias("url"),
+        F.repeat(F.concat(F.lit("<p>"), F.col("id") % 97), (F.col("id") % 300).cast("int")).alias("html"))
+    runs = [sorted(map(tuple, warc.write_warc(pages.repartition(n), scratch_dir(spark, "warc-test")).collect())) for n in (3, 3, 7)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == -(-3_000 // warc.LEAST_IDS) and sum(r[3] for r in runs[0]) == 3_000
+
+
 def test_warc_empty_and_damage(spark, edge_pages):
     assert warc.archive(edge_pages.limit(0)).count() == 0
     record = warc.record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), 3, None)
