@@ -2,11 +2,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -15,10 +18,11 @@ from pyspark.sql import functions as F
 from barloom.operators.evaluate import class_weights
 from barloom.operators.monitor import latest_per_symbol
 from barloom.operators.splits import expanding_folds
-from barloom.sources.tables import scratch_dir
+from barloom.sources.tables import scratch_dir, stored
 
 LABEL, WEIGHT = "target_direction", "class_weight"
 SEED = 7
+PARALLEL_FITS = 4
 DONOR_BITS = 12  # leading bits of the hash that cut its order into ranges
 
 
@@ -122,29 +126,114 @@ def feature_importance(
     ).join(F.broadcast(gain_df), "feature")
 
 
-def prune_features(importance: DataFrame, min_lost: float = 0.0) -> DataFrame:
-    return importance.where(F.col("accuracy_lost") > min_lost)
+def _assembled(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Label, weight and scaled vector of train rows and label and vector of test rows, each made and written once."""
+    ready = with_class_weight(_typed(train, columns))
+    prepare = Pipeline(stages=_stages(columns, "logistic", {})[:-1]).fit(ready)
+    fit_rows = stored(prepare.transform(ready).select(LABEL, WEIGHT, "features"))
+    return fit_rows, stored(prepare.transform(_typed(test, columns)).select(LABEL, "features"))
+
+
+def prune_features(
+    df: DataFrame, columns: Sequence[str], max_lost: float = 0.0, folds: int = 3, parallel: int = PARALLEL_FITS
+) -> DataFrame:
+    """Backward elimination by walk-forward accuracy of the logistic model, one row per input in the order tried.
+
+    Each step refits every expanding fold without the input of the least standardized coefficients among those not yet
+    tried. The input goes if the accuracy over all test rows falls by at most ``max_lost`` (negative: it rose), and
+    the refitted model is the next step's; otherwise it stays. ``accuracy_lost`` is what was lost when it was tried;
+    an input that would be the last one is not tried. Inputs are tried once, so there are as many refits as
+    inputs, on matrices written once per fold; the fits of a step run at the same time.
+    """
+    spark, names = df.sparkSession, list(columns)
+    parts = [_assembled(train, test, names) for _, train, test in expanding_folds(df, folds)]
+
+    def walk(kept: list[str]) -> tuple[float, dict[str, float]]:
+        cut = VectorSlicer(inputCol="features", outputCol="kept_features", indices=[names.index(c) for c in kept])
+        lr = LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, featuresCol="kept_features", maxIter=20)
+
+        def on_fold(part: tuple[DataFrame, DataFrame]):
+            fit_rows, check_rows = part
+            model = lr.fit(cut.transform(fit_rows))
+            hit = F.col("prediction") == F.col(LABEL)
+            right, n = model.transform(cut.transform(check_rows)).agg(F.count_if(hit), F.count(F.lit(1))).first()
+            return right, n, np.abs(model.coefficients.toArray())
+
+        right, n, sizes = zip(*pool.map(inheritable_thread_target(spark)(on_fold), parts))
+        return sum(right) / max(sum(n), 1), dict(zip(kept, sum(sizes).tolist()))
+
+    tried, kept, open_ = [], list(names), list(names)
+    with ThreadPool(parallel) as pool:
+        accuracy, sizes = walk(kept)
+        while open_ and len(kept) > 1:
+            least = min(open_, key=lambda c: sizes[c])
+            open_.remove(least)
+            without, sizes_without = walk([c for c in kept if c != least])
+            lost = accuracy - without
+            if lost <= max_lost:
+                kept.remove(least)
+                accuracy, sizes = without, sizes_without
+            tried.append((len(tried) + 1, least, least in kept, lost, accuracy))
+    tried += [(len(tried) + 1, c, True, None, accuracy) for c in open_]
+    return spark.createDataFrame(tried, "step int, feature string, kept boolean, accuracy_lost double, accuracy double")
 
 
 def tune_params(
     df: DataFrame, columns: Sequence[str], reg_params: Sequence[float] = (0.0, 0.01, 0.1), max_trials: int = 50,
-    folds: int = 4,
+    folds: int = 4, parallel: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Grid search inside expanding folds; the caller keeps the last period out of ``df``.
 
-    One row per setting and fold with its ROC-AUC.
+    One row per setting and fold with its ROC-AUC. A fold's rows are weighted, scaled and assembled once; all settings
+    are fitted on that matrix, ``parallel`` at a time.
     """
-    lr = LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, featuresCol="features")
+    spark = df.sparkSession
+    lr = LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, featuresCol="features", maxIter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     if len(grid) > max_trials:
         raise ValueError(f"{len(grid)} settings exceed the limit of {max_trials} trials")
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction")
     results = []
-    for fold, train, test in expanding_folds(df, folds):
-        for setting in grid:
-            params = {p.name: v for p, v in setting.items()}
-            model = train_baseline(train, columns, "logistic", {"maxIter": 20, **params})
-            results.append((fold, *[float(v) for v in params.values()], roc_auc(model, test, columns)))
-    return df.sparkSession.createDataFrame(results, "fold int, reg_param double, roc_auc double")
+    with ThreadPool(parallel) as pool:
+        for fold, train, test in expanding_folds(df, folds):
+            fit_rows, check_rows = _assembled(train, test, columns)
+
+            def trial(setting):
+                found = evaluator.evaluate(lr.copy(setting).fit(fit_rows).transform(check_rows))
+                return (fold, *[float(v) for v in setting.values()], found)
+
+            results += pool.map(inheritable_thread_target(spark)(trial), grid)
+    return spark.createDataFrame(results, "fold int, reg_param double, roc_auc double")
+
+
+def optimality(model: PipelineModel, train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Certificate of an unpenalized logistic fit: one row per term with its coefficient and the loss's gradient in it.
+
+    ``mean`` and ``stddev`` are those that scale the input (NULL for the intercept), ``coefficient`` belongs to the scaled
+    input, and ``gradient`` is that of the mean weighted log loss over ``train``. The loss is convex, so a
+    gradient near 0 proves the fit. All of it comes from one aggregate over the rows.
+    """
+    scaler, fitted = model.stages[-2], model.stages[-1]
+    if fitted.getRegParam():
+        raise ValueError("the gradient of a penalized fit is not zero at its optimum")
+    scored = score(model, with_class_weight(_typed(train, columns)), columns)
+    miss = F.col(WEIGHT) * (F.col("p_up") - F.col(LABEL))
+    mean, std = scaler.mean.toArray().tolist(), scaler.std.toArray().tolist()
+    terms = [("intercept", F.lit(1.0), None, None, float(fitted.intercept))] + [
+        (c, (F.col(c) - m) / F.lit(s) if s else F.lit(0.0), m, s, float(b))
+        for c, m, s, b in zip(columns, mean, std, fitted.coefficients.toArray())
+    ]
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(LABEL) == 1).alias("n_up"), F.sum(WEIGHT).alias("_weight"),
+        *[F.sum(miss * x).alias(f"_g{i}") for i, (_, x, *_) in enumerate(terms)],
+    )
+    rows = F.array(*[
+        F.struct(
+            F.lit(term).alias("term"), F.lit(m).cast("double").alias("mean"), F.lit(s).cast("double").alias("stddev"),
+            F.lit(b).alias("coefficient"), F.try_divide(f"_g{i}", "_weight").alias("gradient"),
+        ) for i, (term, _, m, s, b) in enumerate(terms)
+    ])
+    return sums.select("n", "n_up", F.explode(rows).alias("_t")).select("_t.term", "n", "n_up", "_t.mean", "_t.stddev", "_t.coefficient", "_t.gradient")
 
 
 def batch_score(

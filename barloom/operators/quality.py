@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from barloom.operators.scan import ordered_prefix
 from barloom.sources import schemas
 
+SKETCH_K = 800  # size of a quantile sketch: rank errors of about 0.4 %
+CHANCES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 NOT_INPUTS = ("symbol", "event_time", *schemas.FORWARD_LOOKING)
 
 
@@ -177,6 +179,54 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], redundant_from: fl
     ).withColumn("redundant", F.coalesce(F.abs("corr") >= redundant_from, F.lit(False)))
 
 
+def quantile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """A KLL sketch of the values of every feature and group ``by``; missing values are left out.
+
+    Tasks send one sketch per feature and group, a few kilobytes whatever the rows. Sketches of finer groups (days, say)
+    can be stored and merged later by ``merge_sketches``.
+    """
+    doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    values = unpivot(doubles, columns, "value", by).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return values.groupBy("feature", *by).agg(F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    return sketches.groupBy("feature", *by).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, chances: Sequence[float] = CHANCES, by: Sequence[str] = ()) -> DataFrame:
+    """``chance``, estimated ``value`` and sketched rows ``n`` per feature and group."""
+    asked = F.array(*[F.lit(float(c)) for c in chances])
+    found = F.arrays_zip(asked.alias("chance"), F.kll_sketch_get_quantile_double("sketch", asked).alias("value"))
+    return sketches.select(
+        "feature", *by, F.kll_sketch_get_n_double("sketch").alias("n"), F.explode(found).alias("_q")
+    ).select("feature", *by, "n", "_q.chance", "_q.value")
+
+
+def quantile_rank_error(df: DataFrame, quantiles: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Add ``rank_error``: how far the share of rows below or at each estimate is from its ``chance``; 0 inside a tie.
+
+    Each value meets the one row of its feature and group, which holds all estimates as an array; counts are added up
+    before the shuffle. ``quantiles`` has one row per feature, group and chance, and groups are few. The estimates are read
+    once: sketches break ties by chance, so a second evaluation may differ.
+    """
+    keys = ["feature", *by]
+    asked = quantiles.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("chance", "value", "n"))).alias("_asked"))
+    size = quantiles.select("chance").distinct().count()  # the list of chances asked for
+    doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    values = unpivot(doubles, columns, "value", by).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    estimates = [F.col("_asked")[i]["value"] for i in range(size)]
+    counts = values.join(F.broadcast(asked), keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("_asked").alias("_asked"),
+        F.array(*[F.count_if(F.col("value") < q) for q in estimates]).alias("_below"),
+        F.array(*[F.count_if(F.col("value") <= q) for q in estimates]).alias("_within"),
+    )
+    spread = counts.select(*keys, "_rows", F.explode(F.arrays_zip("_asked", "_below", "_within")).alias("_z"))
+    wanted = F.col("_z._asked.chance") * F.col("_rows")
+    off = F.greatest(F.col("_z._below") - wanted, wanted - F.col("_z._within"), F.lit(0.0)) / F.col("_rows")
+    return spread.select(*keys, "_z._asked.n", "_z._asked.chance", "_z._asked.value", off.alias("rank_error"))
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``feature`` and ``median`` of each column with values: the values at its middle ranks.
 

@@ -157,6 +157,34 @@ def feature_histogram(spark, sf_dir):
     return Qu.feature_histogram(stored(dataset(spark, sf_dir).select(*_HIST)), _HIST)
 
 
+RANK_ERROR = 0.02
+
+
+def _quantiles(spark, sf_dir):
+    rows = stored(dataset(spark, sf_dir).select("target_direction", F.to_date("event_time").alias("day"), *_DOUBLES))
+    daily = Qu.quantile_sketches(rows, _DOUBLES, ("target_direction", "day"))
+    estimates = stored(Qu.sketched_quantiles(Qu.merge_sketches(daily, ("target_direction",)), by=("target_direction",)))
+    return Qu.quantile_rank_error(rows, estimates, _DOUBLES, ("target_direction",))
+
+
+_chances = ", ".join(f"{x}::DOUBLE" for x in Qu.CHANCES)
+
+
+@query("feature_quantiles", f"""{_R} {" UNION ALL ".join(f'''
+  SELECT '{c}' AS feature, target_direction, count({c}) AS n, unnest([{_chances}]) AS chance, TRUE AS rank_fits
+  FROM dataset GROUP BY target_direction HAVING count({c}) > 0''' for c in _DOUBLES)}""")
+def feature_quantiles(spark, sf_dir):
+    """Distribution of every feature per class from merged daily sketches; ranks are checked against the rows."""
+    found = _quantiles(spark, sf_dir)
+    return found.select("feature", "target_direction", "n", "chance", (F.col("rank_error") < RANK_ERROR).alias("rank_fits"))
+
+
+@query("feature_distributions")
+def feature_distributions(spark, sf_dir):
+    """The estimated quantiles themselves, with their error beside exact ranks."""
+    return _quantiles(spark, sf_dir)
+
+
 _CORR = _DOUBLES
 
 

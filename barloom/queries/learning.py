@@ -1,7 +1,8 @@
 """Queries over model training, tuning, importance and scoring.
 
-Fitted numbers have no SQL form. The queries return what SQL can check: the rows that enter each fit, and whether
-each fitted number lies where it must.
+Fitted numbers have no SQL form. Queries with an oracle return what SQL can check: the rows that enter each fit, and whether
+each fitted number lies where it must. ``logistic_coefficients``, ``pruned_features`` and ``signals`` return the numbers
+themselves; the tests recompute them.
 """
 from __future__ import annotations
 
@@ -142,13 +143,56 @@ def feature_importance(spark, sf_dir):
     )
 
 
-@query("prune_features", f"""SELECT unnest([{", ".join(f"'{c}'" for c in COLUMNS)}]) AS feature, count(*) > 0 AS has_rows FROM events""")
+def _pruned(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    return train, L.prune_features(train, COLUMNS, folds=3)
+
+
+@query("prune_features", f"""{_TIMED.format(folds=3, rows="(SELECT * FROM halves WHERE in_train)")}
+  SELECT unnest([{", ".join(f"'{c}'" for c in COLUMNS)}]) AS feature, CAST(n_train_rows AS BIGINT) AS n_train_rows, TRUE AS verdict_fits
+  FROM (SELECT count(*) AS n_train_rows FROM halves WHERE in_train AND {_COMPLETE})""")
 def prune_features(spark, sf_dir):
-    """With a limit below every possible loss, pruning keeps all inputs."""
-    train, test = _split(spark, sf_dir)
-    model = L.train_baseline(train, COLUMNS, "trees", {"maxIter": 3, "maxDepth": 3})
-    kept = L.prune_features(L.feature_importance(model, test, COLUMNS), -2.0)
-    return kept.select("feature", F.lit(test.count() > 0).alias("has_rows"))
+    """Every input was tried once or is the last one, and stays only where dropping it loses walk-forward accuracy."""
+    train, found = _pruned(spark, sf_dir)
+    fits = F.col("kept") == F.coalesce(F.col("accuracy_lost") > 0.0, F.lit(True))
+    return found.select("feature", F.lit(_complete(train)).cast("long").alias("n_train_rows"), fits.alias("verdict_fits"))
+
+
+@query("pruned_features")
+def pruned_features(spark, sf_dir):
+    """Inputs in the order tried, whether each stays, the accuracy lost without it and the accuracy reached."""
+    return _pruned(spark, sf_dir)[1]
+
+
+def _certificate(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    model = L.train_baseline(train, COLUMNS, "logistic", {"maxIter": 200, "tol": 1e-10})
+    return L.optimality(model, train, COLUMNS)
+
+
+GRADIENT_BOUND = 1e-3
+
+_term = """SELECT '{c}' AS term, count(*) AS n, count(*) FILTER (target_direction = 1) AS n_up,
+  round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, TRUE AS at_optimum FROM fit"""
+
+
+@query("training_certificate", f"""{_TIMED.format(folds=4, rows="dataset")},
+  fit AS (SELECT * FROM halves WHERE in_train AND {_COMPLETE})
+  SELECT 'intercept' AS term, count(*) AS n, count(*) FILTER (target_direction = 1) AS n_up, CAST(NULL AS DOUBLE) AS mean,
+         CAST(NULL AS DOUBLE) AS stddev, TRUE AS at_optimum FROM fit
+  UNION ALL {" UNION ALL ".join(_term.format(c=c) for c in COLUMNS)}""")
+def training_certificate(spark, sf_dir):
+    """Rows, class totals and scaling of the logistic fit, and that the loss has no slope left in any term."""
+    return _certificate(spark, sf_dir).select(
+        "term", "n", "n_up", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
+        (F.abs("gradient") < GRADIENT_BOUND).alias("at_optimum"),
+    )
+
+
+@query("logistic_coefficients")
+def logistic_coefficients(spark, sf_dir):
+    """Coefficient of every scaled input and the gradient of the weighted loss in it."""
+    return _certificate(spark, sf_dir).select("term", "coefficient", "gradient")
 
 
 @query("batch_score", f"""WITH RECURSIVE {DATASET_CTE},
@@ -157,10 +201,16 @@ def prune_features(spark, sf_dir):
   FROM newest WHERE {_COMPLETE}""")
 def batch_score(spark, sf_dir):
     """Signals on the newest feature row of every symbol, which has no label yet."""
-    model = L.train_baseline(stored_dataset(spark, sf_dir), COLUMNS, "logistic", {"maxIter": 20})
-    signals = L.batch_score(model, intraday.intraday_features(X.bars_5m(spark, sf_dir)), COLUMNS, threshold=0.5)
+    found = signals(spark, sf_dir)
     fits = (F.col("direction") == "up") == (F.col("probability") > F.col("threshold"))
-    return signals.select("symbol", "as_of", "threshold", _within("probability", 0.0, 1.0), fits.alias("direction_fits"))
+    return found.select("symbol", "as_of", "threshold", _within("probability", 0.0, 1.0), fits.alias("direction_fits"))
+
+
+@query("signals")
+def signals(spark, sf_dir):
+    """Direction and probability of the newest feature row of every symbol."""
+    model = L.train_baseline(stored_dataset(spark, sf_dir), COLUMNS, "logistic", {"maxIter": 20})
+    return L.batch_score(model, intraday.intraday_features(X.bars_5m(spark, sf_dir)), COLUMNS, threshold=0.5)
 
 
 @query("sentiment_model_lift", f"""{_TIMED.format(folds=4, rows="dataset")}

@@ -205,6 +205,76 @@ def test_tuning_reports_every_setting_and_fold(spark, sf_dir):
         L.tune_params(G.stored_dataset(spark, sf_dir), G.COLUMNS, (0.0, 0.1), max_trials=1)
 
 
+def test_certificate_and_coefficients(spark):
+    """The gradient of the fit is that of numpy, near 0 at the optimum and not before it."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(800, 2)) * [1.0, 50.0] + [3.0, -100.0]
+    y = (x[:, 0] - 3 + rng.normal(size=800) > 0.5).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, target_direction int")
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    z = np.c_[np.ones(800), (x - x.mean(0)) / x.std(0, ddof=1)]
+    for iterations, bound in ((100, 1e-4), (1, None)):
+        model = L.train_baseline(df, ["a", "b"], "logistic", {"maxIter": iterations, "tol": 1e-10})
+        got = {r.term: r for r in L.optimality(model, df, ["a", "b"]).collect()}
+        beta = np.array([got[t].coefficient for t in ("intercept", "a", "b")])
+        want = (weight * (1 / (1 + np.exp(-z @ beta)) - y)) @ z / weight.sum()
+        np.testing.assert_allclose([got[t].gradient for t in ("intercept", "a", "b")], want, atol=1e-9)
+        assert got["a"].n == 800 and got["a"].n_up == y.sum() and got["b"].mean == pytest.approx(x[:, 1].mean())
+        assert np.abs(want).max() < bound if bound else np.abs(want).max() > 1e-3
+    with pytest.raises(ValueError):
+        L.optimality(L.train_baseline(df, ["a", "b"], "logistic", {"regParam": 0.1}), df, ["a", "b"])
+
+
+def test_signals_follow_the_stored_coefficients(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 2))
+    rows = [("ABC"[i % 3], at(i), float(a), float(b), int(a > b)) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, a double, b double, target_direction int")
+    model = L.train_baseline(df, ["a", "b"], "logistic", {"maxIter": 20})
+    got = {r.symbol: r for r in L.batch_score(model, df.drop("target_direction"), ["a", "b"], 0.4).collect()}
+    beta, z = model.stages[-1].coefficients.toArray(), (x - x.mean(0)) / x.std(0, ddof=1)
+    assert set(got) == set("ABC")
+    for i in (297, 298, 299):
+        p = 1 / (1 + np.exp(-(z[i] @ beta + model.stages[-1].intercept)))
+        r = got["ABC"[i % 3]]
+        assert r.as_of == at(i) and r.probability == pytest.approx(p) and r.direction == ("up" if p > 0.4 else "not_up")
+
+
+def test_pruning_drops_noise_and_keeps_what_counts(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 4))
+    y = (x[:, 0] + 0.8 * x[:, 1] + 0.3 * rng.normal(size=900) > 0).astype(int)
+    rows = [("A", at(i), *map(float, r), int(c)) for i, (r, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz, a double, b double, c double, d double, target_direction int")
+    got = {r.feature: r for r in L.prune_features(df, list("abcd"), max_lost=0.01).collect()}
+    assert [f for f in "abcd" if got[f].kept] == ["a", "b"]
+    assert {got[f].step for f in "cd"} == {1, 2} and got["b"].accuracy_lost > 0.1 and got["c"].accuracy_lost <= 0.01
+    alone = L.prune_features(df, ["a"]).collect()
+    assert [(r.feature, r.kept, r.accuracy_lost) for r in alone] == [("a", True, None)]
+    loose = L.prune_features(df, ["a", "b"], max_lost=1.0, folds=2).collect()  # any loss is allowed: one is left
+    assert [(r.step, r.kept) for r in loose] == [(1, False), (2, True)]
+
+
+def test_quantile_sketches_merge_and_tell_their_error(spark):
+    """Ties, a constant, missing values and NaN, groups of unequal size; merged parts beside numpy's ranks."""
+    rng = np.random.default_rng(6)
+    n = 20_000
+    a, b = rng.lognormal(size=n), np.where(rng.random(n) < 0.4, 1.0, rng.random(n))
+    rows = [(int(i % 10 == 0), i % 7, float(p), float(q), None if i % 3 else 5.0, float("nan")) for i, (p, q) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "y int, part int, a double, b double, c double, d double").repartition(5)
+    merged = Qu.merge_sketches(Qu.quantile_sketches(df, list("abcd"), ("y", "part")), ("y",))
+    found = Qu.quantile_rank_error(df, Qu.sketched_quantiles(merged, by=("y",)), list("abcd"), ("y",)).toPandas()
+    assert set(found["feature"]) == set("abc") and len(found) == 3 * 2 * len(Qu.CHANCES)
+    y = np.arange(n) % 10 == 0
+    for r in found.itertuples():
+        if r.feature == "c":
+            assert r.value == 5.0 and r.rank_error == 0
+            continue
+        v = {"a": a, "b": b}[r.feature][y == bool(r.y)]
+        want = max((v < r.value).mean() - r.chance, r.chance - (v <= r.value).mean(), 0)
+        assert r.n == len(v) and r.rank_error == pytest.approx(want, abs=1e-12) and r.rank_error < 0.02
+
+
 def test_medians_of_all_columns_in_one_pass(spark):
     """Ties, even and odd counts, missing and equal values, a column without values; one order over all columns."""
     rng = np.random.default_rng(12)
