@@ -2,7 +2,7 @@
 
 A page becomes its element tree. Every element is content or not; its potential comes from its tag, the words
 of its class, id and role, the length, links and sentences of its text, and each parent and child have a joint
-potential that depends on whether the child is a block or inline. Sum-product messages passed from the
+potential that depends on the kind of the child: control, side part, block, link or inline. Sum-product messages passed from the
 leaves up and from the root down give each element's exact marginal probability of being content. The text of
 elements with a marginal of at least one half is the main text.
 
@@ -26,7 +26,7 @@ import math
 import random
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -39,6 +39,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+CONTROLS = frozenset("button datalist fieldset form input label legend meter optgroup option output progress select textarea".split())
+SIDE = frozenset("aside footer header menu nav".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset("head script style template title".split())
 HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
@@ -158,6 +160,9 @@ def parse(html: str) -> TreeBuilder:
     return tree
 
 
+KINDS = ("control", "side", "block", "link", "inline")
+
+
 def features(e: Element) -> list[str]:
     share = e.linked / e.chars if e.chars else 0.0
     found = [
@@ -172,9 +177,9 @@ def features(e: Element) -> list[str]:
 class Model:
     """Log odds of features and joint potentials of parent and child, learned from labelled pages."""
 
-    def __init__(self, pages: list[str], passes: int = 8, rate: float = 0.1, weight: float = 0.6, smoothing: float = 0.5):
+    def __init__(self, pages: list[str], passes: int = 10, rate: float = 0.1, weight: float = 0.6, smoothing: float = 0.5):
         seen = defaultdict(lambda: [0, 0])
-        pairs = {kind: [[1.0, 1.0], [1.0, 1.0]] for kind in ("block", "inline")}
+        pairs = {kind: [[1.0, 1.0], [1.0, 1.0]] for kind in KINDS}
         totals = [0, 0]
         trees = [parse(page).elements for page in pages]
         for tree in trees:
@@ -201,7 +206,11 @@ class Model:
 
     @staticmethod
     def _kind(e: Element) -> str:
-        return "block" if e.tag in BLOCKS else "inline"
+        if e.tag in CONTROLS:
+            return "control"
+        if e.tag in SIDE:
+            return "side"
+        return "block" if e.tag in BLOCKS else "link" if e.tag == "a" else "inline"
 
     def marginals(self, elements: list[Element]) -> list[float]:
         """Probability of being content for each element, by one pass up and one pass down the tree."""
@@ -267,14 +276,22 @@ SHORT = (
     "div class=newsletter", "div class=subscribe", "div class=popup", "div class=consent", "div class=disclaimer", "div class=modal", "div class=byline-ad",
 )
 FORMS = ("form", "form class=search", "form class=login", "form class=newsletter", "div class=search-form", "form class=comment-form", "div class=signup")
+INSIDE = ("aside", "aside class=related", "div class=related", "div class=read-more", "section class=related-posts", "div class=share-buttons", "div class=ad")
 COMMENTS = (
     "div class=comments", "section id=comments", "ol class=comment-list", "div class=comment-thread", "div class=user-comments", "section class=responses",
     "div class=comment-section", "div id=comment-area", "div class=discussion", "div id=disqus_thread", "div class=replies", "div class=reviews",
 )
 
 
-def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
-    """Pages of many layouts; ``data-label`` tells content (1) from the rest (0) and holds for what is inside."""
+OPENINGS = {"content": CONTENT, "links": LINKS, "short": SHORT, "forms": FORMS, "inside": INSIDE, "comments": COMMENTS}
+
+
+def labelled_pages(n: int = 400, seed: int = 11, openings: Mapping[str, Sequence[str]] = OPENINGS) -> list[str]:
+    """Pages of many layouts; ``data-label`` tells content (1) from the rest (0) and holds for what is inside.
+
+    Content also holds lists and paragraphs of links, controls, asides and wrappers without a name, and some pages are laid
+    out by a table.
+    """
     draw = random.Random(seed)
     letters = "etaoinshrdlu"
 
@@ -293,7 +310,7 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
         items = [f'<a href="/x">{words(1, 5)}</a>' for _ in range(draw.randint(2, 12))]
         if draw.random() < 0.7:
             return "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>"
-        return " | ".join(items) if draw.random() < 0.5 else "".join(f"<p>{i}</p>" for i in items)
+        return draw.choice([" | ", "<br>"]).join(items) if draw.random() < 0.6 else "".join(f"<p>{i}</p>" for i in items)
 
     def short():
         text = " ".join(sentence(2, 12) for _ in range(draw.randint(1, 3)))
@@ -305,10 +322,44 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
     def comment():
         return f"<div class=\"{draw.choice(['comment', 'reply', 'review'])}\"><b>{words(1, 2)}</b><p>{' '.join(sentence(3, 25) for _ in range(draw.randint(1, 4)))}</p></div>"
 
+    def control():
+        few = words(1, 3)
+        return draw.choice([
+            f'<select data-label="0"><option>{few}</option><option>{words(1, 3)}</option></select>', f'<button data-label="0">{few}</button>',
+            f'<label data-label="0">{few} <input type="text"></label>', f'<textarea data-label="0">{few}</textarea>',
+            f'<label data-label="0">{few}</label><textarea data-label="0">{words(1, 9)}</textarea>', tagged("form", 0, form()),
+        ])
+
+    def inside():
+        heading = f"<h3>{words(1, 4)}</h3>" * (draw.random() < 0.5)
+        return tagged(draw.choice(openings["inside"]), 0, heading + draw.choice([links, short])())
+
+    def linked():
+        items = [f'<a href="/l">{words(1, 6)}</a>' for _ in range(draw.randint(1, 6))]
+        if draw.random() < 0.5:
+            return "".join(f"<p>{i}</p>" for i in items[:2])
+        return "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>"
+
     def block():
+        extra = draw.random()
+        if extra < 0.06:
+            return control()
+        if extra < 0.09:
+            return f"<p>{sentence(3, 20)} {control()}</p>"
+        if extra < 0.13:
+            return inside()
+        if extra < 0.24:
+            return linked()
+        if extra < 0.28:
+            return f"<div>{block()}{block()}</div>"
         kind = draw.random()
         text = " ".join(sentence(1, 25) for _ in range(draw.choice([1, 1, 2, 5, 9])))
-        if kind < 0.55:
+        length = draw.random()
+        if length < 0.03:
+            text = words(200, 900)  # no sentence ends
+        elif length < 0.06:
+            text = " ".join(sentence(1, 25) for _ in range(60))
+        if kind < 0.5:
             return f"<p>{text}</p>"
         if kind < 0.65:
             return f"<p><b>{text}<br>"
@@ -329,21 +380,29 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
     def around():
         kind = draw.random()
         if kind < 0.45:
-            return tagged(draw.choice(LINKS), 0, links())
+            return tagged(draw.choice(openings["links"]), 0, links())
         if kind < 0.85:
-            return tagged(draw.choice(SHORT), 0, short())
-        return tagged(draw.choice(FORMS), 0, form())
+            return tagged(draw.choice(openings["short"]), 0, short())
+        return tagged(draw.choice(openings["forms"]), 0, form())
 
     pages = []
     for _ in range(n):
         blocks = [f"<h1>{words(2, 12)}</h1>"] * (draw.random() < 0.8) + [block() for _ in range(draw.choice([1, 2, 5, 12, 30]))]
+        if draw.random() < 0.06:
+            blocks = [f"<h1>{words(2, 12)}</h1>", linked(), linked()]
         while draw.random() < 0.4:
             blocks.insert(draw.randint(0, len(blocks)), around())
         if draw.random() < 0.2:
-            blocks.append(tagged(draw.choice(COMMENTS), 0, "".join(comment() for _ in range(draw.randint(1, 5)))))
-        parts = [around() for _ in range(draw.randint(1, 4))] + [tagged(draw.choice(CONTENT), 1, "".join(blocks))]
+            blocks.append(tagged(draw.choice(openings["comments"]), 0, "".join(comment() for _ in range(draw.randint(1, 5)))))
+        if draw.random() < 0.12:
+            cell = "<td" + draw.choice(["", ' width="80%"', ' valign="top"']) + f' data-label="1">{"".join(blocks)}</td>'
+            beside = draw.choice([f'<td data-label="0">{links()}</td>', f'<td>{tagged(draw.choice(openings["links"]), 0, links())}</td>'])
+            main = f'<table data-label="0"><tr>{beside}{cell}</tr></table>'
+        else:
+            main = tagged(draw.choice(openings["content"]), 1, "".join(blocks))
+        parts = [around() for _ in range(draw.randint(1, 4))] + [main]
         if draw.random() < 0.4:
-            parts.append(tagged(draw.choice(COMMENTS), 0, "".join(comment() for _ in range(draw.randint(1, 5)))))
+            parts.append(tagged(draw.choice(openings["comments"]), 0, "".join(comment() for _ in range(draw.randint(1, 5)))))
         parts += [around() for _ in range(draw.randint(0, 3))]
         body = "".join(parts)
         if draw.random() < 0.4:
