@@ -233,6 +233,33 @@ def test_fingerprints(request, name, range_rows):
     assert Counter(map(tuple, got)) == want
 
 
+def test_long_texts_keep_anchors_everywhere():
+    """Likeness of long texts beside their whole anchor sets, and a passage of some 50 words found at its place."""
+    draw = random.Random(21)
+
+    def text(n):
+        return " ".join("".join(draw.choices("abcdefghij", k=draw.randint(2, 9))) for _ in range(n))
+
+    passage, worst, lost = text(55), 0.0, 0
+    for words, share in ((15_000, 0.5), (15_000, 0.1), (2_000, 0.8), (300, 0.5)):
+        for _ in range(3):
+            common, a, b = text(int(words * share)), text(int(words * (1 - share))), text(int(words * (1 - share)))
+            x, y = (set(syncmers.anchors(common + " " + t)[0].tolist()) for t in (a, b))
+            found = syncmers.likeness(syncmers.Fingerprint(common + " " + a), syncmers.Fingerprint(common + " " + b))
+            worst = max(worst, abs(found - len(x & y) / len(x | y)))
+    assert worst < 0.15
+    for at_a, at_b in ((0, 14_000), (7_000, 100), (3_000, 3_000)):
+        one, two = text(at_a) + " " + passage + " " + text(14_000 - at_a), text(at_b) + " " + passage + " " + text(14_000 - at_b)
+        a, b = syncmers.Fingerprint(one), syncmers.Fingerprint(two)
+        assert len(a.hashes) > len(one) / 80
+        shared, i, j = np.intersect1d(a.hashes, b.hashes, return_indices=True)
+        lost += not len(shared)
+        if len(shared):
+            assert set((a.positions[i] - b.positions[j]).tolist()) == {one.index(passage) - two.index(passage)}
+            assert syncmers.aligned(a, b) == 1 and 0 < syncmers.likeness(a, b) < 0.02
+    assert lost == 0
+
+
 def test_fingerprints_empty(no_documents):
     assert syncmers.fingerprints(no_documents).count() == 0
 
@@ -330,6 +357,58 @@ def test_held_out_pages():
     assert right / total > 0.98
 
 
+# Openings that no training page has.
+OTHER_OPENINGS = {
+    "content": ("div class=prose", "section class=reader", "article class=longform", "div id=stuff", "main class=core", "article"),
+    "links": ("div class=crumbs", "ul class=quicklinks", "nav class=rail", "div id=jump", "aside class=siblings"),
+    "short": ("div class=colophon", "footer class=baseplate", "div class=gdpr", "aside class=pitch", "div class=strip"),
+    "forms": ("form class=finder", "form id=enroll", "div class=lookup"), "inside": ("aside class=siblings", "div class=tease", "aside"),
+    "comments": ("div class=talkback", "section class=visitors", "ol class=voices"),
+}
+
+
+def test_layouts_of_other_words():
+    model, right, total = html_text.trained(), 0, 0
+    for page in html_text.labelled_pages(60, seed=78, openings=OTHER_OPENINGS):
+        tree = html_text.parse(page)
+        for e, p in zip(tree.elements[1:], model.marginals(tree.elements)[1:]):
+            if e.label is not None and e.tag not in html_text.UNREAD:
+                total += 1
+                right += (p >= 0.5) == (e.label == 1)
+    assert right / total > 0.9
+
+
+FIRST, SECOND = "<p>First words are here, and more.</p>", "<p>Second words, and more of them.</p>"
+LINKED = '<p>Words with <a href="/x">a link</a> inside of it.</p><p><a href="/y">Only a link</a></p><ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul>'
+
+
+@pytest.mark.parametrize("inside,text", [
+    (FIRST + "<select><option>One</option><option>Two</option></select>" + SECOND, None),
+    (FIRST + "<button>Share</button><label>Name</label><textarea>fill</textarea>" + SECOND, None),
+    (FIRST + "<form><label>Mail</label><input><button>Send</button></form>" + SECOND, None),
+    (FIRST + "<aside>Read also: ten more things.</aside>" + SECOND, None),
+    (FIRST + '<aside><h3>Related</h3><ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li></ul></aside>' + SECOND, None),
+    (f"<div><div>{FIRST}</div><div>{SECOND}</div></div>", None),
+    (LINKED, "Words with a link inside of it.\nOnly a link\nOne\nTwo"),
+])
+@pytest.mark.parametrize("around", ["{}", '<nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>{}<footer>&copy; Me 2024</footer>'])
+def test_controls_links_and_asides_inside_an_article(inside, text, around):
+    got = html_text.main_text(around.format(f"<article>{inside}</article>"), html_text.trained())
+    assert got == (text or "First words are here, and more.\nSecond words, and more of them.")
+
+
+def test_page_tables(spark):
+    """No rows, repeated rows, null ids, urls and pages, extra columns with the result's names."""
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    page = f"<article>{FIRST}</article>"
+    rows = [(1, "u", page, "x", "y"), (1, "u", page, "x", "y"), (None, None, page, None, None), (2, "v", None, "z", None)]
+    got = html_text.extract(spark.createDataFrame(rows, schema)).collect()
+    plain = "First words are here, and more."
+    assert Counter(map(tuple, got)) == Counter([(1, "u", plain, len(plain))] * 2 + [(None, None, plain, len(plain)), (2, "v", "", 0)])
+    empty = html_text.extract(spark.createDataFrame([], schema))
+    assert empty.columns == ["page_id", "url", "text", "n_chars"] and empty.count() == 0
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("<p>Just a paragraph of text.", "Just a paragraph of text."),
     ("<article><h1>A &amp; B</h1><p>First  \n words&nbsp;here.<p><b>Second<br>one</article><footer>&copy; me</footer>", "A & B\nFirst words here.\nSecond one"),
