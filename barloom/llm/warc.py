@@ -7,8 +7,9 @@ temporary name and moved when complete, and only those in the manifest count.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes the one with the smallest page_id is a
 ``response``; the others are ``revisit`` records without a payload that name it. Which payloads are equal is settled
-on (digest, page_id) alone, combined before the shuffle, and joined to the pages with their parts; payloads are moved
-to that join, where it is not broadcast, and to their part, those of revisits to the join alone. Reading streams member by member and checks every digest.
+on (digest, page_id) alone, combined before the shuffle. What is found travels to the part as narrow rows that stand before their pages
+in its order, and the first ids of the parts, ``MOST_PARTS`` at most, pass the driver; so payloads are moved once, straight to
+their part. Reading streams member by member and checks every digest.
 
 Defined cases: null html is an empty payload. A null or empty url becomes ``urn:page:<page_id>``; control characters and
 blanks in a url are percent-encoded. Of rows that repeat the smallest page_id of a payload all
@@ -38,42 +39,54 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 
-def classify(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload (null for revisits), digest, payload_bytes, refers_to, part."""
+def in_parts(pages: DataFrame) -> DataFrame:
+    """Pages and, ahead of each page that is a revisit, a row without ``payload_bytes`` that tells ``refers_to``; with their part."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"),
         F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("payload_bytes"),
     )
+    facts = stage(rows.select("page_id", "digest", "payload_bytes"), "warc-facts")
     shared = (
-        rows.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy("digest")
+        facts.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
     links = (
-        rows.select("digest", "page_id").join(shared, "digest").where("page_id > first_id")
+        facts.select("digest", "page_id").join(shared, "digest").where("page_id > first_id")
         .select("page_id", "digest", F.col("first_id").alias("refers_to")).distinct()
     )
-    places = stage(  # what a record needs to know besides its page: narrow, one row per page_id and digest
-        rows.select("page_id", "digest").distinct().join(links, ["page_id", "digest"], "left")
-        .withColumn("at", _id_key()).join(_parts(rows).withColumn("at", _id_key()).drop("page_id"), "at")
-        .select("at", "digest", "refers_to", "part"), "warc-places",
-    )
-    return rows.withColumn("at", _id_key()).join(places, ["at", "digest"]).drop("at").withColumn(
-        "payload", F.when(F.col("refers_to").isNull(), F.col("payload"))
-    )
+    return rows.unionByName(links, allowMissingColumns=True).withColumn("part", _part_of(F.col("page_id"), _first_ids(facts)))
+
 
+def _first_ids(facts: DataFrame) -> list[int]:
+    """First page_id of every part but the lowest: equal numbers of ids by exact rank, so layouts and runs agree."""
+    ranked = first_n_rank(facts.select("page_id").distinct(), [F.col("page_id").asc_nulls_first()], "rank", "warc-ids")
+    each = max(LEAST_IDS, -(-ranked.count() // MOST_PARTS))
+    return sorted(r.page_id for r in ranked.where((F.col("rank") > 0) & (F.col("rank") % each == 0)).select("page_id").collect())
 
-def _id_key() -> Column:
-    """page_id in a form that joins nulls as well."""
-    return F.struct(F.col("page_id").isNull().alias("null"), F.coalesce("page_id", F.lit(0)).alias("id"))
+
+def _part_of(page_id: Column, first_ids: list[int]) -> Column:
+    """How many of the ascending ids are not above ``page_id``, by halving; a null id is in part 0."""
+    if not first_ids:
+        return F.lit(0).cast("long")
+    bounds = F.split(F.lit(",".join(map(str, first_ids))), ",").cast("array<bigint>")  # one literal
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(first_ids).bit_length()))])
+    found = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= page_id, at + step).otherwise(at)
+    )
+    return found.cast("long")
 
 
-def _parts(rows: DataFrame) -> DataFrame:
-    """page_id and the part that its records go to: equal numbers of ids by exact rank, so layouts and runs agree."""
-    ranked = first_n_rank(rows.select("page_id").distinct(), [F.col("page_id").asc_nulls_first()], "rank", "warc-ids")
-    total = ranked.agg(F.count(F.lit(1))).scalar()
-    each = F.greatest(F.lit(LEAST_IDS), F.ceil(total / F.lit(MOST_PARTS)))
-    return ranked.select("page_id", F.floor(F.col("rank") / each).cast("long").alias("part"))
+def _settled(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple]:
+    """Pages in order, each with what the row ahead of it tells; a revisit has no payload."""
+    told = None
+    for batch in batches:
+        for part, page_id, url, payload, digest, size, refers_to in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if size is None:
+                told = page_id, digest, refers_to
+                continue
+            refers_to = told[2] if told is not None and told[:2] == (page_id, digest) else None
+            yield part, page_id, url, payload if refers_to is None else None, digest, size, refers_to
 
 
 def _uri(url: str | None, page_id: int | None) -> str:
@@ -123,7 +136,7 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> D
     columns = ("part", "page_id", "url", "payload", "digest", "payload_bytes", "refers_to")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns)))
+        rows = _settled(batches, columns)
         part, number, row = None, 0, next(rows, None)
         while row is not None:
             part, number = row[0], number + 1 if row[0] == part else 0
@@ -142,7 +155,8 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> D
 
     spark = pages.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    ordered = classify(pages).repartition(tasks, "part").sortWithinPartitions("part", "page_id", "digest", "url")
+    ahead = F.col("payload_bytes").isNotNull()  # false comes first
+    ordered = in_parts(pages).repartition(tasks, "part").sortWithinPartitions("part", "page_id", "digest", ahead, "url")
     ordered.select(*columns).mapInArrow(written, MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
