@@ -309,6 +309,10 @@ def test_warc_layouts_and_runs_agree(spark):
         F.repeat(F.concat(F.lit("<p>"), F.col("id") % 97), (F.col("id") % 300).cast("int")).alias("html"))
     runs = [sorted(map(tuple, warc.write_warc(pages.repartition(n), scratch_dir(spark, "warc-test")).collect())) for n in (3, 3, 7)]
     assert runs[0] == runs[1] == runs[2] and len(runs[0]) == -(-3_000 // warc.LEAST_IDS) and sum(r[3] for r in runs[0]) == 3_000
+    sizes = Counter()
+    for part, _, _, records, *_ in runs[0]:
+        sizes[part] += records
+    assert dict(sizes) == {p: min(256, 3_000 - 256 * p) for p in range(12)}
 
 
 def test_warc_empty_and_damage(spark, edge_pages):
