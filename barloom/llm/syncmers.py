@@ -2,11 +2,9 @@
 
 A k-mer is a closed syncmer when the least of its inner s-mers (by hash) is its first or its last. Whether it
 is one depends on the k-mer alone, so anchors survive edits elsewhere in the text. The fingerprint keeps all
-anchors whose hash lies in the lowest ``SHARE``-th of the hash range, and at least the ``KEPT`` of least hash, each with its
-hash and the position of its first occurrence. So it grows with the text (one anchor for about 48 code points of a long
-one), and a passage that two long texts share leaves anchors in both. Two fingerprints are compared below the lower of their
-bounds, where both are complete: the likeness estimates the Jaccard similarity of the texts' anchor sets from at
-least ``KEPT`` anchors and is exact while both keep all theirs. Positions allow matching passages on a diagonal (``aligned``).
+anchors of the text, each with its hash and the position of its first occurrence. So it grows with the text (one anchor for about
+six code points), a passage that two texts share leaves its anchors in both, and the likeness of two fingerprints is the
+Jaccard similarity of the texts' whole anchor sets. Positions allow matching passages on a diagonal (``aligned``).
 
 Text form: anchors as ``hash:position`` in hexadecimal, ascending by hash, joined by a space.
 
@@ -24,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +34,6 @@ from barloom.llm.common import text_or_empty
 
 K = 16  # code points of an anchor
 S = 5  # code points of an inner s-mer
-KEPT = 64  # anchors of a fingerprint at least, if the text has them
-SHARE = 8  # all anchors in this part of the hash range are kept
 HASH_BITS = 40
 RANGE_ROWS = 2_048  # rows aimed at per range
 MOST_RANGES = 100_000  # ranges at most; their first places are broadcast
@@ -95,27 +90,23 @@ def anchors(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Fingerprint:
-    """Kept anchors: 40-bit hashes, ascending, and their first positions; ``bound`` is the hash below which all are kept."""
+    """All anchors of a text: 40-bit hashes, ascending, and their first positions."""
 
-    def __init__(self, text: str, kept: int = KEPT, share: int = SHARE):
+    def __init__(self, text: str):
         hashes, positions = anchors(text)
-        hashes, first = np.unique(hashes >> np.uint64(64 - HASH_BITS), return_index=True)
-        size = max(kept, int(np.searchsorted(hashes, np.uint64((1 << HASH_BITS) // share))))
-        self.bound = int(hashes[size]) if size < len(hashes) else 1 << HASH_BITS
-        self.hashes, self.positions = hashes[:size], positions[first[:size]]
+        self.hashes, first = np.unique(hashes >> np.uint64(64 - HASH_BITS), return_index=True)
+        self.positions = positions[first]
 
     def __str__(self) -> str:
         return " ".join(map("%x:%x".__mod__, zip(self.hashes.tolist(), self.positions.tolist())))
 
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
-    """Jaccard similarity of two anchor sets below the lower of their bounds."""
+    """Jaccard similarity of two anchor sets."""
     if not len(a.hashes) or not len(b.hashes):
         return float(len(a.hashes) == len(b.hashes))
-    bound = np.uint64(min(a.bound, b.bound))
-    x, y = (f.hashes[:np.searchsorted(f.hashes, bound)] for f in (a, b))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+    both = len(np.intersect1d(a.hashes, b.hashes, assume_unique=True))
+    return both / (len(a.hashes) + len(b.hashes) - both)
 
 
 def aligned(a: Fingerprint, b: Fingerprint) -> float:
@@ -123,7 +114,7 @@ def aligned(a: Fingerprint, b: Fingerprint) -> float:
     both, i, j = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
     if not len(both):
         return 0.0
-    return max(Counter((a.positions[i] - b.positions[j]).tolist()).values()) / len(both)
+    return int(np.unique(a.positions[i] - b.positions[j], return_counts=True)[1].max()) / len(both)
 
 
 def edited(text: str, following: str) -> str:

@@ -260,6 +260,16 @@ def test_long_texts_keep_anchors_everywhere():
     assert lost == 0
 
 
+def test_fingerprints_keep_every_anchor():
+    """A change of three words in a long text, and anchors beyond the 64 of least hash, count in full."""
+    words = [f"w{i * 7_919 % 10_007}q{i}" for i in range(1_500)]
+    one, two = " ".join(words), " ".join([*words[:700], "x", "y", "z", *words[703:]])
+    a, b = syncmers.Fingerprint(one), syncmers.Fingerprint(two)
+    x, y = (set((syncmers.anchors(t)[0] >> np.uint64(64 - syncmers.HASH_BITS)).tolist()) for t in (one, two))
+    assert set(a.hashes.tolist()) == x and len(x) > len(one) / 8 and len(str(a).split()) == len(x)
+    assert 0 < len(x & y) / len(x | y) < 1 and syncmers.likeness(a, b) == len(x & y) / len(x | y)
+
+
 def test_fingerprints_empty(no_documents):
     assert syncmers.fingerprints(no_documents).count() == 0
 
