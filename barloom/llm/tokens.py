@@ -1,24 +1,26 @@
 """Token ids of whole texts by a public tokenizer of the ``tokenizers`` library.
 
 The tokenizer drops white space and no merge crosses it, so a text's ids are those of its pieces
-between white space, one after the other. Pieces are encoded once per batch and kept in a bounded table;
-a plain piece (Latin letters, then perhaps ASCII punctuation) is split into its word and its tail, and all
-new words of a batch go to the library in one call. Texts with control characters that Python, but
+between white space, one after the other. Arrow splits a slice of texts and finds its distinct pieces; their
+ids are made once per slice and gathered by position. A plain piece (Latin letters, then perhaps ASCII punctuation) is split
+into its lower-case word and its tail, both kept in bounded tables, and all new words of a slice go to the library in one
+call; other pieces go to it one by one and have a table of their own. Texts with control characters that Python, but
 not the tokenizer, takes for white space are encoded whole.
 """
 from __future__ import annotations
 
-import re
 import sys
 from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-KEPT_PIECES = 300_000  # entries after which a worker's table of known pieces makes room
-KEPT_WORDS = 250_000  # the same for its table of lower-case words
+KEPT_PIECES = 100_000  # entries after which a worker's tables of tails and of other pieces make room
+KEPT_WORDS = 300_000  # the same for its table of lower-case words
 WORDS_PER_CALL = 1_000
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-/:-@\[-`{-~]*)")
+_PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ſ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -38,9 +40,11 @@ class Encoder:
         mark = getattr(self.full.model, "end_of_word_suffix", None) or "\0"
         self.last = np.zeros(self.full.get_vocab_size(), bool)
         self.last[[i for token, i in self.full.get_vocab(with_added_tokens=False).items() if token.endswith(mark)]] = True
-        self.tails: dict[str, bytes] = {"": b""}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.rest()
+
+    def rest(self) -> None:
+        """Give back the tables: the worker goes on to other work."""
+        self.known: dict[str, bytes] = {}  # tails and pieces that are not plain
         self.known_words: dict[str, bytes] = {}
         self.older_words: dict[str, bytes] = {}
 
@@ -53,34 +57,21 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self._bytes(self.full.encode(text, add_special_tokens=False).ids)
 
-    def _tail(self, tail: str) -> bytes:
-        if tail not in self.tails:
-            if len(self.tails) > KEPT_PIECES:
-                self.tails = {"": b""}
-            self.tails[tail] = self.whole(tail)
-        return self.tails[tail]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Put pieces into the table; what an emptied table held counts as known once more when met again."""
-        known, older, simple, plain = self.known, self.older, [], []
-        met = pieces.intersection(older)
-        known.update(zip(met, map(older.__getitem__, met)))
-        for p in pieces.difference(met):
-            if p.isascii() and p.isalpha():
-                simple.append(p)
-            elif m := _PLAIN.fullmatch(p):
-                plain.append((p, m[1].lower(), m[2]))
-            else:
-                known[p] = self.whole(p)
-        simple_words = [p.lower() for p in simple]
-        ids, older_words = self.known_words, self.older_words
-        new = {w for _, w, _ in plain}.union(simple_words).difference(ids)
-        if older_words:
-            met = new.intersection(older_words)
-            ids.update(zip(met, map(older_words.__getitem__, met)))
-            new -= met
-        words = list(new)
-        groups = [words[i:i + WORDS_PER_CALL] for i in range(0, len(words), WORDS_PER_CALL)]
+    def _others(self, pieces: list[str]) -> list[bytes]:
+        for p in pieces:
+            if p not in self.known:
+                self.known[p] = self.whole(p)
+        return list(map(self.known.__getitem__, pieces))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words; what an emptied table held counts as known once more when met again."""
+        ids, older = self.known_words, self.older_words
+        new = [w for w in words if w not in ids]
+        if older:
+            met = [w for w in new if w in older]
+            ids.update(zip(met, map(older.__getitem__, met)))
+            new = [w for w in new if w not in older]
+        groups = [new[i:i + WORDS_PER_CALL] for i in range(0, len(new), WORDS_PER_CALL)]
         for group, e in zip(groups, self.words.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)):
             raw = self._bytes(e.ids)
             ends = ((np.flatnonzero(self.last[np.frombuffer(raw, self.dtype)]) + 1) * self.dtype.itemsize).tolist()
@@ -88,24 +79,33 @@ class Encoder:
                 ids.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
             else:  # a vocabulary whose words do not all end in a marked id
                 ids.update((w, self._bytes(self.words.encode([w], is_pretokenized=True, add_special_tokens=False).ids)) for w in group)
-        known.update(zip(simple, map(ids.__getitem__, simple_words)))
-        for p, w, tail in plain:
-            known[p] = ids[w] + self._tail(tail)
-
-    def rest(self) -> None:
-        """Give back the tables: the worker goes on to other work."""
-        self.known, self.older, self.known_words, self.older_words, self.tails = {}, {}, {}, {}, {"": b""}
+        return list(map(ids.__getitem__, words))
+
+    def _pieces(self, pieces: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct pieces."""
+        parts = pc.extract_regex(pieces, _PLAIN)  # null where a piece is not plain
+        words = pc.utf8_lower(pc.struct_field(parts, "word")).dictionary_encode()
+        tails = pc.struct_field(parts, "tail").dictionary_encode()
+        plain = pc.binary_join_element_wise(
+            pa.array(self._words(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices),
+            pa.array(self._others(tails.dictionary.to_pylist()), pa.large_binary()).take(tails.indices), pa.scalar(b"", pa.large_binary()),
+        )
+        others = self._others(pieces.filter(plain.is_null()).to_pylist())
+        return pc.replace_with_mask(plain, plain.is_null(), pa.array(others, pa.large_binary()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
-            self.known, self.older = {}, self.known
+            self.known = {}
         if len(self.known_words) > KEPT_WORDS:
             self.known_words, self.older_words = {}, self.known_words
-        split = [None if any(map(t.__contains__, _ODD_SPACE)) else t.split() for t in texts]
-        pieces = set().union(*(s for s in split if s))
-        self._learn(pieces.difference(self.known))
-        get = self.known.__getitem__
-        return [self.whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        whole = {i for i, t in enumerate(texts) if any(map(t.__contains__, _ODD_SPACE))}
+        split = pc.utf8_split_whitespace(pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.string()))
+        met = split.flatten().dictionary_encode()
+        ids = self._pieces(met.dictionary).take(met.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[split.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = memoryview(data) if data else b""
+        return [self.whole(t) if i in whole else bytes(data[a:b]) for i, (t, a, b) in enumerate(zip(texts, ends, ends[1:]))]
 
 
 @lru_cache(maxsize=2)
@@ -116,7 +116,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def pieces_of(texts: list[str], most_chars: int = 2_000_000):
+def pieces_of(texts: list[str], most_chars: int = 8_000_000):
     """Consecutive slices of ``texts`` with at most ``most_chars`` code points, or one text."""
     start = size = 0
     for i, t in enumerate(texts):

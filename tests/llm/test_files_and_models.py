@@ -40,6 +40,22 @@ def test_encoder_equals_library(edges, monkeypatch):
             assert [np.frombuffer(g, codec.dtype).tolist() for g in got] == [encoded(t, 0)[:-1] for t in texts]
 
 
+def test_encoder_meets_the_library_once_a_piece(monkeypatch):
+    """Forms of one word that differ in case or in trailing punctuation are one word for the library."""
+    codec, met = tokens.Encoder(tokens.tokenizer_path()), []
+
+    class Library:
+        def encode_batch_fast(self, groups, **how):
+            met.extend(w for g in groups for w in g)
+            return inner.encode_batch_fast(groups, **how)
+
+    inner, codec.words = codec.words, Library()
+    texts = ["Zorble zorble, ZORBLE! zorble;", "", " \t", "zorble (zorble) É.", "é zorble\x85x\xa0zorble"]
+    got = codec.encode(texts) + codec.encode(texts)
+    assert [np.frombuffer(g, codec.dtype).tolist() for g in got] == [encoded(t, 0)[:-1] for t in texts] * 2
+    assert sorted(met) == ["x", "zorble", "é"] and codec.encode([]) == []
+
+
 @pytest.mark.parametrize("name", ["edges", "documents"])
 def test_token_files_round_trip(request, spark, name, monkeypatch):
     docs = request.getfixturevalue(name).select("doc_id", "text")
