@@ -183,11 +183,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         links = []
-        columns = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]
-        for a, b, text_a, text_b in zip(*columns):
+        for a, b, text_a, text_b in zip(*(batch.column(c) for c in ("a", "b", "text_a", "text_b"))):  # one row at a time: texts repeat
+            a, b = a.as_py(), b.as_py()
             if recent[0] != b:  # rows of one leader follow each other
-                recent = b, weighted(text_b)
-            if similarity(weighted(text_a), recent[1]) >= THRESHOLD:
+                recent = b, weighted(text_b.as_py())
+            if similarity(weighted(text_a.as_py()), recent[1]) >= THRESHOLD:
                 links.append((a, b))
         a, b = zip(*links) if links else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -282,8 +282,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        for node, label, text in zip(*(batch.column(c).to_pylist() for c in ("node", "label", "text"))):
-            _, value, weight = shingles([text], hashes)
+        for node, label, text in zip(*(batch.column(c) for c in ("node", "label", "text"))):
+            node, label = node.as_py(), label.as_py()
+            _, value, weight = shingles([text.as_py()], hashes)
             n = len(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, node)), pa.array(np.full(n, label)), pa.array(value.view(np.int64)), pa.array(weight),
@@ -299,9 +300,16 @@ LONG, SHORT = 1 / (MOST_INVERSE - 1), 2 / MOST_INVERSE  # least share of either
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Whether what is left of two texts from a common shingle on suffices for a link."""
-    inverse = lambda share: 1 / F.col(f"{share}_{a}") + 1 / F.col(f"{share}_{b}") <= MOST_INVERSE
-    return inverse("set") | inverse("mass")
+    """Whether what is left of two texts from their first common shingle on suffices for a link.
+
+    They have at most ``common`` shingles in common, the smaller of what is left of the two; of the masses left, those shingles hold
+    at most ``common`` and all repeats (``over``).
+    """
+    of = lambda name, side: F.col(f"{name}_{side}")
+    common = F.least(of("rest", a), of("rest", b))
+    in_set = lambda side: F.least(of("set", side), common / of("size", side))
+    in_mass = lambda side: F.least(of("mass", side), (of("over", side) + common) / of("total", side))
+    return (1 / in_set(a) + 1 / in_set(b) <= MOST_INVERSE) | (1 / in_mass(a) + 1 / in_mass(b) <= MOST_INVERSE)
 
 
 def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
@@ -311,6 +319,7 @@ def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Data
     the text's set and weight from there on. From the first shingle that two linked texts have in common, either has at least
     ``LONG`` of itself left and one of the two at least ``SHORT``, so only short prefixes meet long ones.
     Texts that share a template and are no links have more of their own than a short prefix holds, and do not meet.
+    Classes meet first, by the best of their members; of a class, texts with repeats and texts without (``even``) meet by themselves.
     """
     now = stage(_labelled(members, labels, "node", "label"), "near-left")
     several = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
@@ -322,21 +331,25 @@ def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Data
     held = stage(held.where("n > 1").select("shingle", "n", (F.col("low") < F.col("high")).alias("mixed")), "near-shared")
     after = Window.partitionBy("node").orderBy(F.desc("n"), "shingle").rowsBetween(Window.unboundedPreceding, 0)
     counted = found.join(held, "shingle").select(
-        "shingle", "label", "node", "mixed", "size", F.count(F.lit(1)).over(after).alias("rest"),
-        (F.sum("weight").over(after) / F.col("mass")).alias("mass"),
-    ).withColumn("set", F.col("rest") / F.col("size"))
-    first = stage(counted.where(F.col("mixed") & (F.greatest("set", "mass") >= LONG - 1e-9)).drop("mixed"), "near-first")
-    classes = first.groupBy("shingle", "label").agg(F.max("set").alias("set"), F.max("mass").alias("mass"))
+        "shingle", "label", "node", "mixed", "size", F.col("mass").alias("total"), F.count(F.lit(1)).over(after).alias("rest"),
+        F.sum("weight").over(after).alias("left"),
+    ).select(
+        "*", (F.col("left") - F.col("rest")).alias("over"), (F.col("size") == F.col("total")).alias("even"),
+        (F.col("rest") / F.col("size")).alias("set"), (F.col("left") / F.col("total")).alias("mass"),
+    )
+    first = stage(counted.where(F.col("mixed") & (F.greatest("set", "mass") >= LONG - 1e-9)).drop("mixed", "left"), "near-first")
+    classes = first.groupBy("shingle", "label", "even").agg(
+        *[F.max(c).alias(c) for c in ("set", "mass", "rest", "over")], F.min("size").alias("size"), F.min("total").alias("total")
+    )
     named = lambda df, side: df.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "shingle"])
     is_short = F.greatest("set", "mass") >= SHORT - 1e-9
     meetings = stage(  # classes first, so that members of one class never meet
         named(classes.where(is_short), "a").join(named(classes, "b"), "shingle").where(F.col("label_a") != F.col("label_b"))
-        .where(_may_link("a", "b")).select("shingle", "label_a", "label_b"), "near-meetings",
+        .where(_may_link("a", "b")).select("shingle", "label_a", "even_a", "label_b", "even_b"), "near-meetings",
     )
-    pairs = meetings.join(named(first.where(is_short), "a"), ["shingle", "label_a"]).join(named(first, "b"), ["shingle", "label_b"])
-    fits = F.least("rest_a", "rest_b") * MOST_INVERSE >= F.col("size_a") + F.col("size_b")
-    by_mass = 1 / F.col("mass_a") + 1 / F.col("mass_b") <= MOST_INVERSE
-    return pairs.where(fits | by_mass).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    short = meetings.join(named(first.where(is_short), "a"), ["shingle", "label_a", "even_a"])
+    pairs = short.join(named(first, "b"), ["shingle", "label_b", "even_b"]).where(_may_link("a", "b"))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def _extended(pairs, links, labels, compared, texts):

@@ -1,5 +1,6 @@
 """Exact copies, mixing, language, near copies and the pipeline beside brute-force versions."""
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -238,6 +239,51 @@ def test_unlinked_template_pages_do_not_meet(spark, monkeypatch):
     assert got.select("class_id").distinct().count() == 400 and sum(compared) < 12 * 400
 
 
+def test_outsiders_of_a_hot_class_do_not_meet_its_members(spark, monkeypatch):
+    """Near copies of one text in a class, and texts alike below the threshold to each of them: few pairs, all links found."""
+    compared, verified = [], near_dedup._verified
+
+    def counting(pairs, texts):
+        compared.append(pairs.count())
+        return verified(pairs, texts)
+
+    draw = random.Random(8)
+
+    def changed(places, i):
+        words = [f"w{j}" for j in range(150)]
+        for k in places:
+            words[k] = f"v{i}x{k}"
+        return " ".join(words)
+
+    # spread changes cost five shingles each: 1 or 2 in members, 4 in outsiders; the last ten outsiders have a partner
+    places = [sorted(draw.sample(range(6, 144, 6), 1 + i % 2 if i < 300 else 4)) for i in range(400)]
+    texts = [(i, changed(p, i)) for i, p in enumerate(places)]
+    texts += [(500 + i, changed(places[390 + i], 390 + i).replace("w149", f"z{i}")) for i in range(10)]
+    sets = [brute_shingles(t) for _, t in texts]
+    parent = {i: i for i, _ in texts}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for j, (i, _) in enumerate(texts):
+        for k in range(j):
+            both = len(sets[j].keys() & sets[k].keys())
+            if both / (len(sets[j]) + len(sets[k]) - both) >= 0.8:
+                parent[find(i)] = find(texts[k][0])
+    monkeypatch.setattr(near_dedup, "_verified", counting)
+    got = near_dedup.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    groups = defaultdict(set)
+    for r in got:
+        groups[r.class_id].add(r.doc_id)
+    want = defaultdict(set)
+    for i, _ in texts:
+        want[find(i)].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert 1 < len(want) and max(map(len, want.values())) >= 300 and sum(compared) < 12 * len(texts)
+
+
 def test_pairs_with_unequal_repeats_are_found(spark):
     """Equal shingle sets, of which one text repeats a part: J_P is low, the set Jaccard is 1 or near it."""
     texts = []
