@@ -1,8 +1,11 @@
-"""Helpers shared by the operators: staging in the shared folder, document hashes, row ids."""
+"""Helpers shared by the operators: staging in the shared folder, document hashes, row ids, memory of Python workers."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,5 +51,26 @@ def first_n_rank(df: DataFrame, order: Sequence[Column], rank: str, purpose: str
     )
 
 
+_held: dict[Hashable, object] = {}
+
+
+def give_back() -> None:
+    """Return freed memory to the system; Spark's workers go on to other stages beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
+def only_model(key: Hashable, build: Callable[[], object]) -> object:
+    """The model named ``key``, kept by this process between tasks; that of another operator is given back."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        give_back()
+        _held[key] = build()
+    return _held[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import stage, text_or_empty
+from barloom.llm.common import give_back, only_model, stage, text_or_empty
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -55,6 +55,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _task_hashes() -> WordHashes:
+    """A table of word hashes for one task; models of earlier stages make room."""
+    only_model("near_dedup", lambda: None)
+    return WordHashes()
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -156,26 +162,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = _task_hashes()
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        start = size = 0
-        for end in range(1, len(texts) + 1):
-            size += len(texts[end - 1])
-            if size < 1_000_000 and end < len(texts):
+        part, start, size = [], 0, 0
+        for end, text in enumerate(batch.column("text"), 1):
+            part.append(text.as_py())
+            size += len(part[-1])
+            if size < 1_000_000 and end < len(batch):
                 continue
-            part = texts[start:end]
             owner, value, weight = shingles(part, hashes)
             lists = key_lists(owner, value, weight, len(part))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).slice(start, end - start) for c in ("doc_id", "digest")), pa.array(lists, pa.list_(pa.int64()))],
                 ["doc_id", "digest", "keys"],
             )
-            start, size = end, 0
+            part, start, size = [], end, 0
+    give_back()
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, recent = WordHashes(), (None, None)
+    hashes, recent = _task_hashes(), (None, None)
 
     def weighted(text: str):
         _, value, weight = shingles([text], hashes)
@@ -191,6 +197,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 links.append((a, b))
         a, b = zip(*links) if links else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    give_back()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -280,7 +287,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = _task_hashes()
     for batch in batches:
         for node, label, text in zip(*(batch.column(c) for c in ("node", "label", "text"))):
             node, label = node.as_py(), label.as_py()
@@ -291,6 +298,7 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(np.full(n, n)), pa.array(np.full(n, weight.sum()))],
                 ["node", "label", "shingle", "weight", "size", "mass"],
             )
+    give_back()
 
 
 # A pair is a link only if 1/a + 1/b <= MOST_INVERSE, a and b being the shares of either text that both have in common: of

@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import stage, text_or_empty
-from barloom.llm.tokens import encoder, pieces_of, tokenizer_path
+from barloom.llm.common import give_back, stage, text_or_empty
+from barloom.llm.tokens import encoder, slices_of, tokenizer_path
 
 CAPACITY = 4_096
 END_ID = 2
@@ -128,15 +128,16 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, re
             return pa.RecordBatch.from_arrays([*arrays, pa.array([part] * len(rows), pa.int64())], ["doc_id", *names, "part"])
 
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("_text").to_pylist()
-            for a, b in pieces_of(texts):
+            ids = batch.column("doc_id").to_pylist()
+            for at, texts in slices_of(batch.column("_text")):
                 rows = []
-                for doc_id, coded in zip(ids[a:b], codec.encode(texts[a:b])):
+                for doc_id, coded in zip(ids[at:at + len(texts)], codec.encode(texts)):
                     rows.extend(packer.add(doc_id, np.frombuffer(coded + end, codec.dtype)))
                 yield out(rows)
         yield out(list(packer.finish()))
         if release:
             codec.rest()
+            give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_text"))
     schema = rows.select("doc_id").schema

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import stage, text_or_empty
 from barloom.llm.shards import committed, read_file
-from barloom.llm.tokens import encoder, pieces_of, tokenizer_path
+from barloom.llm.tokens import encoder, slices_of, tokenizer_path
 from barloom.sources.tables import scratch_dir
 
 MAGIC = b"RANSTOK1"
@@ -123,10 +123,9 @@ def _encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         codec = encoder(path)
         end = np.array([end_id], codec.dtype).tobytes()
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for a, b in pieces_of(texts):
-                ids = pa.array([x + end for x in codec.encode(texts[a:b])], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), ids], ["doc_id", "ids"])
+            for at, texts in slices_of(batch.column("_text")):
+                ids = pa.array([x + end for x in codec.encode(texts)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), ids], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_text"))
     return rows.mapInArrow(coded, "doc_id long, ids binary")

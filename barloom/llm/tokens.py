@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import sys
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from barloom.llm.common import only_model
+
 KEPT_PIECES = 100_000  # entries after which a worker's tables of tails and of other pieces make room
 KEPT_WORDS = 300_000  # the same for its table of lower-case words
 WORDS_PER_CALL = 1_000
@@ -33,8 +34,7 @@ class Encoder:
         self.full = Tokenizer.from_file(path)
         small = self.full.get_vocab_size() <= 1 << 16
         self.dtype, self.code = (np.dtype("<u2"), "H") if small else (np.dtype("<u4"), "I")
-        self.words = Tokenizer.from_file(path)  # for plain words: their letters are one unit of the merges
-        self.words.normalizer = None
+        self.words = Tokenizer(self.full.model)  # for plain words: their letters are one unit of the merges; the model is shared
         self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # ids that end a word
         mark = getattr(self.full.model, "end_of_word_suffix", None) or "\0"
@@ -108,24 +108,25 @@ class Encoder:
         return [self.whole(t) if i in whole else bytes(data[a:b]) for i, (t, a, b) in enumerate(zip(texts, ends, ends[1:]))]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Encoder(path)
-
-
-def pieces_of(texts: list[str], most_chars: int = 8_000_000):
-    """Consecutive slices of ``texts`` with at most ``most_chars`` code points, or one text."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most_chars:
-            yield start, i
-            start, size = i, 0
+    return only_model(("encoder", path), lambda: Encoder(path))
+
+
+def slices_of(column: pa.Array, most_chars: int = 4_000_000):
+    """Consecutive texts of a column, with the place of the first; at most ``most_chars`` code points, or one text."""
+    start, size, texts = 0, 0, []
+    for i, t in enumerate(column):
+        t = t.as_py()
+        if texts and size + len(t) > most_chars:
+            yield start, texts
+            start, size, texts = i, 0, []
+        texts.append(t)
         size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+    if texts:
+        yield start, texts
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

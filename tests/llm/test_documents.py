@@ -340,6 +340,24 @@ def test_pipeline_runs(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
 
 
+def test_a_worker_keeps_the_models_of_one_operator(edges):
+    """Models of an earlier stage make room for the next one's; the same model is built once."""
+    from barloom.llm import common
+
+    built = []
+
+    def parser():
+        built.append(1)
+        return object()
+
+    first = common.only_model("languages", parser)
+    assert common.only_model("languages", parser) is first and built == [1]
+    near_dedup._task_hashes()
+    assert list(common._held) == ["near_dedup"]
+    common.only_model("languages", parser)
+    assert built == [1, 1] and list(common._held) == ["languages"]
+
+
 def test_pipeline_of_an_empty_table(spark, no_documents, tmp_path):
     import corpus_pipeline
 
