@@ -13,14 +13,15 @@ below 4e-5).
 Equal texts are one node, found by their SHA-256. In a bucket (documents that share a band) every member is compared
 with the bucket's leader, the member whose buckets are fullest (of a group of near copies that is one close to
 their common origin), of several the one with the largest doc_id; then, in buckets of two successive bands, with that one's
-leader; then, while that finds links, a new leader is chosen among the members that are in no earlier leader's
-class, and compared with all members of other classes. That joins most of a hot group by pairs that grow with the
-members. At last, members of buckets that hold several classes are compared with the members of other classes with which
+leader; then, while a bucket's last leader joined an eighth of the members that were in no earlier leader's class, a new
+leader is chosen among the rest of them, and compared with all members of other classes. So a bucket of n members makes
+n log n pairs at most. That joins most of a hot group. At last, members of buckets that hold several classes are compared with the members of other classes with which
 they have one of their rarest shingles in common, early enough that what follows can still make a link (prefix and position
 filter, see ``_pairs_left``; no pair at the threshold is without). So every pair that shares a bucket is compared, joined already,
 or proven to be no link, and texts that are alike below the threshold by a common template do not meet. Compared pairs are verified on the whole texts: a link needs a similarity of at least
 ``THRESHOLD``, the larger of the set Jaccard and the probability Jaccard of the shingles. Classes are the connected
-components of links, found by spreading the smallest label along links with pointer jumping.
+components of links, found by joining each class with its smallest neighbour; links inside a class are dropped after every round, and
+later links are laid between the classes that there are.
 
 Leaders are combined before the shuffle and meet members in plain joins that adaptive execution can split. Texts are
 moved once to the nodes that have a partner; only those go on. Every pass is staged.
@@ -44,6 +45,7 @@ from barloom.llm.common import give_back, only_model, stage, text_or_empty
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
+LEAST_JOINED = 8  # a leader that joins less than an eighth of its bucket's open members is the last one
 CACHED_WORDS = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
@@ -206,24 +208,31 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_compared, "a long, b long"), "near-links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node and label (the smallest node of its component) for every node that has a link."""
-    edges = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "near-edges")
-    labels = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node")
-    while True:
-        labels = stage(labels, "near-labels")
-        spread = (
-            edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("least"))
-            .withColumnRenamed("a", "node").join(labels, "node")
-        )
-        jump = labels.select(F.col("node").alias("least"), F.col("label").alias("further"))
-        after = stage(
-            spread.withColumn("least", F.least("least", "label")).join(jump, "least")
-            .select("node", "label", F.least("least", "further").alias("next")), "near-spread",
-        )
-        if after.where("next < label").isEmpty():
-            return labels
-        labels = after.select("node", F.col("next").alias("label"))
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between different classes, one for two classes, from the larger label to the smaller."""
+    ends = _labelled(_labelled(links, labels, "a", "label_a"), labels, "b", "label_b").where("label_a != label_b")
+    return stage(ends.select(F.greatest("label_a", "label_b").alias("a"), F.least("label_a", "label_b").alias("b")).distinct(), "near-edges")
+
+
+def components(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Node and label (the smallest node of its class) after ``links`` joined classes; a node without a row is its own label.
+
+    Every round joins each class with its smallest neighbour, follows those steps to their end and goes on with the links that
+    are left between classes: of all links once, then of those left. Two rounds at least halve the classes that have links.
+    """
+    links = _between(links, labels)
+    while not links.isEmpty():
+        smaller = stage(links.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node"), "near-smaller")
+        while True:
+            further = smaller.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            if smaller.join(further, "label", "left_semi").isEmpty():
+                break
+            smaller = stage(smaller.join(further, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "near-jump")
+        moved = smaller.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        before = labels.join(moved, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+        labels = stage(before.unionByName(smaller), "near-labels")
+        links = _between(links, smaller)
+    return labels
 
 
 def _leaders(members: DataFrame, key: str = "key") -> DataFrame:
@@ -257,32 +266,36 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                   (rows.digest == wanted.digest) & (F.coalesce(rows.doc_id, F.lit(0)) == F.col("at"))).select("node", "text"),
         "near-texts",
     )
-    links = _verified(pairs, texts)
-    labels = components(links)
+    alone = wanted.select("node", F.col("node").alias("label")).limit(0)
+    labels = components(_verified(pairs, texts), alone)
 
     # a second leader for each bucket of two successive bands of one signature
     following = lambda i: i - i % BANDS + (i + 1) % BANDS
     succession = F.transform(F.sequence(F.lit(0), F.size("keys") - 1), lambda i: F.xxhash64(F.get("keys", i), F.get("keys", following(i).cast("int"))))
     finer = wanted.select("node", "doc_id", "weight", F.explode(F.array_distinct(succession)).alias("key"))
     second = finer.join(_leaders(finer), "key").where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links, labels, compared = _extended(second, links, labels, pairs, texts)
+    labels, compared = _extended(second, labels, pairs, texts)
 
-    led = members.select("key", "leader").distinct()
+    # a bucket has a next leader if its last one joined a share of the members that were in no earlier leader's class
+    led, going = members.select("key", "leader").distinct(), members.select("key", "node", "doc_id", "weight")
+    before = members.groupBy("key").agg(F.count(F.lit(1)).alias("before"))
     while True:
-        now = stage(_labelled(members.select("key", "node", "doc_id", "weight"), labels, "node", "label"), "near-open")
+        now = stage(_labelled(going, labels, "node", "label"), "near-open")
         led_labels = _labelled(led.select("key", F.col("leader").alias("node")), labels, "node", "label").select("key", "label").distinct()
         left = now.join(led_labels, ["key", "label"], "left_anti")
         chosen = stage(
-            left.groupBy("key").agg(F.max(F.struct("weight", "doc_id", "node", "label")).alias("top"))
-            .select("key", F.col("top.node").alias("leader"), F.col("top.label").alias("leader_label")), "near-leaders",
+            left.groupBy("key").agg(F.count(F.lit(1)).alias("left"), F.max(F.struct("weight", "doc_id", "node", "label")).alias("top"))
+            .join(before, "key").where((F.col("before") - F.col("left") - 1) * LEAST_JOINED >= F.col("before"))
+            .select("key", "left", F.col("top.node").alias("leader"), F.col("top.label").alias("leader_label")), "near-leaders",
         )
         more = now.join(chosen, "key").where("label != leader_label").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-        before = links
-        links, labels, compared = _extended(more, links, labels, compared, texts)
-        if links is before:
+        known = labels
+        labels, compared = _extended(more, labels, compared, texts)
+        if labels is known:
             break
-        led = led.union(chosen.select("key", "leader"))
-    _, labels, _ = _extended(_pairs_left(members.select("key", "node"), labels, texts), links, labels, compared, texts)
+        led, before = led.union(chosen.select("key", "leader")), chosen.select("key", F.col("left").alias("before"))
+        going = now.drop("label").join(before.select("key"), "key", "left_semi")
+    labels, _ = _extended(_pairs_left(members.select("key", "node"), labels, texts), labels, compared, texts)
     return signed.select("doc_id", "digest"), nodes.select("digest", "node", "doc_id"), labels
 
 
@@ -360,19 +373,16 @@ def _pairs_left(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Data
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
-def _extended(pairs, links, labels, compared, texts):
-    """Verify the pairs of different classes that were not compared before; ``links`` itself is returned if none is new."""
+def _extended(pairs, labels, compared, texts):
+    """Verify the pairs of different classes that were not compared before; ``labels`` itself is returned if no link is found."""
     apart = _labelled(_labelled(pairs, labels, "a", "label_a"), labels, "b", "label_b").where("label_a != label_b").select("a", "b")
     known = compared.union(compared.select("b", "a"))
     fresh = stage(apart.join(known, ["a", "b"], "left_anti"), "near-more-pairs")
     if fresh.isEmpty():
-        return links, labels, compared
+        return labels, compared
     found = _verified(fresh, texts)
     compared = compared.union(fresh)
-    if found.isEmpty():
-        return links, labels, compared
-    links = links.union(found)
-    return links, components(links), compared
+    return labels if found.isEmpty() else components(found, labels), compared
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

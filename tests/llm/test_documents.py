@@ -284,6 +284,52 @@ def test_outsiders_of_a_hot_class_do_not_meet_its_members(spark, monkeypatch):
     assert 1 < len(want) and max(map(len, want.values())) >= 300 and sum(compared) < 12 * len(texts)
 
 
+def test_buckets_whose_leader_joined_none_get_no_further_leader(spark, monkeypatch):
+    """Template pages alike at 0.79 in pairs alike at 0.8: a leader finds its partner at most; all are found by few pairs."""
+    compared, verified = [], near_dedup._verified
+
+    def counting(pairs, texts):
+        compared.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(near_dedup, "_verified", counting)
+    template = [f"t{j}" for j in range(886)]
+    texts = [
+        (i * 7_919 % 100_003, " ".join([*template, *(f"o{i // 2}x{j}" for j in range(5)), *(f"p{i}x{j}" for j in range(109))]))
+        for i in range(120)
+    ]
+    sets = [brute_shingles(t) for _, t in texts]
+    assert brute_similarity(sets[0], sets[1]) >= 0.8 > brute_similarity(sets[1], sets[2])
+    got = near_dedup.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: max(texts[k - k % 2][0], texts[k + 1 - k % 2][0]) for k, (i, _) in enumerate(texts)}
+    assert sum(compared) < 6 * len(texts)
+
+
+def test_components_drop_links_inside_classes(spark, monkeypatch):
+    """A hot star, a path in random order and small trees: the links of a class are read once, not in every round."""
+    draw, order = random.Random(5), list(range(1_000, 1_300))
+    draw.shuffle(order)
+    links = [(i, 700) for i in range(600)] + list(zip(order, order[1:])) + [(i, draw.randrange(2_000, i)) for i in range(2_001, 2_200)]
+    links += [(b, a) for a, b in links[::3]] + links[::4] + [(3_000, 3_000)]
+    made, stage = [], near_dedup.stage
+
+    def counting(df, purpose):
+        out = stage(df, purpose)
+        made.append((purpose, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counting)
+    none = spark.createDataFrame([], "node long, label long")
+    labels = near_dedup.components(spark.createDataFrame(links, "a long, b long"), none)
+    want = {i: 0 for i in (*range(1, 600), 700)} | {i: 1_000 for i in range(1_001, 1_300)} | {i: 2_000 for i in range(2_001, 2_200)}
+    assert labels.count() == len(want) and {r.node: r.label for r in labels.collect()} == want
+    assert sum(n for purpose, n in made if purpose == "near-edges") < 2 * len(links)
+    made.clear()
+    joined = near_dedup.components(spark.createDataFrame([(1_200, 2_100), (2_050, 1_100), (5, 6)], "a long, b long"), labels)
+    assert {r.node: r.label for r in joined.collect()} == want | {i: 1_000 for i in range(2_000, 2_200)}
+    assert sum(n for purpose, n in made if purpose == "near-edges") == 1
+
+
 def test_pairs_with_unequal_repeats_are_found(spark):
     """Equal shingle sets, of which one text repeats a part: J_P is low, the set Jaccard is 1 or near it."""
     texts = []
